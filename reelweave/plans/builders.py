@@ -16,7 +16,7 @@ from reelweave.operators.keys import (
 from reelweave.operators.relational import composite_lookup, distinct_list, lookup_left
 from reelweave.sinks.upsert import upsert_columns
 
-ORDER_OF_FILES = [F.asc_nulls_last("source_file"), F.asc_nulls_last("position")]
+ORDER_OF_FILES = ["source_file", "position"]
 
 
 # ---- catalogue tables from raw film and character records

@@ -23,6 +23,7 @@ def query(name: str, sql: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return decimals_to_double(fn(Catalogue(spark, sf_dir)))
 
+        run.__module__ = fn.__module__
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
