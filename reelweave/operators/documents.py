@@ -253,7 +253,7 @@ def song_credit_rows(tracks: DataFrame) -> DataFrame:
     """One row per credit of a track: each performer, and the composer."""
     performers = F.transform(
         F.coalesce("performers", F.array().cast("array<struct<name: string, type: string, character: string>>")),
-        lambda p: F.struct(p.name.alias("name"), F.coalesce(p.type, F.lit("performer")).alias("type")),
+        lambda p: F.struct(p["name"].alias("name"), F.coalesce(p["type"], F.lit("performer")).alias("type")),
     )
     composer = F.array(F.struct(F.col("composer").alias("name"), F.lit("composer").alias("type")))
     return (
