@@ -40,14 +40,22 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def with_share(df: DataFrame, value: str, name: str, within: list[str] | None = None, digits: int | None = 2):
+def with_share(
+    df: DataFrame,
+    value: str,
+    name: str,
+    within: list[str] | None = None,
+    digits: int | None = 2,
+    closed_set: bool = False,
+) -> DataFrame:
     """Adds each row's percentage of the total, over all rows or within the given columns.
 
-    Meant for rows that are already aggregated. The overall total is a scalar subquery: a window over everything
-    would bring all groups into one task.
+    Meant for rows that are already aggregated. The overall total is a scalar subquery, since a window over everything
+    would bring all groups into one task. Groups of a closed set (states, genders) are a few dozen rows by definition:
+    for those the window is taken, which reads the input only once.
     """
-    if within:
-        total = F.sum(value).over(W.partitionBy(*within))
+    if within or closed_set:
+        total = F.sum(value).over(W.partitionBy(*(within or [])))
     else:
         total = df.agg(F.sum(value)).scalar()
     return df.withColumn(name, percent(F.col(value), total, digits))

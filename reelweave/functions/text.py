@@ -24,7 +24,7 @@ def blank_to_null(col: Column) -> Column:
 def parse_title_year(raw: Column) -> Column:
     """``struct(title, year)`` of "Title (YYYY)"; null when the text has another shape."""
     text = strip(raw)
-    year = blank_to_null(F.regexp_extract(text, TITLE_YEAR_PATTERN, 2)).cast("int")
+    year = F.regexp_extract(text, TITLE_YEAR_PATTERN, 2).try_cast("int")
     title = strip(F.regexp_extract(text, TITLE_YEAR_PATTERN, 1))
     return F.when(year.isNotNull(), F.struct(title.alias("title"), year.alias("year")))
 
@@ -37,7 +37,7 @@ def title_year_or_raw(raw: Column) -> Column:
 
 def title_year_anywhere(raw: Column, default_year: int | None = 2000) -> Column:
     """Takes the first bracketed year from anywhere in the text, cuts it out of the title."""
-    year = blank_to_null(F.regexp_extract(raw, ANY_YEAR_PATTERN, 1)).cast("int")
+    year = F.regexp_extract(raw, ANY_YEAR_PATTERN, 1).try_cast("int")
     title = F.regexp_replace(raw, r"^(.*?)\s*\(\d{4}\)", "$1")
     default = F.lit(default_year).cast("int")
     return F.when(raw.isNotNull(), F.struct(title.alias("title"), F.coalesce(year, default).alias("year")))

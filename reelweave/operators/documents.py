@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reelweave import fixed_values as fv
 from reelweave.functions import normalize as nz
-from reelweave.functions.text import blank_to_null, parse_title_year, slugify, title_year_or_raw
+from reelweave.functions.text import blank_to_null, slugify, strip
 from reelweave.schemas import RELEASE, SHORT
 
 CATEGORY = "struct<year: variant, platform: variant, developer: variant, characters: variant>"
@@ -27,8 +27,9 @@ def _get(source: str | Column, path: str, kind: str) -> Column:
 
 def parse_documents(files: DataFrame) -> DataFrame:
     """(value, path) rows -> one row per JSON object. Unparsable files and top-level arrays drop out."""
-    parsed = files.withColumn("doc", F.try_parse_json("value"))
-    objects = parsed.filter(F.col("doc").isNotNull() & F.col("value").rlike(r"^\s*\{"))
+    # the parse sits inside the explode, so that dropping unparsable texts does not parse every text twice
+    parsed = F.filter(F.array(F.try_parse_json("value")), lambda d: d.isNotNull())
+    objects = files.filter(F.col("value").rlike(r"^\s*\{")).select("path", F.explode(parsed).alias("doc"))
     return objects.select(
         "doc",
         F.element_at(F.split("path", "/"), -1).alias("source_file"),
@@ -54,12 +55,24 @@ def franchise_of(default: str = "Unknown") -> Column:
 
 
 def _titles(path: str, media_type: str, keep_raw: bool) -> Column:
-    parse = title_year_or_raw if keep_raw else parse_title_year
+    """Titles of a text array. Each text is matched once; texts without a year drop out unless kept as they are."""
     texts = F.coalesce(_get("doc", path, "array<string>"), F.array().cast("array<string>"))
-    parsed = F.filter(F.transform(texts, parse), lambda t: t.isNotNull())
+    matched = F.transform(
+        F.transform(F.filter(texts, lambda x: x.isNotNull()), strip),
+        lambda x: F.struct(
+            x.alias("raw"),
+            strip(F.regexp_extract(x, fv.TITLE_YEAR_PATTERN, 1)).alias("title"),
+            F.regexp_extract(x, fv.TITLE_YEAR_PATTERN, 2).try_cast("int").alias("year"),
+        ),
+    )
+    if not keep_raw:
+        matched = F.filter(matched, lambda t: t.year.isNotNull())
     return F.transform(
-        parsed,
-        lambda t: F.struct(t.title.alias("title"), t.year.alias("year"), F.lit(media_type).alias("media_type")),
+        matched,
+        lambda t: F.struct(
+            F.when(t.year.isNotNull(), t.title).otherwise(t.raw).alias("title"), t.year.alias("year"),
+            F.lit(media_type).alias("media_type"),
+        ),
     )
 
 
@@ -115,17 +128,24 @@ def _categories() -> Column:
     return F.map_concat(kept, alternate)
 
 
+def _category_entries() -> Column:
+    """(category, body) of every category that is an object; each body is read once."""
+    entries = F.transform(
+        F.map_entries(_categories()),
+        lambda e: F.struct(e.key.alias("category"), _get(e.value, "$", CATEGORY).alias("body")),
+    )
+    return F.filter(entries, lambda e: e.body.isNotNull())
+
+
 def category_rows(docs: DataFrame) -> DataFrame:
     """One row per category of each document; values that are not objects are skipped."""
-    exploded = docs.select("*", F.explode(_categories()).alias("category", "_value"))
-    return (
-        exploded.withColumn("_c", _get("_value", "$", CATEGORY))
-        .filter(F.col("_c").isNotNull())
-        .withColumn("category_year", _get("_c.year", "$", "int"))
-        .withColumn("platform", _get("_c.platform", "$", "string"))
-        .withColumn("developer", _get("_c.developer", "$", "string"))
-        .withColumn("characters", _get("_c.characters", "$", "array<variant>"))
-        .drop("_value", "_c")
+    return docs.select("*", F.explode(_category_entries()).alias("e")).select(
+        *docs.columns,
+        "e.category",
+        _get("e.body.year", "$", "int").alias("category_year"),
+        _get("e.body.platform", "$", "string").alias("platform"),
+        _get("e.body.developer", "$", "string").alias("developer"),
+        _get("e.body.characters", "$", "array<variant>").alias("characters"),
     )
 
 
@@ -138,23 +158,20 @@ def _groups() -> Column:
             characters.alias("characters"),
         )
 
-    def of_category(entry: Column) -> Column:
-        body = _get(entry.value, "$", CATEGORY)
-        return group(
-            "categories", entry.key, _get(body.year, "$", "int"), _get(body.characters, "$", "array<variant>")
-        )
+    def people(value: Column) -> Column:
+        return _get(value, "$", "array<variant>")
 
     no_year = F.lit(None).cast("int")
-    direct = _get("doc", "$.characters", "array<variant>")
     mapped = F.coalesce(
         _get("doc", "$.characters", "map<string, variant>"), F.create_map().cast("map<string, variant>")
     )
     everything = F.concat(
-        F.transform(F.map_entries(_categories()), of_category),
-        F.array(group("list", F.lit(None).cast("string"), no_year, direct)),
         F.transform(
-            F.map_entries(mapped), lambda e: group("map", e.key, no_year, _get(e.value, "$", "array<variant>"))
+            _category_entries(),
+            lambda e: group("categories", e.category, _get(e.body.year, "$", "int"), people(e.body.characters)),
         ),
+        F.array(group("list", F.lit(None).cast("string"), no_year, _get("doc", "$.characters", "array<variant>"))),
+        F.transform(F.map_entries(mapped), lambda e: group("map", e.key, no_year, people(e.value))),
     )
     return F.filter(everything, lambda g: g.characters.isNotNull())
 
@@ -195,9 +212,8 @@ def character_rows(docs: DataFrame, all_media: bool = False, first_for_lists: bo
     grouped = grouped.withColumn("own_media", own)
     if all_media:
         grouped = grouped.withColumn("own_media", F.explode_outer("media"))
-    people = grouped.select("*", F.posexplode("characters").alias("position", "_raw")).withColumn(
-        "_person", _get("_raw", "$", CHARACTER)
-    )
+    records = F.transform("characters", lambda c: _get(c, "$", CHARACTER))
+    people = grouped.select("*", F.posexplode(records).alias("position", "_person"))
     return people.filter(blank_to_null(F.col("_person.name")).isNotNull()).select(
         "source_dir", "source_file", "franchise", "container", "category", "category_year", "group_position",
         "position", "_person.*", F.col("own_media.title").alias("media_title"),
@@ -299,8 +315,8 @@ def game_rows(docs: DataFrame) -> DataFrame:
     studio = F.coalesce(_get("doc", "$.studio", "string"), F.lit(fv.DEFAULT_GAME_STUDIO))
     first_of_year = F.get(
         F.filter(
-            F.transform(F.map_values(_categories()), lambda v: _get(v, "$", CATEGORY)),
-            lambda c: F.coalesce(_get(c.year, "$", "int") == F.col("m.year"), F.lit(False)),
+            "_categories",
+            lambda e: F.coalesce(_get(e.body.year, "$", "int") == F.col("m.year"), F.lit(False)),
         ),
         F.lit(0),
     )
@@ -308,12 +324,13 @@ def game_rows(docs: DataFrame) -> DataFrame:
         with_media(docs)
         .withColumn("franchise", franchise_of())
         .withColumn("studio", studio)
+        .withColumn("_categories", _category_entries())
         .select("*", F.posexplode(F.filter("media", lambda m: m.media_type == "game")).alias("position", "m"))
         .withColumn("_category", first_of_year)
         .select(
             "source_file", "position", "franchise", "m.title", "m.year",
-            F.coalesce(_get("_category.developer", "$", "string"), nz.developer(F.col("studio"))).alias("developer"),
+            F.coalesce(_get("_category.body.developer", "$", "string"), nz.developer(F.col("studio"))).alias("developer"),
             nz.publisher(F.col("studio")).alias("publisher"),
-            nz.platforms(_get("_category.platform", "$", "string")).alias("platforms"),
+            nz.platforms(_get("_category.body.platform", "$", "string")).alias("platforms"),
         )
     )

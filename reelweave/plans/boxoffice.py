@@ -197,7 +197,8 @@ def geographic_share(t: Tables) -> DataFrame:
         F.count("film_id").alias("films_shown"),
         (F.sum("revenue").cast("double") / F.nullif(F.sum("reports"), F.lit(0))).alias("avg_daily_revenue"),
     )
-    return with_share(per_state, "total_revenue", "market_share").orderBy(F.desc("total_revenue"), "state_code")
+    shared = with_share(per_state, "total_revenue", "market_share", closed_set=True)
+    return shared.orderBy(F.desc("total_revenue"), "state_code")
 
 
 def opening_performance(t: Tables, k: int = 25) -> DataFrame:

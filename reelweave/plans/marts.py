@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelweave.functions.measures import mean
-from reelweave.operators.relational import composite_lookup, distinct_list, lookup_inner, lookup_left
+from reelweave.operators.relational import composite_lookup, lookup_inner, lookup_left
 from reelweave.plans.tables import Tables
 
 REVENUE_COLUMNS = {"total_revenue": "double", "opening_week_revenue": "double", "weeks_in_release": "int"}
@@ -27,18 +27,23 @@ def films_complete(t: Tables, with_revenue: bool = True) -> DataFrame:
     )
 
 
+def _casting(t: Tables) -> DataFrame:
+    """Appearances and the sorted list of voice actors by character, from one pass over the appearances.
+
+    Rows are reduced to one per character and actor before the names are joined and listed.
+    """
+    pairs = t.character_appearances.groupBy(F.col("character_id").alias("id"), "talent_id").agg(F.count("*").alias("n"))
+    return lookup_left(pairs, t.talent, "talent_id", {"name": "actor"}).groupBy("id").agg(
+        F.sum("n").alias("appearance_count"),
+        F.array_join(F.sort_array(F.collect_set("actor")), ", ").alias("voice_actors_str"),
+    )
+
+
 def characters_complete(t: Tables) -> DataFrame:
     """Characters with role, gender, number of appearances and the sorted list of their voice actors."""
-    counts = t.character_appearances.groupBy(F.col("character_id").alias("id")).agg(
-        F.count("*").alias("appearance_count")
-    )
-    pairs = t.character_appearances.select(F.col("character_id").alias("id"), "talent_id").distinct()
-    voices = distinct_list(
-        lookup_inner(pairs, t.talent, "talent_id", {"name": "voice_actor"}), ["id"], "voice_actor", "voice_actors_str"
-    )
     rows = lookup_left(t.characters, t.roles, "role_id", {"name": "role"})
     rows = lookup_left(rows, t.genders, "gender_id", {"name": "gender"})
-    rows = rows.join(counts, "id", "left").join(voices, "id", "left")
+    rows = rows.join(_casting(t), "id", "left")
     return rows.select(
         "id", "name", "franchise", "role", "gender", "species", "first_appearance_year",
         F.coalesce("appearance_count", F.lit(0)).alias("appearance_count"),
@@ -72,18 +77,19 @@ def studio_stats(t: Tables) -> DataFrame:
         mean("total_revenue").alias("avg_box_office"),
         F.countDistinct("franchise_name").alias("franchise_count"),
     )
-    owners = films.select(F.col("franchise_name").alias("franchise"), "studio_name").distinct()
-    people = characters_complete(t).select("id", "franchise", "voice_actors_str")
+    owners = films_complete(t, with_revenue=False).select(F.col("franchise_name").alias("franchise"), "studio_name").distinct()
+    people = t.characters.select("id", "franchise").filter(F.col("franchise").isNotNull())
 
     def per_owner(rows: DataFrame) -> DataFrame:
         return rows.join(owners, "franchise").groupBy("studio_name")
 
-    # the empty list of a character without a voice is a value of its own
-    lists = people.groupBy("franchise", "voice_actors_str").agg(F.count("*").alias("n"))
-    characters = per_owner(lists).agg(
-        F.sum("n").alias("character_count"), F.countDistinct("voice_actors_str").alias("unique_voice_actors")
+    # a character without a voice has the empty list, a value of its own
+    lists = people.join(_casting(t), "id", "left").withColumn("voices", F.coalesce("voice_actors_str", F.lit("")))
+    characters = per_owner(lists.groupBy("franchise", "voices").agg(F.count("*").alias("n"))).agg(
+        F.sum("n").alias("character_count"), F.countDistinct("voices").alias("unique_voice_actors")
+    )
+    pairs = t.character_appearances.groupBy(F.col("character_id").alias("id"), "talent_id").agg(F.count("*").alias("n"))
+    actors = per_owner(pairs.join(people, "id").select("franchise", "talent_id").distinct()).agg(
+        F.countDistinct("talent_id").alias("distinct_voice_actors")
     )
-    cast = t.character_appearances.select(F.col("character_id").alias("id"), "talent_id").filter("talent_id IS NOT NULL")
-    voices = cast.join(t.characters.select("id", "franchise"), "id").select("franchise", "talent_id").distinct()
-    actors = per_owner(voices).agg(F.countDistinct("talent_id").alias("distinct_voice_actors"))
     return per_studio.join(characters, "studio_name", "left").join(actors, "studio_name", "left")

@@ -9,7 +9,7 @@ from reelweave import fixed_values as fv
 from reelweave.functions import normalize as nz
 from reelweave.functions.measures import count_where, percent, with_share
 from reelweave.operators.relational import (
-    distinct_list, gender_split, lookup_inner, lookup_left, members_of, top_k, with_child_count,
+    gender_split, lookup_inner, lookup_left, members_of, top_k, with_child_count,
 )
 from reelweave.plans.tables import Tables
 
@@ -240,22 +240,23 @@ def dashboard_gender_by_role(characters: DataFrame) -> DataFrame:
 
 
 def top_talents(characters: DataFrame, k: int = 50) -> DataFrame:
-    """Voice actors by characters, with the number of film links and the studios they worked for."""
-    voiced = characters.filter(nz.is_real_name(F.col("voice_actor")))
+    """Voice actors by characters, with the number of film links and the studios they worked for.
+
+    Rows are first reduced to one per actor and studio, so the list of an actor is built from distinct studios.
+    """
     films = F.size(F.from_json("film_ids", "array<string>"))
-    per_studio = voiced.groupBy("voice_actor", "studio_id").agg(
-        F.count("*").alias("n"), F.sum(films).alias("films")
+    per_studio = (
+        characters.filter(nz.is_real_name(F.col("voice_actor")))
+        .groupBy("voice_actor", "studio_id")
+        .agg(F.count("*").alias("n"), F.sum(films).alias("films"))
     )
     per_actor = per_studio.groupBy("voice_actor").agg(
-        F.sum("n").alias("character_count"), F.sum("films").alias("film_count")
+        F.sum("n").alias("character_count"),
+        F.sum("films").alias("film_count"),
+        F.array_join(F.sort_array(F.collect_set("studio_id")), ", ").alias("studios"),
     )
     best = top_k(per_actor, k, F.desc("character_count"), F.asc("voice_actor"))
-    # the list is only built for the few actors that are shown
-    studios = distinct_list(per_studio.join(best.select("voice_actor"), "voice_actor", "left_semi"), ["voice_actor"],
-                            "studio_id", "studios")
-    return best.join(studios, "voice_actor", "left").select(
-        F.col("voice_actor").alias("name"), "film_count", "character_count", "studios"
-    )
+    return best.select(F.col("voice_actor").alias("name"), "film_count", "character_count", "studios")
 
 
 def prolific_actors(characters: DataFrame, k: int = 15) -> DataFrame:
@@ -296,7 +297,7 @@ def films_by_year(films: DataFrame) -> DataFrame:
 
 def species_group_share(characters: DataFrame, k: int = 10) -> DataFrame:
     counted = characters.groupBy(nz.species_group(F.col("species")).alias("species")).agg(F.count("*").alias("count"))
-    return top_k(with_share(counted, "count", "percentage", digits=0), k, F.desc("count"), F.asc("species"))
+    return top_k(with_share(counted, "count", "percentage", digits=0, closed_set=True), k, F.desc("count"), F.asc("species"))
 
 
 def villain_share(characters: DataFrame) -> DataFrame:

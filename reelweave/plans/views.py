@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelweave.functions.measures import count_where, percent
+from reelweave.functions.measures import count_where, with_share
 from reelweave.operators.relational import distinct_list, lookup_inner, lookup_left, with_branch_counts
 from reelweave.plans.tables import Tables
 
@@ -141,12 +141,10 @@ def v_characters(t: Tables) -> DataFrame:
 
 def v_gender_stats(t: Tables) -> DataFrame:
     counted = t.characters.groupBy("gender_id").agg(F.count("*").alias("character_count"))
-    total = t.characters.agg(F.count("*")).scalar()
     named = lookup_left(counted, t.genders, "gender_id", {"name": "gender"})
     per_gender = named.groupBy("gender").agg(F.sum("character_count").alias("character_count"))
-    return per_gender.withColumn("percentage", percent(F.col("character_count"), total)).orderBy(
-        F.desc("character_count"), F.asc_nulls_last("gender")
-    )
+    shared = with_share(per_gender, "character_count", "percentage", closed_set=True)
+    return shared.orderBy(F.desc("character_count"), F.asc_nulls_last("gender"))
 
 
 def v_role_stats(t: Tables) -> DataFrame:

@@ -16,12 +16,6 @@ from reelweave.plans import boxoffice as bo
 from reelweave.plans.tables import Tables
 from reelweave.sources import readers
 
-LINE_COLUMNS = [
-    "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-    "l_linestatus", "l_shipdate",
-]
-
-
 def franchise_id(kind):
     return (F.ascii(kind) * 1000 + F.length(kind)).cast("bigint")
 
@@ -42,7 +36,7 @@ class Catalogue(Tables):
         return self._spark
 
     def raw(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return readers.read_spread(self._spark, f"{self._folder}/{name}.parquet")
 
     # ---- lookups
 
@@ -105,7 +99,7 @@ class Catalogue(Tables):
 
     def make_platforms(self):
         names = [*fv.PLATFORMS, "Nintendo Wii"]
-        return self._spark.createDataFrame([(i, n) for i, n in enumerate(names, start=1)], "id BIGINT, name STRING")
+        return readers.small_table(self._spark, list(enumerate(names, start=1)), "id BIGINT, name STRING")
 
     def make_game_platforms(self):
         links = self.games.select(F.col("id").alias("game_id"), F.explode("platforms").alias("name"))
@@ -142,11 +136,12 @@ class Catalogue(Tables):
         role = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 5).otherwise(4)
         return self.raw("lineitem").join(orders, "l_orderkey").select(
             "character_id", F.col("l_partkey").alias("media_id"), F.col("l_suppkey").alias("talent_id"),
-            role.cast("bigint").alias("role_id"), *LINE_COLUMNS,
+            role.cast("bigint").alias("role_id"),
         )
 
     def make_character_appearances(self):
-        kept = first_per_key(self.appearance_rows(), ["character_id", "media_id"], LINE_COLUMNS)
+        """One row per character and title, in the order the junction builder uses."""
+        kept = first_per_key(self.appearance_rows(), ["character_id", "media_id"], ["talent_id", "role_id"])
         return kept.select(
             surrogate_key("character_id", "media_id").alias("id"), "character_id", "media_id", "talent_id", "role_id"
         )
@@ -316,14 +311,13 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "appearance_rows": (
         [],
         """SELECT o_custkey AS character_id, l_partkey AS media_id, l_suppkey AS talent_id,
-             CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 5 ELSE 4 END AS BIGINT) AS role_id, lineitem.*
+             CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 5 ELSE 4 END AS BIGINT) AS role_id
            FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
     ),
     "appearances": (
         ["appearance_rows"],
         """SELECT character_id, media_id, talent_id, role_id FROM (
-             SELECT *, row_number() OVER (PARTITION BY character_id, media_id ORDER BY l_orderkey, l_linenumber,
-               l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
+             SELECT *, row_number() OVER (PARTITION BY character_id, media_id ORDER BY talent_id, role_id) AS rn
              FROM appearance_rows) WHERE rn = 1""",
     ),
     "dashboard_films": (

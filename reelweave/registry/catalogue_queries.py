@@ -129,6 +129,7 @@ def _(t):
          round(100.0::DOUBLE * CAST(sum(revenue) AS DOUBLE) / CAST(sum(sum(revenue)) OVER () AS DOUBLE), 2) AS market_share
        FROM reports GROUP BY state_code""", "reports"))
 def _(t):
+    t.box_office_daily = t.box_office_reports()
     return bo.geographic_share(t)
 
 

@@ -13,6 +13,7 @@ from reelweave.plans import builders as b
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
 from reelweave.registry.text_queries import _quoted
+from reelweave.session import handoff
 
 SHAPES = {
     "F": """{"franchise": "Saga ~c", "studio": "Blue Sky Co", "films": ["Alpha ~k (1990)", "Beta ~k (1995)", "Gamma"],
@@ -41,7 +42,8 @@ def order_documents(t):
 
 
 def parsed(t):
-    return doc.parse_documents(order_documents(t))
+    """The table is one small file; a folder of documents would be read by many tasks."""
+    return doc.parse_documents(order_documents(t).repartition(t.spark.sparkContext.defaultParallelism))
 
 
 DOCS = """docs AS (SELECT o_orderkey AS k, o_custkey AS c, o_custkey % 10 AS v, o_orderstatus AS s, 'folder_' || lower(o_orderstatus) AS source_dir,
@@ -161,7 +163,8 @@ def game_documents(t):
             F.lit("other"), F.struct(F.lit(1999).alias("year"), F.lit("PC").alias("platform"), F.lit("Third House").alias("developer")),
         ).alias("categories"))
     path = F.concat(F.lit("/data/games/g_"), "p_partkey", F.lit(".json"))
-    return t.raw("part").select(F.to_json(body).alias("value"), path.alias("path"))
+    files = t.raw("part").repartition(t.spark.sparkContext.defaultParallelism)
+    return files.select(F.to_json(body).alias("value"), path.alias("path"))
 
 
 GAMES = """games AS (SELECT p_partkey AS k, p_name || ' ' || p_partkey AS title, 2004 AS year, p_type AS franchise, 'Second House' AS developer,
@@ -179,11 +182,11 @@ def _(t):
 WITH {GAMES} SELECT g.title, g.year, g.developer, g.publisher, p.name AS platform FROM games g
 LEFT JOIN (VALUES (2004, 'Nintendo DS'), (2004, 'Nintendo Wii'), (2004, 'PlayStation 2')) AS p(year, name) ON p.year = g.year""")
 def _(t):
-    rows = doc.game_rows(doc.parse_documents(game_documents(t)))
+    rows = handoff(doc.game_rows(doc.parse_documents(game_documents(t))))
     records = rows.select("title", "year", "franchise", F.lit("game").alias("media_type"))
     franchises = records.select(F.col("franchise").alias("name")).distinct().withColumn("id", F.xxhash64("name"))
     media = b.build_media(records, franchises)
-    games = b.build_games(rows, media)
+    games = handoff(b.build_games(rows, media))
     platforms = b.build_platforms(games, t.platforms.filter(F.col("name") != "Nintendo Wii"))
     links = b.build_game_platforms(games, platforms).join(platforms.withColumnRenamed("id", "platform_id"), "platform_id")
     titled = games.join(media.select(F.col("id").alias("media_id"), "title", "year"), "media_id")
@@ -206,7 +209,8 @@ ALBUM = """[{"film": "Film ~k", "film_year": 1994, "releases": [
 def soundtracks(t):
     """One soundtrack file per order."""
     text = F.replace(F.lit(ALBUM), F.lit("~k"), F.col("o_orderkey").cast("string"))
-    files = t.raw("orders").select(F.replace(text, F.lit("~v"), (F.col("o_custkey") % 10).cast("string")).alias("value"))
+    orders = t.raw("orders").repartition(t.spark.sparkContext.defaultParallelism)
+    files = orders.select(F.replace(text, F.lit("~v"), (F.col("o_custkey") % 10).cast("string")).alias("value"))
     return doc.soundtrack_entries(files)
 
 
@@ -243,14 +247,14 @@ def _(t):
 
 def music(t):
     """Media, soundtracks and songs built from the soundtrack files."""
-    releases = doc.release_rows(soundtracks(t))
+    releases = handoff(doc.release_rows(soundtracks(t)))
     films = releases.select(F.col("film").alias("title"), F.col("film_year").alias("year"), F.col("film").alias("franchise"), F.lit("film").alias("media_type"))
     albums = b.soundtrack_media(releases)
     franchises = albums.select(F.col("franchise").alias("name")).distinct().withColumn("id", F.xxhash64("name"))
-    media = b.build_media(films.unionByName(albums), franchises)
+    media = handoff(b.build_media(films.unionByName(albums), franchises))
     tracks = doc.track_rows(releases)
-    built = b.build_soundtracks(releases, media)
-    return releases, media, tracks, built, b.build_songs(tracks, built)
+    built = handoff(b.build_soundtracks(releases, media))
+    return releases, media, tracks, built, handoff(b.build_songs(tracks, built))
 
 
 @query("build_soundtracks", """
@@ -281,7 +285,7 @@ SELECT 'Film ' || o_orderkey AS film, body AS award_body, category, level AS is_
 FROM orders, (VALUES ('Academy Awards', 'Best Original Score', 'won', NULL, false), ('Local Prize', 'Best Song', 'nominated', 'Song A', false)) AS v(body, category, result, song, level)""")
 def _(t):
     _, media, _, built, songs = music(t)
-    awards = doc.award_rows(soundtracks(t))
+    awards = handoff(doc.award_rows(soundtracks(t)))
     bodies = b.build_award_bodies(awards, t.award_bodies)
     categories = b.build_award_categories(awards, bodies, t.award_categories)
     rows = b.nomination_rows(awards, bodies, categories, media, b.song_lookup(songs, built, media))

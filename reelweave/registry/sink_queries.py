@@ -125,11 +125,11 @@ GOOD = f"SELECT * FROM event_reports e JOIN events USING (event_id) WHERE {BAD.r
 @query("stream_upsert_daily", with_views(
     LATEST.replace("FROM event_reports", f"FROM (SELECT * FROM event_reports WHERE {BAD.replace('event_type', 'state_code')} = 9)"), "event_reports"))
 def _(t):
-    """One file per batch in no particular order; a second query then replays everything."""
+    """Batches of two files in no particular order; a second query then replays everything at once."""
     folder = fresh_folder(t.spark, "daily")
     source = message_folder(t)
-    for run in ("first", "replay"):
-        messages = streams.read_folder(t.spark, source, "revenue-events", max_files=1)
+    for run, files in (("first", 2), ("replay", None)):
+        messages = streams.read_folder(t.spark, source, "revenue-events", max_files=files)
         revenue.upsert_daily(messages, f"{folder}/table", f"{folder}/quarantine-{run}", f"{folder}/{run}").awaitTermination()
     stored = t.spark.read.schema(revenue.DAILY_SCHEMA).parquet(f"{folder}/table")
     return stored.select(*revenue.DAILY_KEYS, "revenue")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that the plans in this package rely on: AQE turns joins into broadcasts only after it has measured the
 # side, splits skewed partitions of sort-merge joins and merges small shuffle partitions.
@@ -48,3 +48,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; nothing is ever written twice to the same one."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def handoff(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder, for a table that several later steps read."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

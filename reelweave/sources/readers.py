@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelweave import fixed_values as fv
 from reelweave.operators.documents import is_catalogue_file, parse_documents
@@ -38,6 +40,21 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
+def read_spread(spark: SparkSession, path: str, min_bytes: int = 4 << 20) -> DataFrame:
+    """Parquet data, spread over all cores when its files alone would not occupy them.
+
+    A file with a single row group is read by one task, however large it is. Inputs with at least one split per core,
+    as any large one has, and inputs below ``min_bytes`` are left as they are.
+    """
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # the scan makes at least one split per 128 MB, so large inputs need no look at their files
+    if not min_bytes <= size < cores * (128 << 20) or rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str, enforce: bool = False) -> DataFrame:
     """The Parquet data at the path, or no rows of the given schema when there is none.
 
@@ -84,8 +101,16 @@ def apply_hook(df: DataFrame, transform: Callable[[DataFrame], DataFrame] | None
     return df if transform is None else df.transform(transform)
 
 
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Literal rows as a local relation: its size is known, so a join with it is planned as a broadcast."""
+    fields = T._parse_datatype_string(schema).fields
+    columns = {f.name: [row[i] for row in rows] for i, f in enumerate(fields)}
+    types = [(f.name, {"bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}[f.dataType.simpleString()]) for f in fields]
+    return spark.createDataFrame(pa.table(columns, schema=pa.schema(types)))
+
+
 def _names(spark: SparkSession, names: list[str]) -> DataFrame:
-    return spark.createDataFrame([(i, n) for i, n in enumerate(names, start=1)], "id BIGINT, name STRING")
+    return small_table(spark, list(enumerate(names, start=1)), "id BIGINT, name STRING")
 
 
 def roles(spark: SparkSession) -> DataFrame:
@@ -111,14 +136,14 @@ def award_bodies(spark: SparkSession) -> DataFrame:
 def award_categories(spark: SparkSession) -> DataFrame:
     bodies = {name: i for i, name in enumerate(fv.AWARD_BODIES, start=1)}
     rows = [(i, bodies[body], name, level) for i, (body, name, level) in enumerate(fv.AWARD_CATEGORIES, start=1)]
-    return spark.createDataFrame(rows, "id BIGINT, award_body_id BIGINT, name STRING, is_media_level BOOLEAN")
+    return small_table(spark, rows, "id BIGINT, award_body_id BIGINT, name STRING, is_media_level BOOLEAN")
 
 
 def species(spark: SparkSession) -> DataFrame:
     """Canonical species; a child refers to its parent."""
     ids = {name: i for i, name in enumerate(fv.SPECIES, start=1)}
     rows = [(i, name, ids.get(fv.SPECIES_PARENTS.get(name))) for name, i in ids.items()]
-    return spark.createDataFrame(rows, "id BIGINT, name STRING, parent_species_id BIGINT")
+    return small_table(spark, rows, "id BIGINT, name STRING, parent_species_id BIGINT")
 
 
 def species_with_parent(species_table: DataFrame) -> DataFrame:
