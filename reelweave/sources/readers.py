@@ -44,7 +44,8 @@ def read_spread(spark: SparkSession, path: str, min_bytes: int = 4 << 20) -> Dat
     """Parquet data, spread over all cores when its files alone would not occupy them.
 
     A file with a single row group is read by one task, however large it is. Inputs with at least one split per core,
-    as any large one has, and inputs below ``min_bytes`` are left as they are.
+    as any large one has, and inputs below ``min_bytes`` are left as they are. Rows are spread by the hash of their
+    first column: round robin would sort them first.
     """
     rows = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
@@ -52,7 +53,7 @@ def read_spread(spark: SparkSession, path: str, min_bytes: int = 4 << 20) -> Dat
     # the scan makes at least one split per 128 MB, so large inputs need no look at their files
     if not min_bytes <= size < cores * (128 << 20) or rows.rdd.getNumPartitions() >= cores:
         return rows
-    return rows.repartition(cores)
+    return rows.repartition(cores, rows.columns[0])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str, enforce: bool = False) -> DataFrame:
