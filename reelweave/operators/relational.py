@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,14 +63,20 @@ def lookup_inner(df: DataFrame, dimension: DataFrame, key: str, columns: dict[st
 
 
 def composite_lookup(
-    df: DataFrame, other: DataFrame, on: dict[str, str], columns: dict[str, str], how: str = "left"
+    df: DataFrame,
+    other: DataFrame,
+    on: dict[str, str],
+    columns: dict[str, str],
+    how: str = "left",
+    any_case: Collection[str] = (),
 ) -> DataFrame:
-    """Join on several columns of different names; null keys never match."""
+    """Join on several columns of different names; null keys never match. Columns in ``any_case`` ignore letter case."""
     picked = other.select(
-        *[F.col(theirs).alias(f"_on_{theirs}") for theirs in on.values()],
+        *[(F.lower(theirs) if ours in any_case else F.col(theirs)).alias(f"_on_{theirs}") for ours, theirs in on.items()],
         *[F.col(c).alias(n) for c, n in columns.items()],
     )
-    condition = reduce(lambda a, b: a & b, [F.col(ours) == F.col(f"_on_{theirs}") for ours, theirs in on.items()])
+    pairs = [(F.lower(ours) if ours in any_case else F.col(ours), F.col(f"_on_{theirs}")) for ours, theirs in on.items()]
+    condition = reduce(lambda a, b: a & b, [ours == theirs for ours, theirs in pairs])
     return df.join(picked, condition, how).drop(*[f"_on_{theirs}" for theirs in on.values()])
 
 

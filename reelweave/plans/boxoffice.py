@@ -47,7 +47,7 @@ def allocate(df: DataFrame, total: str, minimum: float = 100.0, weights: dict[st
 
 
 def build_daily(raw: DataFrame, films: DataFrame, media: DataFrame) -> DataFrame:
-    """Daily rows with the film they belong to; rows of unknown films keep a null id."""
+    """Daily rows with the film they belong to, under its catalogue title; rows of unknown films keep a null id."""
     titled = films.select(F.col("id").alias("film_id"), F.col("media_id")).join(
         media.select(F.col("id").alias("media_id"), "title", "year"), "media_id"
     )
@@ -55,7 +55,10 @@ def build_daily(raw: DataFrame, films: DataFrame, media: DataFrame) -> DataFrame
         "film_title", "film_year", F.try_to_date("report_date").alias("report_date"), "state_code",
         F.col("revenue").cast(MONEY).alias("revenue"), "week_number", "is_weekend",
     )
-    matched = composite_lookup(rows, titled, {"film_title": "title", "film_year": "year"}, {"film_id": "film_id"})
+    matched = composite_lookup(
+        rows, titled, {"film_title": "title", "film_year": "year"}, {"film_id": "film_id", "title": "_title"},
+        any_case=["film_title"],
+    ).withColumn("film_title", F.coalesce("_title", "film_title"))
     return matched.select(
         surrogate_key("film_title", "film_year", "report_date", "state_code").alias("id"), *FILM, "report_date",
         "state_code", "revenue", "week_number", "is_weekend",

@@ -51,12 +51,12 @@ def build_media(records: DataFrame, franchises: DataFrame) -> DataFrame:
 
 def build_films(raw_films: DataFrame, media: DataFrame, studios: DataFrame) -> DataFrame:
     titles = media.filter(F.col("media_type") == "film")
-    rows = raw_films.select(F.lower("title").alias("_title"), "year", "studio", "animation_type")
+    rows = raw_films.select(F.lower("title").alias("title"), "year", "studio", "animation_type")
     first = first_per_key(
-        rows.distinct(), ["_title", "year"], [F.asc_nulls_last("studio"), F.asc_nulls_last("animation_type")]
+        rows.distinct(), ["title", "year"], [F.asc_nulls_last("studio"), F.asc_nulls_last("animation_type")]
     )
     placed = composite_lookup(
-        first, titles.withColumn("_lower", F.lower("title")), {"_title": "_lower", "year": "year"}, {"id": "media_id"}
+        first, titles, {"title": "title", "year": "year"}, {"id": "media_id"}, any_case=["title"]
     )
     owned = composite_lookup(placed, studios, {"studio": "name"}, {"id": "studio_id"})
     return owned.select(surrogate_key("media_id").alias("id"), "media_id", "studio_id", "animation_type")
@@ -118,7 +118,9 @@ def build_appearances(
         "media_title",
         "media_year",
     )
-    placed = composite_lookup(rows, media, {"media_title": "title", "media_year": "year"}, {"id": "media_id"}, "inner")
+    placed = composite_lookup(
+        rows, media, {"media_title": "title", "media_year": "year"}, {"id": "media_id"}, "inner", ["media_title"]
+    )
     with_role = resolve_lookup(placed, roles, F.col("role"), "role_id")
     order = [F.asc_nulls_last("talent_id"), F.asc_nulls_last("role_id")]
     return build_junction(with_role, ["character_id", "media_id"], ["talent_id", "role_id"], order)
@@ -129,11 +131,11 @@ def build_appearances(
 
 def build_games(game_rows: DataFrame, media: DataFrame) -> DataFrame:
     """Games unique by (title, year), with publisher and developer."""
-    titles = media.filter(F.col("media_type") == "game").withColumn("_lower", F.lower("title"))
-    first = first_per_key(game_rows, [F.lower("title"), F.col("year")], ORDER_OF_FILES).withColumn(
-        "_title", F.lower("title")
+    titles = media.filter(F.col("media_type") == "game")
+    first = first_per_key(game_rows, [F.lower("title"), F.col("year")], ORDER_OF_FILES)
+    placed = composite_lookup(
+        first, titles, {"title": "title", "year": "year"}, {"id": "media_id"}, "inner", ["title"]
     )
-    placed = composite_lookup(first, titles, {"_title": "_lower", "year": "year"}, {"id": "media_id"}, "inner")
     return placed.select(surrogate_key("media_id").alias("id"), "media_id", "developer", "publisher", "platforms")
 
 
@@ -156,11 +158,15 @@ def build_soundtracks(releases: DataFrame, media: DataFrame) -> DataFrame:
     merged = first_per_key(
         releases.withColumn("_label", F.max("label").over(W.partitionBy(*key))), key,
         [F.asc("film"), F.asc("release_position")],
-    ).withColumns({"_title": F.lower("release_title"), "label": F.coalesce("label", "_label")})
-    albums = media.filter(F.col("media_type") == "soundtrack").withColumn("_lower", F.lower("title"))
+    ).withColumn("label", F.coalesce("label", "_label"))
+    albums = media.filter(F.col("media_type") == "soundtrack")
     films = media.filter(F.col("media_type") == "film")
-    placed = composite_lookup(merged, albums, {"_title": "_lower", "film_year": "year"}, {"id": "media_id"}, "inner")
-    sourced = composite_lookup(placed, films, {"film": "title", "film_year": "year"}, {"id": "source_media_id"})
+    placed = composite_lookup(
+        merged, albums, {"release_title": "title", "film_year": "year"}, {"id": "media_id"}, "inner", ["release_title"]
+    )
+    sourced = composite_lookup(
+        placed, films, {"film": "title", "film_year": "year"}, {"id": "source_media_id"}, any_case=["film"]
+    )
     return sourced.select(
         surrogate_key("media_id").alias("id"), "media_id", "source_media_id", "label", "release_title", "film_year"
     )
@@ -174,13 +180,16 @@ def soundtrack_media(releases: DataFrame) -> DataFrame:
     )
 
 
+def _on_album(rows: DataFrame, soundtracks: DataFrame) -> DataFrame:
+    return composite_lookup(
+        rows, soundtracks, {"release_title": "release_title", "film_year": "film_year"}, {"id": "soundtrack_id"},
+        "inner", ["release_title"],
+    )
+
+
 def build_songs(tracks: DataFrame, soundtracks: DataFrame) -> DataFrame:
     """Songs unique by (soundtrack, title); the first track number is kept."""
-    albums = soundtracks.withColumn("_lower", F.lower("release_title"))
-    placed = composite_lookup(
-        tracks.withColumn("_title", F.lower("release_title")), albums, {"_title": "_lower", "film_year": "film_year"},
-        {"id": "soundtrack_id"}, "inner",
-    )
+    placed = _on_album(tracks, soundtracks)
     songs = placed.groupBy("soundtrack_id", F.col("song_title").alias("title")).agg(
         F.min("track_number").alias("track_number")
     )
@@ -190,13 +199,8 @@ def build_songs(tracks: DataFrame, soundtracks: DataFrame) -> DataFrame:
 def build_song_credits(
     credits: DataFrame, songs: DataFrame, soundtracks: DataFrame, talent: DataFrame, credit_types: DataFrame
 ) -> DataFrame:
-    albums = soundtracks.withColumn("_lower", F.lower("release_title"))
-    placed = composite_lookup(
-        credits.withColumn("_title", F.lower("release_title")), albums, {"_title": "_lower", "film_year": "film_year"},
-        {"id": "soundtrack_id"}, "inner",
-    )
     on_song = composite_lookup(
-        placed, songs, {"soundtrack_id": "soundtrack_id", "song_title": "title"}, {"id": "song_id"}, "inner"
+        _on_album(credits, soundtracks), songs, {"soundtrack_id": "soundtrack_id", "song_title": "title"}, {"id": "song_id"}, "inner"
     )
     named = composite_lookup(on_song, talent, {"name": "name"}, {"id": "talent_id"}, "inner")
     typed = composite_lookup(named, credit_types, {"credit_type": "name"}, {"id": "credit_type_id"}, "inner")
@@ -239,7 +243,9 @@ def nomination_rows(
 ) -> DataFrame:
     """Awards of known films with their ids; awards of unknown films are left out."""
     films = media.filter(F.col("media_type") == "film")
-    placed = composite_lookup(awards, films, {"film": "title", "film_year": "year"}, {"id": "media_id"}, "inner")
+    placed = composite_lookup(
+        awards, films, {"film": "title", "film_year": "year"}, {"id": "media_id"}, "inner", ["film"]
+    )
     bodied = composite_lookup(placed, bodies, {"award_body": "name"}, {"id": "award_body_id"}, "inner")
     typed = composite_lookup(
         bodied, categories, {"award_body_id": "award_body_id", "category": "name"}, {"id": "award_category_id"}, "inner"

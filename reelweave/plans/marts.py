@@ -54,7 +54,9 @@ def characters_complete(t: Tables) -> DataFrame:
 def boxoffice_summary(t: Tables) -> DataFrame:
     names = {"studio_name": "studio_name", "franchise_name": "franchise_name"}
     on = {"film_title": "title", "film_year": "year"}
-    joined = composite_lookup(t.box_office_total, films_complete(t, with_revenue=False), on, names)
+    joined = composite_lookup(
+        t.box_office_total, films_complete(t, with_revenue=False), on, names, any_case=["film_title"]
+    )
     return joined.select(
         "film_title", "film_year", "studio_name", "franchise_name", "total_revenue", "opening_week_revenue",
         "weeks_in_release", "days_in_release", "avg_daily_revenue", "states_reached",
