@@ -189,12 +189,15 @@ def category_media(category: Column, year: Column, media: Column, by_slug: bool
     return F.get(F.filter(media, fits), F.lit(0))
 
 
-def character_rows(docs: DataFrame, all_media: bool = False, first_for_lists: bool = False) -> DataFrame:
+def character_rows(
+    docs: DataFrame, all_media: bool = False, first_for_lists: bool = False, franchise_year: bool = False
+) -> DataFrame:
     """One row per character of each document, with the media the character belongs to.
 
-    A character of a category belongs to the title of that category. A character of a list belongs to the only title
-    of the document, or to its first one with ``first_for_lists``. With ``all_media`` each character gets one row per
-    title of the document.
+    A character of a category belongs to the title of that category; with ``franchise_year``, a category that has a
+    year but no title gets the franchise as its title. A character of a list belongs to the only title of the
+    document; with ``first_for_lists``, characters of a list or of a map of lists belong to its first title. With
+    ``all_media`` each character gets one row per title of the document.
     """
     grouped = (
         with_media(docs)
@@ -205,10 +208,17 @@ def character_rows(docs: DataFrame, all_media: bool = False, first_for_lists: bo
         .drop("g", "doc")
         .withColumn("known_year", F.coalesce("category_year", nz.lookup(fv.CATEGORY_YEARS, F.lower("category"))))
     )
-    only = F.when((F.col("total_media") == 1) | F.lit(first_for_lists), F.get("media", F.lit(0)))
-    own = F.when(F.col("container") == "list", only).otherwise(
-        category_media(F.col("category"), F.col("known_year"), F.col("media"))
-    )
+    first = F.get("media", F.lit(0))
+    matched = category_media(F.col("category"), F.col("known_year"), F.col("media"))
+    own = F.when(F.col("container") == "list", F.when(F.col("total_media") == 1, first)).otherwise(matched)
+    if first_for_lists:
+        own = F.when(F.col("container") == "categories", matched).otherwise(first)
+    if franchise_year:
+        stand_in = F.struct(
+            F.col("franchise").alias("title"), F.col("category_year").alias("year"), F.lit("film").alias("media_type"),
+            slugify(F.col("franchise")).alias("slug"),
+        )
+        own = F.coalesce(own, F.when(F.col("category_year").isNotNull(), stand_in))
     grouped = grouped.withColumn("own_media", own)
     if all_media:
         grouped = grouped.withColumn("own_media", F.explode_outer("media"))
@@ -221,6 +231,19 @@ def character_rows(docs: DataFrame, all_media: bool = False, first_for_lists: bo
     )
 
 
+def stand_in_titles(people: DataFrame) -> DataFrame:
+    """Titles that categories got from their franchise (see ``franchise_year``), shaped like ``media_rows``.
+
+    A title that the document names itself may come up again, behind it in position.
+    """
+    text = F.lit(None).cast("string")
+    return people.filter((F.col("media_title") == F.col("franchise")) & F.col("media_year").isNotNull()).select(
+        "source_dir", "source_file", "franchise", text.alias("raw_studio"), text.alias("raw_animation_type"),
+        (F.col("group_position") + 1_000_000).alias("position"), F.col("media_title").alias("title"),
+        F.col("media_year").alias("year"), "media_type",
+    ).distinct()
+
+
 def explode_appearances(records: DataFrame) -> DataFrame:
     """Raw character records -> one row per non-null appearance, with title and year."""
     exploded = records.withColumn("_at", F.explode("appearances")).filter(F.col("_at").isNotNull())

@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelweave.functions.text import contains_any_case
+from reelweave.operators.keys import first_per_key
 
 
 def point_lookup(df: DataFrame, key: str, value: object) -> DataFrame:
@@ -113,3 +114,11 @@ def gender_split(df: DataFrame, group: list[str], with_total: bool = False) -> D
 def concat_extracts(*parts: DataFrame) -> DataFrame:
     """All rows of extracts with different column sets."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def union_first(keys: list[str], *parts: DataFrame) -> DataFrame:
+    """Set union by key: the earliest part that has a key provides its row."""
+    numbered = [part.withColumn("_part", F.lit(i)) for i, part in enumerate(parts)]
+    rows = concat_extracts(*numbered)
+    others = [c for c in rows.columns if c not in (*keys, "_part")]
+    return first_per_key(rows, keys, ["_part", *others]).drop("_part")

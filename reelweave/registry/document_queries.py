@@ -101,22 +101,30 @@ def _(t):
     return b.raw_films_from_documents(parsed(t))
 
 
+LINKED = f"""linked AS (SELECT k, CASE WHEN container = 'map' THEN 'Delta ' || k ELSE media_title END AS media_title,
+    CASE WHEN container = 'map' THEN 2002 ELSE media_year END AS media_year, name, role, voice_actor, franchise FROM people),
+  titles AS (SELECT title, year FROM media UNION SELECT 'No year', 0 FROM docs WHERE s = 'P' UNION SELECT 'Gamma', 0 FROM docs WHERE s = 'F')"""
+SLUG = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9\\s-]', '', 'g'), '\\s+', '-', 'g'), '-')"
+
+
 @query("dashboard_films_from_documents", f"""
-WITH {DOCS}, {MEDIA}, {PEOPLE} SELECT lower(replace(m.title, ' ', '-')) || '-' || m.year AS id, m.title, m.year, count(p.k) AS character_count
-FROM media m LEFT JOIN people p ON p.media_title = m.title AND p.media_year = m.year GROUP BY ALL""")
+WITH {DOCS}, {MEDIA}, {PEOPLE}, {LINKED} SELECT {SLUG.format("t.title")} || CASE WHEN t.year > 0 THEN '-' || t.year ELSE '' END AS id, t.title,
+  CAST(t.year AS INTEGER) AS year, count(p.k) AS character_count
+FROM titles t LEFT JOIN linked p ON p.media_title = t.title AND p.media_year = t.year GROUP BY ALL""")
 def _(t):
     docs = parsed(t)
-    characters = b.dashboard_characters(doc.character_rows(docs))
-    return b.dashboard_films(doc.media_rows(docs), characters).select("id", "title", "year", "character_count")
+    people = doc.character_rows(docs, first_for_lists=True, franchise_year=True)
+    titles = doc.media_rows(docs, keep_raw=True).unionByName(doc.stand_in_titles(people))
+    return b.dashboard_films(titles, b.dashboard_characters(people)).select("id", "title", "year", "character_count")
 
 
 @query("dashboard_characters_from_documents", f"""
-WITH {DOCS}, {PEOPLE} SELECT name, coalesce(role, 'unknown') AS role, voice_actor,
-  CASE WHEN media_title IS NULL THEN '[]' ELSE '["' || lower(replace(media_title, ' ', '-')) || '-' || media_year || '"]' END AS film_ids,
-  trim(regexp_replace(regexp_replace(lower(franchise), '[^a-z0-9\\s-]', '', 'g'), '\\s+', '-', 'g'), '-') AS franchise_id
-FROM people""")
+WITH {DOCS}, {MEDIA}, {PEOPLE}, {LINKED} SELECT name, coalesce(role, 'unknown') AS role, voice_actor,
+  '["' || lower(replace(media_title, ' ', '-')) || '-' || media_year || '"]' AS film_ids, {SLUG.format("franchise")} AS franchise_id
+FROM linked""")
 def _(t):
-    return b.dashboard_characters(doc.character_rows(parsed(t))).select("name", "role", "voice_actor", "film_ids", "franchise_id")
+    people = doc.character_rows(parsed(t), first_for_lists=True, franchise_year=True)
+    return b.dashboard_characters(people).select("name", "role", "voice_actor", "film_ids", "franchise_id")
 
 
 @query("dashboard_franchises", with_views(

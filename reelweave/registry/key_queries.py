@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from reelweave import fixed_values as fv
 from reelweave.functions import text as tx
-from reelweave.operators import keys, quality
+from reelweave.functions.normalize import gender_alias
+from reelweave.operators import keys, quality, relational
 from reelweave.plans import builders as b
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
@@ -231,6 +232,13 @@ SELECT c_nationkey, gender, count(*) AS n FROM (SELECT c_nationkey,
   CASE WHEN raw IS NULL THEN 'n/a' ELSE coalesce({_case(fv.GENDER_ALIASES, 'trim(lower(raw))')}, trim(lower(raw))) END AS gender
   FROM (SELECT c_nationkey, {RAW_GENDER} AS raw FROM customer)) GROUP BY ALL""")
 def _(t):
-    from reelweave.functions.normalize import gender_alias
-
     return t.raw("customer").groupBy("c_nationkey", gender_alias(F.expr(RAW_GENDER)).alias("gender")).agg(F.count("*").alias("n"))
+
+
+@query("union_first", """
+SELECT s_suppkey AS id, s_name AS name FROM supplier
+UNION ALL SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)""")
+def _(t):
+    suppliers = t.raw("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    customers = t.raw("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return relational.union_first(["id"], suppliers, customers)

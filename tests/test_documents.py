@@ -69,6 +69,18 @@ def test_characters_of_all_shapes(docs, values):
         ("Wat", "Heroes", "categories", None, None)], key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
+def test_stand_in_titles_and_first_title(docs, values):
+    rows = doc.character_rows(docs, first_for_lists=True, franchise_year=True)
+    assert values(rows.filter("name = 'Oz'"), "media_title", "media_year") == [("Ice", 2002)]
+
+
+def test_category_with_a_year_but_no_title(table, values):
+    body = {"franchise": "Sky", "films": ["Sky (2001)"], "categories": {"zz": {"year": 2009, "characters": [{"name": "Ava"}]}}}
+    rows = doc.character_rows(doc.parse_documents(table("value STRING, path STRING", (json.dumps(body), "/x/y/z.json"))), franchise_year=True)
+    assert values(rows, "media_title", "media_year", "media_type") == [("Sky", 2009, "film")]
+    assert values(doc.stand_in_titles(rows), "title", "year") == [("Sky", 2009)]
+
+
 def test_all_media_gives_one_row_per_title(docs, values):
     rows = doc.character_rows(docs, all_media=True).filter("name = 'Ava' AND category = 'sky_one'")
     assert values(rows, "media_title") == [("Sky",), ("Sky 2",)]
