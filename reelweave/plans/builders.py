@@ -13,7 +13,7 @@ from reelweave.operators import documents as doc
 from reelweave.operators.keys import (
     build_dim, build_junction, dense_index, first_per_key, get_or_create_ids, resolve_lookup, slug_ids, surrogate_key,
 )
-from reelweave.operators.relational import composite_lookup, distinct_list, lookup_left
+from reelweave.operators.relational import composite_lookup, with_branch_counts, with_child_count
 from reelweave.sinks.upsert import upsert_columns
 
 ORDER_OF_FILES = ["source_file", "position"]
@@ -309,28 +309,20 @@ def dashboard_films(media_rows: DataFrame, characters: DataFrame) -> DataFrame:
     )
 
 
-def dashboard_franchises(films: DataFrame, names: DataFrame) -> DataFrame:
-    """Franchises (id, name, studio_id) with the sorted list of their films."""
-    lists = distinct_list(films, ["franchise_id"], "id", "film_ids")
+def dashboard_franchises(names: DataFrame, films: DataFrame) -> DataFrame:
+    """Franchises (id, name, studio_id) with the number of their films; the films themselves carry the franchise id."""
     first = first_per_key(names, ["id"], ["name", "studio_id"])
-    return first.join(lists.withColumnRenamed("franchise_id", "id"), "id", "left").select(
-        "id", "name", "studio_id", F.coalesce("film_ids", F.lit("")).alias("film_ids")
-    )
+    return with_child_count(first, films, "franchise_id", "film_count")
 
 
 def dashboard_studios(studios: DataFrame, films: DataFrame, franchises: DataFrame, characters: DataFrame) -> DataFrame:
-    """Studios with counts and the list of franchises; studios without any stay."""
-
-    def counted(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy(F.col("studio_id").alias("id")).agg(F.count("*").alias(name))
-
-    lists = distinct_list(franchises, ["studio_id"], "id", "franchise_ids").withColumnRenamed("studio_id", "id")
-    joined = (
-        studios.join(counted(films, "film_count"), "id", "left")
-        .join(counted(characters, "character_count"), "id", "left")
-        .join(lists, "id", "left")
-    )
-    return joined.na.fill({"film_count": 0, "character_count": 0, "franchise_ids": ""})
+    """Studios with the number of films, franchises and characters; studios without any stay."""
+    branches = {
+        "film_count": (films, "studio_id"),
+        "franchise_count": (franchises, "studio_id"),
+        "character_count": (characters, "studio_id"),
+    }
+    return with_branch_counts(studios, branches)
 
 
 def build_species(names: DataFrame, species: DataFrame) -> DataFrame:

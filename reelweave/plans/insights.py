@@ -79,27 +79,26 @@ def female_leads_by_decade(t: Tables) -> DataFrame:
 
 
 def co_appearances(t: Tables, k: int | None = None) -> DataFrame:
-    """Links from each franchise's most seen character to the characters it shares titles with.
+    """Links from each franchise's most seen character to the characters it shares the franchise's titles with.
 
-    The links are a star around one character per franchise, so their number grows with the appearances, not with the
-    pairs inside a title.
+    A title has one franchise and so at most one such character: every appearance joins at most one row, and the number
+    of links grows with the appearances, not with the pairs inside a title.
     """
-    counts = t.character_appearances.groupBy("character_id").agg(F.count("*").alias("n"))
-    placed = lookup_inner(counts, t.characters, "character_id", {"franchise": "franchise"}).filter(
-        F.col("franchise").isNotNull()
+    franchises = t.media.filter(F.col("franchise_id").isNotNull()).select(F.col("id").alias("media_id"), "franchise_id")
+    cast = t.character_appearances.select("character_id", "media_id").join(franchises, "media_id")
+    counts = cast.groupBy("franchise_id", "character_id").agg(F.count("*").alias("n"))
+    hubs = first_per_key(counts, ["franchise_id"], [F.desc("n"), F.asc("character_id")]).drop("n")
+    hub_titles = cast.join(hubs, ["franchise_id", "character_id"]).select(
+        "media_id", F.col("character_id").alias("source_id")
     )
-    hubs = first_per_key(placed, ["franchise"], [F.desc("n"), F.asc("character_id")]).select(
-        F.col("character_id").alias("source_id")
-    )
-    cast = t.character_appearances.select("character_id", "media_id")
-    hub_titles = cast.join(hubs, cast.character_id == hubs.source_id).select("source_id", "media_id")
     links = (
         cast.join(hub_titles, "media_id")
         .filter(F.col("character_id") != F.col("source_id"))
-        .groupBy("source_id", F.col("character_id").alias("target_id"))
+        .groupBy("franchise_id", "source_id", F.col("character_id").alias("target_id"))
         .agg(F.count("*").alias("shared_titles"))
     )
-    return links if k is None else top_k(links, k, F.desc("shared_titles"), F.asc("source_id"), F.asc("target_id"))
+    order = [F.desc("shared_titles"), F.asc("franchise_id"), F.asc("target_id")]
+    return links if k is None else top_k(links, k, *order)
 
 
 def wins_by_decade(t: Tables) -> DataFrame:

@@ -683,13 +683,14 @@ def _(t):
 
 
 @query("co_appearances", with_views(
-    """, hubs AS (SELECT character_id, c.franchise FROM (SELECT character_id, count(*) AS n FROM appearances GROUP BY character_id) x
-         JOIN characters c ON c.id = x.character_id WHERE c.franchise IS NOT NULL
-         QUALIFY row_number() OVER (PARTITION BY c.franchise ORDER BY n DESC, character_id) = 1)
-       SELECT h.character_id AS source_id, o.character_id AS target_id, count(*) AS shared_titles
-       FROM hubs h JOIN appearances a ON a.character_id = h.character_id
-       JOIN appearances o ON o.media_id = a.media_id AND o.character_id <> h.character_id
-       GROUP BY h.character_id, o.character_id""".lstrip(), "appearances", "characters").replace(")\n, hubs", "),\nhubs"))
+    """SELECT m.franchise_id, h.character_id AS source_id, o.character_id AS target_id, count(*) AS shared_titles
+       FROM (SELECT m.franchise_id, a.character_id FROM appearances a JOIN media m ON m.id = a.media_id
+             GROUP BY m.franchise_id, a.character_id
+             QUALIFY row_number() OVER (PARTITION BY m.franchise_id ORDER BY count(*) DESC, a.character_id) = 1) h
+       JOIN media m ON m.franchise_id = h.franchise_id
+       JOIN appearances a ON a.media_id = m.id AND a.character_id = h.character_id
+       JOIN appearances o ON o.media_id = m.id AND o.character_id <> h.character_id
+       GROUP BY m.franchise_id, h.character_id, o.character_id""", "appearances", "media"))
 def _(t):
     return insights.co_appearances(t)
 

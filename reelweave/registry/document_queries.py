@@ -128,24 +128,20 @@ def _(t):
 
 
 @query("dashboard_franchises", with_views(
-    """SELECT CAST(fr.id AS VARCHAR) AS id, fr.name, fr.studio_id, (SELECT count(*) FROM films f JOIN media m ON m.id = f.media_id
-         WHERE m.franchise_id = fr.id) AS films FROM franchises fr""", "franchises", "films", "media"))
+    """SELECT fr.id, fr.name, fr.studio_id, (SELECT count(*) FROM films f JOIN media m ON m.id = f.media_id
+         WHERE m.franchise_id = fr.id) AS film_count FROM franchises fr""", "franchises", "films", "media"))
 def _(t):
-    films = t.films.join(t.media.select(F.col("id").alias("media_id"), "franchise_id"), "media_id").select(
-        F.col("id").cast("string").alias("id"), F.col("franchise_id").cast("string").alias("franchise_id"))
-    names = t.franchises.select(F.col("id").cast("string").alias("id"), "name", "studio_id")
-    listed = b.dashboard_franchises(films, names)
-    return listed.select("id", "name", "studio_id", F.size(F.split("film_ids", ", ")).cast("bigint").alias("films"))
+    films = t.films.join(t.media.select(F.col("id").alias("media_id"), "franchise_id"), "media_id")
+    return b.dashboard_franchises(t.franchises, films)
 
 
 @query("dashboard_studios", with_views(
     """SELECT s.id, s.name, (SELECT count(*) FROM films f WHERE f.studio_id = s.id) AS film_count,
-         (SELECT count(*) FROM characters c WHERE c.studio_id = s.id) AS character_count,
-         coalesce((SELECT string_agg(CAST(fr.id AS VARCHAR), ', ' ORDER BY CAST(fr.id AS VARCHAR)) FROM franchises fr WHERE fr.studio_id = s.id), '') AS franchise_ids
+         (SELECT count(*) FROM franchises fr WHERE fr.studio_id = s.id) AS franchise_count,
+         (SELECT count(*) FROM characters c WHERE c.studio_id = s.id) AS character_count
        FROM studios s""", "studios", "films", "characters", "franchises"))
 def _(t):
-    franchises = t.franchises.select(F.col("id").cast("string").alias("id"), "studio_id")
-    return b.dashboard_studios(t.studios.select("id", "name"), t.films, franchises, t.characters)
+    return b.dashboard_studios(t.studios.select("id", "name"), t.films, t.franchises, t.characters)
 
 
 @query("explode_appearances", """

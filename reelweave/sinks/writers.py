@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelweave.functions.text import key_text
+from reelweave.session import handoff
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -25,11 +26,11 @@ def write_if_any(df: DataFrame, path: str) -> bool:
 def export_mart(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
     """Mart for a small reader: a single file while the mart is small, else one file per ``max_rows`` rows.
 
-    The mart is an aggregate. ``maxRecordsPerFile`` bounds each file and the repartition follows the counted size,
-    so a large mart is written by many tasks.
+    The mart is computed once and handed off; its counted size decides how many tasks write it.
     """
-    files = max(1, -(-df.count() // max_rows))
-    (df.coalesce(1) if files == 1 else df.repartition(files)).write.mode("overwrite").option(
+    rows = handoff(df)
+    files = max(1, -(-rows.count() // max_rows))
+    (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("overwrite").option(
         "maxRecordsPerFile", max_rows
     ).option("compression", "snappy").parquet(path)
 

@@ -40,5 +40,9 @@ def read_folder(spark: SparkSession, path: str, topic: str, max_files: int | Non
 
 
 def decode(messages: DataFrame, schema: str) -> DataFrame:
-    """Adds ``record``: the message parsed with the declared schema, null fields where it does not fit."""
-    return messages.withColumn("record", F.from_json("value", schema, {"mode": "PERMISSIVE"}))
+    """Adds ``record``: the message parsed with the declared schema, null fields where it does not fit.
+
+    A ``_corrupt_record STRING`` field in the schema receives the text of messages that do not parse.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    return messages.withColumn("record", F.from_json("value", schema, options))

@@ -19,14 +19,15 @@ DAILY_SCHEMA = (
     "_kafka_partition INT, _kafka_offset BIGINT"
 )
 REASONS = ["malformed", "missing_key", "bad_date", "missing_revenue"]
+CORRUPT = "_corrupt_record"
 
 
-def reject_reason(value: Column, record: Column) -> Column:
+def reject_reason(record: Column) -> Column:
     """Why a message cannot be stored; null for a good one."""
     report_date = record["report_date"]
     no_key = record["film_id"].isNull() | record["state_code"].isNull() | report_date.isNull()
     return (
-        F.when(F.try_parse_json(value).isNull() | record.isNull(), "malformed")
+        F.when(record.isNull() | record[CORRUPT].isNotNull(), "malformed")
         .when(no_key, "missing_key")
         .when(F.try_to_date(F.substring(report_date, 1, 10)).isNull(), "bad_date")
         .when(record["revenue"].isNull(), "missing_revenue")
@@ -35,8 +36,8 @@ def reject_reason(value: Column, record: Column) -> Column:
 
 def classify(messages: DataFrame) -> DataFrame:
     """Messages with their parsed record and the reject reason."""
-    decoded = decode(messages, REVENUE_EVENT)
-    return decoded.withColumn("reason", reject_reason(F.col("value"), F.col("record")))
+    decoded = decode(messages, f"{REVENUE_EVENT}, {CORRUPT} STRING")
+    return decoded.withColumn("reason", reject_reason(F.col("record")))
 
 
 def valid_rows(classified: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def catalogue(spark, cast):
         return {
             "character_appearances": cast,
             "characters": spark.range(998).select(n, F.concat(F.lit("c"), n).alias("name"), F.concat(F.lit("f"), n % 4).alias("franchise")),
-            "media": spark.range(4001).select(n, (n % 60 + 1950).cast("int").alias("year"), F.when(n % 2 == 0, "film").otherwise("game").alias("media_type")),
+            "media": spark.range(4001).select(n, (n % 60 + 1950).cast("int").alias("year"), F.when(n % 2 == 0, "film").otherwise("game").alias("media_type"), (n % 4).alias("franchise_id")),
             "films": spark.range(4001).filter("id % 2 = 0").select(n, n.alias("media_id"), (n % 7).alias("studio_id")),
             "studios": spark.range(7).select(n, F.concat(F.lit("s"), n).alias("name")),
             "talent": spark.range(53).select(n, F.concat(F.lit("t"), n).alias("name")),
@@ -78,22 +78,21 @@ def test_actor_queries(spark, rows, plain):
 
 def test_co_appearances_are_a_star(spark, rows, plain):
     cast = {(c, m) for c, m, _, _ in plain}
-    seen = collections.Counter(c for c, _ in cast)
+    seen = collections.Counter((m % 4, c) for c, m in cast)
     hubs = {}
-    for c in seen:
-        f = c % 4
-        if f not in hubs or (-seen[c], c) < (-seen[hubs[f]], hubs[f]):
+    for (f, c), n in seen.items():
+        if f not in hubs or (-n, c) < (-seen[f, hubs[f]], hubs[f]):
             hubs[f] = c
     by_media = collections.defaultdict(set)
     for c, m in cast:
         by_media[m].add(c)
     expected = collections.Counter()
-    for hub in hubs.values():
-        for members in by_media.values():
-            if hub in members:
-                expected.update((hub, other) for other in members if other != hub)
+    for media, members in by_media.items():
+        hub = hubs[media % 4]
+        if hub in members:
+            expected.update((media % 4, hub, other) for other in members if other != hub)
     t = catalogue(spark, rows.select("character_id", "media_id").distinct())
-    links = {(r.source_id, r.target_id): r.shared_titles for r in insights.co_appearances(t).collect()}
+    links = {(r.franchise_id, r.source_id, r.target_id): r.shared_titles for r in insights.co_appearances(t).collect()}
     assert links == dict(expected)
 
 

@@ -19,7 +19,7 @@ def write(folder, name, *messages):
 def test_upsert_keeps_the_newest_and_quarantines_the_rest(spark, tmp_path, values):
     source = tmp_path / "in"
     write(source, "1.json", message(1, value=1.0), message(2, value=2.0, at="2024-01-05T11:00:00"), message(3, state="NY", value=5.0),
-          message(4, day="soon"), message(5, report_date="drop"), {"partition": 0, "offset": 6, "value": "{bad"}, message(7, value=None), message(8, value=0.1, state="TX"))
+          message(4, day="soon"), message(5, report_date="drop"), {"partition": 0, "offset": 6, "value": "{bad"}, message(7, value=None), message(12, value="much"), {"partition": 0, "offset": 13, "value": "[1, 2]"}, message(8, value=0.1, state="TX"))
     # an older event with a higher offset, a duplicate and a newer one
     write(source, "2.json", message(9, value=9.0, at="2024-01-05T09:00:00"), message(3, state="NY", value=5.0), message(10, state="NY", value=6.0, at="2024-01-06T00:00:00"))
 
@@ -32,7 +32,8 @@ def test_upsert_keeps_the_newest_and_quarantines_the_rest(spark, tmp_path, value
     expected = [(1, "2024-01-05", "CA", 2.0), (1, "2024-01-05", "NY", 6.0), (1, "2024-01-05", "TX", 0.1)]
     assert run("first") == expected
     bad = spark.read.parquet(f"{tmp_path}/first-bad")
-    assert values(bad, "_kafka_offset", "reason") == [(4, "bad_date"), (5, "missing_key"), (6, "malformed"), (7, "missing_revenue")]
+    assert values(bad, "_kafka_offset", "reason") == [
+        (12, "malformed"), (13, "malformed"), (4, "bad_date"), (5, "missing_key"), (6, "malformed"), (7, "missing_revenue")]
     # everything replayed by another query, then more input for the first one
     assert run("replay") == expected
     write(source, "3.json", message(11, state="TX", value=7.0, at="2024-01-07T00:00:00", day="2024-01-06"))
