@@ -29,6 +29,7 @@ class Catalogue(Tables):
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
+        self._raw_layout: dict = {}
         super().__init__(lambda name: getattr(self, f"make_{name}")())
 
     @property
@@ -36,7 +37,14 @@ class Catalogue(Tables):
         return self._spark
 
     def raw(self, name: str) -> DataFrame:
-        return readers.read_spread(self._spark, f"{self._folder}/{name}.parquet")
+        """A given table; its footer and layout are looked at once per catalogue."""
+        path = f"{self._folder}/{name}.parquet"
+        if name not in self._raw_layout:
+            rows = self._spark.read.parquet(path)
+            self._raw_layout[name] = rows.schema, readers.spread_factor(rows)
+        schema, partitions = self._raw_layout[name]
+        rows = self._spark.read.schema(schema).parquet(path)
+        return rows if partitions is None else rows.repartition(partitions, rows.columns[0])
 
     # ---- lookups
 

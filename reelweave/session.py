@@ -35,9 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = os.path.join(tempfile.gettempdir(), "reelweave-checkpoints")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return os.path.join(tempfile.gettempdir(), "reelweave-checkpoints")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -21,9 +21,10 @@ def upsert_update(target: DataFrame, changes: DataFrame, keys: list[str], sequen
 
 def insert_absent(target: DataFrame, incoming: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Target plus the first incoming row of every key it does not have; null keys compare as equal."""
-    first = first_per_key(incoming, keys, order)
-    condition = [first[k].eqNullSafe(target[k]) for k in keys]
-    return target.unionByName(first.join(target, condition, "left_anti"))
+    first = first_per_key(incoming, keys, order).alias("new")
+    known = target.select(*keys).alias("old")
+    condition = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys]
+    return target.unionByName(first.join(known, condition, "left_anti"))
 
 
 def upsert_coalesce(target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

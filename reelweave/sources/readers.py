@@ -40,20 +40,25 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
-def read_spread(spark: SparkSession, path: str, min_bytes: int = 4 << 20) -> DataFrame:
-    """Parquet data, spread over all cores when its files alone would not occupy them.
+def spread_factor(rows: DataFrame, min_bytes: int = 4 << 20) -> int | None:
+    """Number of partitions to spread an input over when its files alone would not occupy all cores, else None.
 
     A file with a single row group is read by one task, however large it is. Inputs with at least one split per core,
-    as any large one has, and inputs below ``min_bytes`` are left as they are. Rows are spread by the hash of their
-    first column: round robin would sort them first.
+    as any large one has, and inputs below ``min_bytes`` are left as they are.
     """
-    rows = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
+    cores = rows.sparkSession.sparkContext.defaultParallelism
     size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     # the scan makes at least one split per 128 MB, so large inputs need no look at their files
     if not min_bytes <= size < cores * (128 << 20) or rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, rows.columns[0])
+        return None
+    return cores
+
+
+def read_spread(spark: SparkSession, path: str, min_bytes: int = 4 << 20) -> DataFrame:
+    """Parquet data, spread over all cores if need be, by the hash of its first column (round robin would sort)."""
+    rows = spark.read.parquet(path)
+    partitions = spread_factor(rows, min_bytes)
+    return rows if partitions is None else rows.repartition(partitions, rows.columns[0])
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str, enforce: bool = False) -> DataFrame:
