@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelweave import fixed_values as fv
@@ -107,6 +106,7 @@ def build_appearances(
 
     Character and talent ids are hashes of their natural keys, so they are computed in place; only media, which not
     every record matches, and the roles need a join. ``characters`` and ``talent`` are the tables the ids refer to.
+    Soundtracks that share title and year with their film have no cast.
     """
     records = doc.explode_appearances(raw.select("name", "franchise", "voice_actor", "role", "appearances"))
     rows = records.select(
@@ -118,8 +118,9 @@ def build_appearances(
         "media_title",
         "media_year",
     )
+    titles = media.filter(F.col("media_type") != "soundtrack")
     placed = composite_lookup(
-        rows, media, {"media_title": "title", "media_year": "year"}, {"id": "media_id"}, "inner", ["media_title"]
+        rows, titles, {"media_title": "title", "media_year": "year"}, {"id": "media_id"}, "inner", ["media_title"]
     )
     with_role = resolve_lookup(placed, roles, F.col("role"), "role_id")
     order = [F.asc_nulls_last("talent_id"), F.asc_nulls_last("role_id")]
@@ -154,11 +155,11 @@ def build_game_platforms(games: DataFrame, platforms: DataFrame) -> DataFrame:
 
 def build_soundtracks(releases: DataFrame, media: DataFrame) -> DataFrame:
     """Soundtracks unique by (title, year); a later release fills in a label that the first one lacks."""
-    key = [F.lower("release_title"), F.col("film_year")]
-    merged = first_per_key(
-        releases.withColumn("_label", F.max("label").over(W.partitionBy(*key))), key,
-        [F.asc("film"), F.asc("release_position")],
-    ).withColumn("label", F.coalesce("label", "_label"))
+    keyed = releases.withColumn("_title", F.lower("release_title"))
+    key = ["_title", "film_year"]
+    labels = keyed.groupBy(*key).agg(F.max("label").alias("_label"))
+    first = first_per_key(keyed, key, [F.asc("film"), F.asc("release_position")])
+    merged = first.join(labels, key).withColumn("label", F.coalesce("label", "_label"))
     albums = media.filter(F.col("media_type") == "soundtrack")
     films = media.filter(F.col("media_type") == "film")
     placed = composite_lookup(
