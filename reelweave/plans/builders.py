@@ -99,14 +99,12 @@ def build_characters(raw: DataFrame, roles: DataFrame, genders: DataFrame, defau
     )
 
 
-def build_appearances(
-    raw: DataFrame, characters: DataFrame, media: DataFrame, talent: DataFrame, roles: DataFrame
-) -> DataFrame:
+def build_appearances(raw: DataFrame, media: DataFrame, roles: DataFrame) -> DataFrame:
     """Character-media junction of raw records, one row per pair.
 
-    Character and talent ids are hashes of their natural keys, so they are computed in place; only media, which not
-    every record matches, and the roles need a join. ``characters`` and ``talent`` are the tables the ids refer to.
-    Soundtracks that share title and year with their film have no cast.
+    The ids of ``build_characters`` and ``build_talent`` are hashes of natural keys that every record carries, so they
+    are computed in place; only media, which not every record matches, and the roles need a join. Soundtracks that
+    share title and year with their film have no cast.
     """
     records = doc.explode_appearances(raw.select("name", "franchise", "voice_actor", "role", "appearances"))
     rows = records.select(

@@ -62,8 +62,7 @@ def catalogue_stages(spark: SparkSession, raw: str, root: str) -> list[Stage]:
         ("genders", lambda: readers.genders(spark)),
         ("talent", lambda: b.build_talent(people())),
         ("characters", lambda: b.build_characters(people(), t.roles, t.genders)),
-        ("character_appearances",
-         lambda: b.build_appearances(people(), t.characters, t.media, t.talent, t.roles)),
+        ("character_appearances", lambda: b.build_appearances(people(), t.media, t.roles)),
         ("box_office_daily", lambda: bo.build_daily(box_office(), t.films, t.media)),
         ("box_office_weekly", lambda: bo.build_weekly(t.box_office_daily)),
         ("box_office_total", lambda: bo.build_total(t.box_office_daily)),

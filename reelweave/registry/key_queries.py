@@ -183,7 +183,7 @@ def _(t):
     media = b.build_media(films.withColumn("media_type", F.lit("film")), b.build_franchises(films))
     characters = b.build_characters(people, t.roles, t.genders)
     talent = b.build_talent(people)
-    built = b.build_appearances(people, characters, media, talent, t.roles)
+    built = b.build_appearances(people, media, t.roles)
     named = built.join(characters.select(F.col("id").alias("character_id"), "name", "franchise"), "character_id")
     titled = named.join(media.select(F.col("id").alias("media_id"), "title", "year"), "media_id")
     voices = talent.select(F.col("id").alias("talent_id"), F.col("name").alias("voice"))
