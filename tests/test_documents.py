@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from reelweave.operators import documents as doc
 from reelweave.plans import builders as b
