@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
+from reelweave import registry
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def db():
     return check_oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query(spark, db, name):
     result = entry.queries()[name](spark, FOLDER)
     plan = result._jdf.queryExecution().executedPlan().toString()
