@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelweave.session import handoff
+from reelweave.session import fresh_folder, handoff
 
 
 class TwoGenerations(dict):
@@ -82,3 +82,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     members = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return members.unionByName(roots)
+
+
+def stored(df: DataFrame, label: str = "table") -> DataFrame:
+    """The rows as a Parquet table below the shared folder: compressed, read back by column, and safe from lost executors."""
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,3 +36,86 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelweave.llm import bpe
 
     return bpe.round_trip(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '')) AS digest
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS cycle
+  FROM sized GROUP BY source),
+limits AS (
+  SELECT *, CASE cycle WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight, source_size * 2 AS most
+  FROM sources),
+quotients AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER (
+             ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+         AS quotient
+  FROM limits),
+targets AS (SELECT *, least(most::DOUBLE, max(quotient) OVER () * weight) AS target FROM quotients),
+begun AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.cycle, coalesce(sum(s.size) OVER (
+           PARTITION BY s.source ORDER BY digest, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+words AS (
+  SELECT *, greatest(0, least(size, floor(target)::BIGINT - begin)) AS once,
+         greatest(0, least(size, floor(target)::BIGINT - begin - source_size)) AS again
+  FROM begun),
+used AS (SELECT *, begin / target AS f1, (begin + source_size) / target AS f2 FROM words)
+SELECT doc_id, size, source_size, target, (once + again)::BIGINT AS taken,
+       CASE WHEN once > 0 THEN CASE cycle WHEN 0 THEN 2.0 * f1 / (1.5::DOUBLE + sqrt(2.25::DOUBLE + -2.0 * f1))
+            WHEN 1 THEN 2.0 * f1 / (1.0::DOUBLE + sqrt(1.0::DOUBLE + 0.0 * f1))
+            ELSE 2.0 * f1 / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2.0 * f1)) END END AS position_1,
+       CASE WHEN again > 0 THEN CASE cycle WHEN 0 THEN 2.0 * f2 / (1.5::DOUBLE + sqrt(2.25::DOUBLE + -2.0 * f2))
+            WHEN 1 THEN 2.0 * f2 / (1.0::DOUBLE + sqrt(1.0::DOUBLE + 0.0 * f2))
+            ELSE 2.0 * f2 / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2.0 * f2)) END END AS position_2
+FROM used
+"""
+
+
+@register("op5_mix_sources", MIX_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import mixture
+
+    return mixture.plan_mix(read(spark, sf_dir, "documents")).drop("text_hash", "source")
+
+
+LINE_SQL = r"""
+WITH cut AS (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents),
+numbered AS (SELECT doc_id, source, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS line_no FROM cut),
+marked AS (SELECT *, lower(trim(line, ' ')) AS mark FROM numbered),
+spread AS (
+  SELECT mark, min((doc_id, line_no)) AS first FROM marked WHERE mark <> ''
+  GROUP BY mark HAVING count(DISTINCT coalesce('s' || source, '')) >= 5),
+kept AS (
+  SELECT m.doc_id, string_agg(m.line, chr(10) ORDER BY m.line_no) FILTER (s.mark IS NULL OR s.first = (m.doc_id, m.line_no)) AS text,
+         count(*) AS n_lines, count(*) FILTER (s.mark IS NOT NULL AND s.first <> (m.doc_id, m.line_no)) AS n_removed
+  FROM marked m LEFT JOIN spread s ON m.mark = s.mark GROUP BY m.doc_id)
+SELECT d.doc_id, coalesce(k.text, '') AS text, d.lang, d.source, d.n_chars, k.n_lines, k.n_removed
+FROM documents d JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@register("op8_line_spread", LINE_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import line_spread
+
+    return line_spread.remove_spread_lines(read(spark, sf_dir, "documents")).select("row.*", "n_lines", "n_removed")
+
+
+@register("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import simhash
+
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+@register("op9_token_count")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import token_count
+
+    return token_count.count_tokens(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
