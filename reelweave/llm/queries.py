@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelweave.llm.common import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
     def add(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -119,3 +125,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelweave.llm import token_count
 
     return token_count.count_tokens(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@register("op1_nearest_vectors")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from reelweave.llm import vptree
+
+    vectors = read(spark, sf_dir, "embeddings")
+    return vptree.nearest(vptree.build_index(vectors), vectors.where(F.col("vec_id") % 50 == 0))
+
+
+@register("op4_embedding_groups")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import embed_dedup
+
+    return embed_dedup.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))

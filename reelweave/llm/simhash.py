@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from reelweave.llm.bpe import map_texts
 from reelweave.llm.common import connected_components, stored
+from reelweave.llm.vectors import Forest
 from reelweave.session import handoff
 
 SHINGLE_WORDS = 4
@@ -85,11 +86,10 @@ def index_keys(fp: str, minimum: int) -> Column:
     return F.explode(F.array(*lists))
 
 
-def _forest(first: np.ndarray, second: np.ndarray, minimum: int, max_bits: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links between two sorted blocks (the same block twice, or two different ones)."""
+def _links(first: np.ndarray, second: np.ndarray, minimum: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a spanning forest between two blocks (the same block twice, or two different ones)."""
     nodes = first if first is second else np.concatenate([first, second])
-    group = np.arange(len(nodes))  # the component of each node, by its representative
-    edges: list[tuple[int, int]] = []
+    forest = Forest(len(nodes))
     offset = 0 if first is second else len(first)
     positional = second.view(np.uint8).reshape(-1, POSITIONS)
     for at in range(0, len(first), ROWS):
@@ -100,40 +100,18 @@ def _forest(first: np.ndarray, second: np.ndarray, minimum: int, max_bits: int)
             shared += mine[:, p, None] == positional[None, :, p]
         i, j = np.nonzero(shared >= minimum)
         near = np.bitwise_count(block[i] ^ second[j]) <= max_bits  # the proof
-        i, j = i[near] + at, j[near] + offset
-        apart = i != j
-        i, j = i[apart], j[apart]
-        while len(i):
-            a, b = group[i], group[j]
-            open_ = a != b
-            i, j, a, b = i[open_], j[open_], a[open_], b[open_]
-            if not len(i):
-                break
-            # each component takes one link to a smaller one; chains are followed to their ends
-            high, low = np.maximum(a, b), np.minimum(a, b)
-            heads, chosen = np.unique(high, return_index=True)
-            edges += zip(nodes[i[chosen]].tolist(), nodes[j[chosen]].tolist(), strict=True)
-            target = np.arange(len(nodes))
-            target[heads] = low[chosen]
-            while True:
-                onward = target[target]
-                if np.array_equal(onward, target):
-                    break
-                target = onward
-            group = target[group]
-    return edges
+        forest.add(i[near] + at, j[near] + offset)
+    i, j = forest.edges()
+    return nodes[i], nodes[j]
 
 
 def _compare(minimum: int, max_bits: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        left = np.sort(rows["fp"].to_numpy(np.int64)[rows["side"].to_numpy() == 0].view(np.uint64))
-        if rows["low"].iat[0] == rows["high"].iat[0]:
-            edges = _forest(left, left, minimum, max_bits)
-        else:
-            right = np.sort(rows["fp"].to_numpy(np.int64)[rows["side"].to_numpy() == 1].view(np.uint64))
-            edges = _forest(left, right, minimum, max_bits)
-        pairs = np.array(edges, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        prints, side = rows["fp"].to_numpy(np.int64).view(np.uint64), rows["side"].to_numpy()
+        left = prints[side == 0]
+        right = left if rows["low"].iat[0] == rows["high"].iat[0] else prints[side == 1]
+        a, b = _links(left, right, minimum, max_bits)
+        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return run
 
