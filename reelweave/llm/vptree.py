@@ -25,7 +25,7 @@ from reelweave.session import handoff
 SHARD_ROWS = 4096
 BLOCK_QUERIES = 4096
 LEAF_ROWS = 128
-FACTOR = 1.5
+FACTOR = 4.0
 SAME = 1e-9  # cosines this near to the k-th best are all scored again, so that ties are settled by id
 
 
