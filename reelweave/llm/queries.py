@@ -142,3 +142,37 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelweave.llm import embed_dedup
 
     return embed_dedup.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
+
+
+WARC_SQL = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS digest,
+         max(page_id) OVER (PARTITION BY sha1(coalesce(html, ''))) AS stored
+  FROM pages)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(digest, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = stored THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> stored THEN stored END AS refers_to
+FROM payloads
+"""
+
+
+@register("op6_warc_archives", WARC_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import warc
+    from reelweave.session import fresh_folder
+
+    path = fresh_folder(spark, "warc")
+    warc.write_archives(read(spark, sf_dir, "pages"), path)
+    return warc.page_digests(warc.read_archives(spark, path))
+
+
+@register("op10_training_order")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import training_order
+    from reelweave.session import fresh_folder
+
+    path = fresh_folder(spark, "shards")
+    training_order.write_shards(read(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_multi_50k.tiktoken"))
+    return training_order.checked(training_order.read_slots(spark, path))
