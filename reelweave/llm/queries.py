@@ -176,3 +176,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "shards")
     training_order.write_shards(read(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_multi_50k.tiktoken"))
     return training_order.checked(training_order.read_slots(spark, path))
+
+
+@register("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import toxicity
+
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
