@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from reelweave.session import handoff
+
 MONEY = "decimal(14,2)"
 
 
@@ -46,17 +48,16 @@ def with_share(
     name: str,
     within: list[str] | None = None,
     digits: int | None = 2,
-    closed_set: bool = False,
 ) -> DataFrame:
     """Adds each row's percentage of the total, over all rows or within the given columns.
 
     Meant for rows that are already aggregated. The overall total is a scalar subquery, since a window over everything
-    would bring all groups into one task. Groups of a closed set (states, genders) are a few dozen rows by definition:
-    for those the window is taken, which reads the input only once.
+    would bring all groups into one task; the rows are written once, so that the total does not aggregate them again.
     """
-    if within or closed_set:
-        total = F.sum(value).over(W.partitionBy(*(within or [])))
+    if within:
+        total = F.sum(value).over(W.partitionBy(*within))
     else:
+        df = handoff(df)
         total = df.agg(F.sum(value)).scalar()
     return df.withColumn(name, percent(F.col(value), total, digits))
 

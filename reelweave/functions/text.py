@@ -80,3 +80,9 @@ def camel_case_columns(df: DataFrame) -> DataFrame:
 def member_of_json_array(json_text: Column, value: Column | str) -> Column:
     """Membership of a value in an array that is stored as JSON text."""
     return F.array_contains(F.from_json(json_text, "array<string>"), value)
+
+
+def iso_date(text: Column) -> Column:
+    """The date of a text that is an ISO date or timestamp as a whole; null for any other text."""
+    shaped = text.rlike(r"^\d{4}-\d{2}-\d{2}([T ].+)?$")
+    return F.when(shaped & F.try_to_timestamp(text).isNotNull(), F.try_to_date(F.substring(text, 1, 10)))

@@ -20,6 +20,8 @@ CHARACTER = (
     "origin: string, origin_franchise: string, singing_voice: string>"
 )
 
+CONTAINERS = ["categories", "film_data", "characters"]
+
 
 def _get(source: str | Column, path: str, kind: str) -> Column:
     return F.try_variant_get(F.col(source) if isinstance(source, str) else source, path, kind)
@@ -29,9 +31,13 @@ def parse_documents(files: DataFrame) -> DataFrame:
     """(value, path) rows -> one row per JSON object. Unparsable files and top-level arrays drop out."""
     # the parse sits inside the explode, so that dropping unparsable texts does not parse every text twice
     parsed = F.filter(F.array(F.try_parse_json("value")), lambda d: d.isNotNull())
-    objects = files.filter(F.col("value").rlike(r"^\s*\{")).select("path", F.explode(parsed).alias("doc"))
+    # objects inside a VARIANT come back with sorted keys; the order of the containers' keys is read from the text
+    keys = F.from_json("value", ", ".join(f"{c} map<string, string>" for c in CONTAINERS))
+    in_order = F.struct(*[F.map_keys(keys[c]).alias(c) for c in CONTAINERS])
+    objects = files.filter(F.col("value").rlike(r"^\s*\{")).select("path", in_order.alias("keys"), F.explode(parsed).alias("doc"))
     return objects.select(
         "doc",
+        "keys",
         F.element_at(F.split("path", "/"), -1).alias("source_file"),
         F.coalesce(F.get(F.split("path", "/"), F.size(F.split("path", "/")) - 2), F.lit("")).alias("source_dir"),
     )
@@ -119,20 +125,28 @@ def media_rows(docs: DataFrame, keep_raw: bool = False) -> DataFrame:
     )
 
 
-def _categories() -> Column:
-    """The categories map, with entries of the alternate container winning over equal keys."""
-    empty = F.create_map().cast("map<string, variant>")
-    base = F.coalesce(_get("doc", "$.categories", "map<string, variant>"), empty)
-    alternate = F.coalesce(_get("doc", "$.film_data", "map<string, variant>"), empty)
-    kept = F.map_filter(base, lambda k, v: ~F.map_contains_key(alternate, k))
-    return F.map_concat(kept, alternate)
+def _entries(container: str) -> Column:
+    """(key, value) of a container that is an object, in the order of the document."""
+    values = _get("doc", f"$.{container}", "map<string, variant>")
+    keys = F.coalesce(F.col(f"keys.{container}"), F.array().cast("array<string>"))
+    found = F.transform(keys, lambda k: F.struct(k.alias("key"), F.try_element_at(values, k).alias("value")))
+    return F.filter(found, lambda e: e.value.isNotNull())
 
 
 def _category_entries() -> Column:
-    """(category, body) of every category that is an object; each body is read once."""
+    """(category, body) of every category that is an object, in the order of the document; each body is read once.
+
+    Entries of the alternate container win over equal keys, in the place of the first ones; its other keys come behind.
+    """
+    alternate = F.map_from_entries(_entries("film_data"))
+    base = F.transform(
+        _entries("categories"),
+        lambda e: F.struct(e.key.alias("key"), F.coalesce(F.try_element_at(alternate, e.key), e.value).alias("value")),
+    )
+    known = F.transform(base, lambda e: e.key)
+    behind = F.filter(_entries("film_data"), lambda e: ~F.array_contains(known, e.key))
     entries = F.transform(
-        F.map_entries(_categories()),
-        lambda e: F.struct(e.key.alias("category"), _get(e.value, "$", CATEGORY).alias("body")),
+        F.concat(base, behind), lambda e: F.struct(e.key.alias("category"), _get(e.value, "$", CATEGORY).alias("body"))
     )
     return F.filter(entries, lambda e: e.body.isNotNull())
 
@@ -162,16 +176,13 @@ def _groups() -> Column:
         return _get(value, "$", "array<variant>")
 
     no_year = F.lit(None).cast("int")
-    mapped = F.coalesce(
-        _get("doc", "$.characters", "map<string, variant>"), F.create_map().cast("map<string, variant>")
-    )
     everything = F.concat(
         F.transform(
             _category_entries(),
             lambda e: group("categories", e.category, _get(e.body.year, "$", "int"), people(e.body.characters)),
         ),
         F.array(group("list", F.lit(None).cast("string"), no_year, _get("doc", "$.characters", "array<variant>"))),
-        F.transform(F.map_entries(mapped), lambda e: group("map", e.key, no_year, people(e.value))),
+        F.transform(_entries("characters"), lambda e: group("map", e.key, no_year, people(e.value))),
     )
     return F.filter(everything, lambda g: g.characters.isNotNull())
 
@@ -234,13 +245,13 @@ def character_rows(
 def stand_in_titles(people: DataFrame) -> DataFrame:
     """Titles that categories got from their franchise (see ``franchise_year``), shaped like ``media_rows``.
 
-    A title that the document names itself may come up again, behind it in position.
+    A title that the document names itself may come up again; ``behind`` puts the stand-ins behind all named titles.
     """
     text = F.lit(None).cast("string")
     return people.filter((F.col("media_title") == F.col("franchise")) & F.col("media_year").isNotNull()).select(
         "source_dir", "source_file", "franchise", text.alias("raw_studio"), text.alias("raw_animation_type"),
-        (F.col("group_position") + 1_000_000).alias("position"), F.col("media_title").alias("title"),
-        F.col("media_year").alias("year"), "media_type",
+        F.col("group_position").alias("position"), F.col("media_title").alias("title"),
+        F.col("media_year").alias("year"), "media_type", F.lit(1).alias("behind"),
     ).distinct()
 
 

@@ -12,19 +12,31 @@ from pyspark.sql import functions as F
 
 from reelweave import fixed_values as fv
 from reelweave.functions.measures import MONEY, filtered_sum, mean, percent, ratio, sum_where, with_share
+from reelweave.functions.text import iso_date
 from reelweave.operators.keys import surrogate_key
 from reelweave.operators.relational import composite_lookup, lookup_inner, top_k, top_per_group
 from reelweave.plans.tables import Tables
+from reelweave.session import handoff
 
 FILM = ["film_id", "film_title", "film_year"]
 
 
-def release_calendar(df: DataFrame, keys: list[str], date: str = "report_date") -> DataFrame:
-    """Adds days since release, week of release (from 1) and the Friday-to-Sunday flag.
+def release_dates(df: DataFrame, keys: list[str], date: str = "report_date") -> DataFrame:
+    """First report of each film, one row per key."""
+    return df.groupBy(*keys).agg(F.min(date).alias("_release"))
 
-    The release date is aggregated and joined back: unlike a window, that lets a hot film be split over tasks.
+
+def release_calendar(
+    df: DataFrame, keys: list[str], date: str = "report_date", attributes: DataFrame | None = None
+) -> DataFrame:
+    """Adds days since release, week of release (from 1), the Friday-to-Sunday flag, and film attributes.
+
+    Release dates and attributes (one row per film) are joined and written first, so that the rows meet them in a single
+    join of two plain inputs: AQE splits the rows of a hot film there, which it cannot do under a window, beside an
+    aggregate, or below a second join on the film.
     """
-    first = df.groupBy(*keys).agg(F.min(date).alias("_release"))
+    first = release_dates(df, keys, date)
+    first = handoff(first if attributes is None else first.join(attributes, keys))
     days = F.date_diff(date, "_release")
     return df.join(first, keys).withColumns(
         {
@@ -35,6 +47,24 @@ def release_calendar(df: DataFrame, keys: list[str], date: str = "report_date")
     ).drop("_release")
 
 
+def _report_sums() -> list:
+    return [F.sum("revenue").alias("revenue"), F.count("*").alias("reports"), F.count("revenue").alias("amounts")]
+
+
+def reduce_reports(reports: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per film, date and state: revenue, number of reports, and of those with an amount.
+
+    Partial sums are made before the shuffle, so that a hot film sends one row per date, state and task. The rows are
+    written once: the facts and the release dates are read from them, not from the reports.
+    """
+    return handoff(reports.groupBy(*keys, "report_date", "state_code").agg(*_report_sums()))
+
+
+def day_totals(daily: DataFrame) -> DataFrame:
+    """Daily rows reduced to one per film, date and state."""
+    return daily.groupBy(*FILM, "report_date", "state_code", "week_number", "is_weekend").agg(*_report_sums())
+
+
 def allocate(df: DataFrame, total: str, minimum: float = 100.0, weights: dict[str, float] | None = None) -> DataFrame:
     """Splits a total over the states by fixed weights; shares below the minimum are dropped."""
     shares = [
@@ -52,7 +82,7 @@ def build_daily(raw: DataFrame, films: DataFrame, media: DataFrame) -> DataFrame
         media.select(F.col("id").alias("media_id"), "title", "year"), "media_id"
     )
     rows = raw.select(
-        "film_title", "film_year", F.try_to_date("report_date").alias("report_date"), "state_code",
+        "film_title", "film_year", iso_date(F.col("report_date")).alias("report_date"), "state_code",
         F.col("revenue").cast(MONEY).alias("revenue"), "week_number", "is_weekend",
     )
     matched = composite_lookup(
@@ -66,18 +96,23 @@ def build_daily(raw: DataFrame, films: DataFrame, media: DataFrame) -> DataFrame
 
 
 def build_weekly(daily: DataFrame) -> DataFrame:
-    """Totals per film and week with the change against the week before.
+    return weekly_facts(day_totals(daily))
+
+
+def weekly_facts(totals: DataFrame) -> DataFrame:
+    """Totals per film and week with the change against the week before, from the totals per film, date and state.
 
     Film rows without an id are told apart by title and year. ``days_reporting`` counts state-day rows;
     ``distinct_days`` counts calendar days.
     """
-    weekly = daily.groupBy(*FILM, "week_number").agg(
-        F.sum("revenue").alias("total_revenue"),
-        mean("revenue").alias("avg_daily_revenue"),
-        F.count("*").alias("days_reporting"),
+    money = totals.schema["revenue"].dataType
+    weekly = totals.groupBy(*FILM, "week_number").agg(
+        F.sum("revenue").cast(money).alias("total_revenue"),
+        ratio(F.sum("revenue"), F.sum("amounts")).alias("avg_daily_revenue"),
+        F.sum("reports").alias("days_reporting"),
         F.countDistinct("report_date").alias("distinct_days"),
-        sum_where(F.col("is_weekend"), "revenue").alias("weekend_revenue"),
-        sum_where(~F.col("is_weekend"), "revenue").alias("weekday_revenue"),
+        sum_where(F.col("is_weekend"), "revenue").cast(money).alias("weekend_revenue"),
+        sum_where(~F.col("is_weekend"), "revenue").cast(money).alias("weekday_revenue"),
         F.countDistinct("state_code").alias("states_reporting"),
     )
     previous = F.lag("total_revenue").over(W.partitionBy(*FILM).orderBy("week_number"))
@@ -90,15 +125,21 @@ def build_weekly(daily: DataFrame) -> DataFrame:
 
 
 def build_total(daily: DataFrame) -> DataFrame:
-    """Totals per film. Opening revenue is that of week 1, ``weeks_in_release`` the last week with a report."""
-    total = daily.groupBy(*FILM).agg(
-        F.sum("revenue").alias("total_revenue"),
+    return film_facts(day_totals(daily))
+
+
+def film_facts(totals: DataFrame) -> DataFrame:
+    """Totals per film, from the totals per film, date and state. Opening revenue is that of week 1,
+    ``weeks_in_release`` the last week with a report."""
+    money = totals.schema["revenue"].dataType
+    total = totals.groupBy(*FILM).agg(
+        F.sum("revenue").cast(money).alias("total_revenue"),
         F.min("report_date").alias("first_report_date"),
         F.max("report_date").alias("last_report_date"),
         F.max("week_number").alias("weeks_in_release"),
         F.countDistinct("report_date").alias("days_in_release"),
         F.countDistinct("state_code").alias("states_reached"),
-        filtered_sum(F.col("week_number") == 1, "revenue").alias("opening_week_revenue"),
+        filtered_sum(F.col("week_number") == 1, "revenue").cast(money).alias("opening_week_revenue"),
     )
     average = ratio(F.col("total_revenue"), F.col("days_in_release"))
     return total.withColumn("avg_daily_revenue", average).select(
@@ -200,7 +241,7 @@ def geographic_share(t: Tables) -> DataFrame:
         F.count("film_id").alias("films_shown"),
         (F.sum("revenue").cast("double") / F.nullif(F.sum("reports"), F.lit(0))).alias("avg_daily_revenue"),
     )
-    shared = with_share(per_state, "total_revenue", "market_share", closed_set=True)
+    shared = with_share(per_state, "total_revenue", "market_share")
     return shared.orderBy(F.desc("total_revenue"), "state_code")
 
 

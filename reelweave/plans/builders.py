@@ -152,12 +152,13 @@ def build_game_platforms(games: DataFrame, platforms: DataFrame) -> DataFrame:
 
 
 def build_soundtracks(releases: DataFrame, media: DataFrame) -> DataFrame:
-    """Soundtracks unique by (title, year); a later release fills in a label that the first one lacks."""
+    """Soundtracks unique by (title, year); the last label given wins."""
     keyed = releases.withColumn("_title", F.lower("release_title"))
     key = ["_title", "film_year"]
-    labels = keyed.groupBy(*key).agg(F.max("label").alias("_label"))
+    place = F.struct("film", "release_position")
+    labels = keyed.groupBy(*key).agg(F.max_by("label", F.when(F.col("label").isNotNull(), place)).alias("_label"))
     first = first_per_key(keyed, key, [F.asc("film"), F.asc("release_position")])
-    merged = first.join(labels, key).withColumn("label", F.coalesce("label", "_label"))
+    merged = first.join(labels, key).withColumn("label", F.col("_label"))
     albums = media.filter(F.col("media_type") == "soundtrack")
     films = media.filter(F.col("media_type") == "film")
     placed = composite_lookup(
@@ -215,9 +216,13 @@ def build_award_bodies(awards: DataFrame, bodies: DataFrame) -> DataFrame:
 
 
 def build_award_categories(awards: DataFrame, bodies: DataFrame, categories: DataFrame) -> DataFrame:
-    """The known categories plus new ones; a category first used without a song is on media level."""
+    """The known categories plus new ones; a category first used without a song is on media level.
+
+    The first use is that of the first film by (title, year); of one film, awards of releases come before those of songs.
+    """
+    place = F.struct("film", "film_year", F.col("song_title").isNotNull())
     used = awards.groupBy("award_body", F.col("category").alias("name")).agg(
-        F.max(F.col("song_title").isNull()).alias("is_media_level")
+        F.min_by(F.col("song_title").isNull(), place).alias("is_media_level")
     )
     placed = composite_lookup(used, bodies, {"award_body": "name"}, {"id": "award_body_id"}, "inner")
     keys = ["award_body_id", "name"]
@@ -293,13 +298,15 @@ def dashboard_characters(people: DataFrame) -> DataFrame:
 def dashboard_films(media_rows: DataFrame, characters: DataFrame) -> DataFrame:
     """Titles with slug ids, year 0 when there is none, and the number of characters linked to them."""
     film_id = slugify(F.concat_ws("-", "title", F.col("year").cast("string")))
+    if "behind" not in media_rows.columns:
+        media_rows = media_rows.withColumn("behind", F.lit(0))
     rows = media_rows.select(
         film_id.alias("id"), "title", F.coalesce("year", F.lit(0)).alias("year"),
         slugify(F.col("franchise")).alias("franchise_id"),
         nz.lookup({k: v[0] for k, v in fv.DASHBOARD_STUDIOS.items()}, F.col("source_dir")).alias("studio_id"),
-        "source_dir", "source_file", "position",
+        "source_dir", "source_file", "behind", "position",
     )
-    first = first_per_key(rows, ["id"], ["source_dir", "source_file", "position"])
+    first = first_per_key(rows, ["id"], ["source_dir", "source_file", F.asc_nulls_first("behind"), "position"])
     links = characters.select(F.explode(F.from_json("film_ids", "array<string>")).alias("id"))
     counts = links.groupBy("id").agg(F.count("*").alias("character_count"))
     return first.join(counts, "id", "left").select(

@@ -12,6 +12,7 @@ from reelweave.operators.relational import (
     gender_split, lookup_inner, lookup_left, members_of, top_k, with_child_count,
 )
 from reelweave.plans.tables import Tables
+from reelweave.session import handoff
 
 
 def franchise_demographics(t: Tables) -> DataFrame:
@@ -242,21 +243,22 @@ def dashboard_gender_by_role(characters: DataFrame) -> DataFrame:
 def top_talents(characters: DataFrame, k: int = 50) -> DataFrame:
     """Voice actors by characters, with the number of film links and the studios they worked for.
 
-    Rows are first reduced to one per actor and studio, so the list of an actor is built from distinct studios.
+    Rows are first reduced to one per actor and studio. Studios are listed for the k actors found only.
     """
     films = F.size(F.from_json("film_ids", "array<string>"))
-    per_studio = (
+    per_studio = handoff(
         characters.filter(nz.is_real_name(F.col("voice_actor")))
         .groupBy("voice_actor", "studio_id")
         .agg(F.count("*").alias("n"), F.sum(films).alias("films"))
     )
     per_actor = per_studio.groupBy("voice_actor").agg(
-        F.sum("n").alias("character_count"),
-        F.sum("films").alias("film_count"),
-        F.array_join(F.sort_array(F.collect_set("studio_id")), ", ").alias("studios"),
+        F.sum("n").alias("character_count"), F.sum("films").alias("film_count")
     )
-    best = top_k(per_actor, k, F.desc("character_count"), F.asc("voice_actor"))
-    return best.select(F.col("voice_actor").alias("name"), "film_count", "character_count", "studios")
+    best = handoff(top_k(per_actor, k, F.desc("character_count"), F.asc("voice_actor")))
+    lists = per_studio.join(best.select("voice_actor"), "voice_actor", "left_semi").groupBy("voice_actor")
+    named = lists.agg(F.array_join(F.sort_array(F.collect_set("studio_id")), ", ").alias("studios"))
+    rows = best.join(named, "voice_actor").select(F.col("voice_actor").alias("name"), "film_count", "character_count", "studios")
+    return rows.orderBy(F.desc("character_count"), "name")
 
 
 def prolific_actors(characters: DataFrame, k: int = 15) -> DataFrame:
@@ -297,7 +299,7 @@ def films_by_year(films: DataFrame) -> DataFrame:
 
 def species_group_share(characters: DataFrame, k: int = 10) -> DataFrame:
     counted = characters.groupBy(nz.species_group(F.col("species")).alias("species")).agg(F.count("*").alias("count"))
-    return top_k(with_share(counted, "count", "percentage", digits=0, closed_set=True), k, F.desc("count"), F.asc("species"))
+    return top_k(with_share(counted, "count", "percentage", digits=0), k, F.desc("count"), F.asc("species"))
 
 
 def villain_share(characters: DataFrame) -> DataFrame:

@@ -143,7 +143,7 @@ def v_gender_stats(t: Tables) -> DataFrame:
     counted = t.characters.groupBy("gender_id").agg(F.count("*").alias("character_count"))
     named = lookup_left(counted, t.genders, "gender_id", {"name": "gender"})
     per_gender = named.groupBy("gender").agg(F.sum("character_count").alias("character_count"))
-    shared = with_share(per_gender, "character_count", "percentage", closed_set=True)
+    shared = with_share(per_gender, "character_count", "percentage")
     return shared.orderBy(F.desc("character_count"), F.asc_nulls_last("gender"))
 
 

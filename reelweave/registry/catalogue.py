@@ -29,7 +29,7 @@ class Catalogue(Tables):
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
-        self._raw_layout: dict = {}
+        self._raw_schemas: dict = {}
         super().__init__(lambda name: getattr(self, f"make_{name}")())
 
     @property
@@ -37,14 +37,11 @@ class Catalogue(Tables):
         return self._spark
 
     def raw(self, name: str) -> DataFrame:
-        """A given table; its footer and layout are looked at once per catalogue."""
+        """A given table; its footer is looked at once per catalogue."""
         path = f"{self._folder}/{name}.parquet"
-        if name not in self._raw_layout:
-            rows = self._spark.read.parquet(path)
-            self._raw_layout[name] = rows.schema, readers.spread_factor(rows)
-        schema, partitions = self._raw_layout[name]
-        rows = self._spark.read.schema(schema).parquet(path)
-        return rows if partitions is None else rows.repartition(partitions, rows.columns[0])
+        if name not in self._raw_schemas:
+            self._raw_schemas[name] = self._spark.read.parquet(path).schema
+        return self._spark.read.schema(self._raw_schemas[name]).parquet(path)
 
     # ---- lookups
 
@@ -187,15 +184,21 @@ class Catalogue(Tables):
 
     def make_box_office_daily(self):
         """Reports with release week, weekend flag and title."""
-        titles = self.media.select(F.col("id").alias("film_id"), F.col("title").alias("film_title"),
-                                   F.col("year").alias("film_year"))
-        return bo.release_calendar(self.box_office_reports(), ["film_id"]).join(titles, "film_id")
+        return bo.release_calendar(self.box_office_reports(), ["film_id"], attributes=self.film_titles())
+
+    def film_titles(self):
+        return self.media.select(F.col("id").alias("film_id"), F.col("title").alias("film_title"), F.col("year").alias("film_year"))
+
+    def make_box_office_days(self):
+        """One row per title, date and state; weekly and total facts share it, so the line items are read once."""
+        reduced = bo.reduce_reports(self.box_office_reports(), ["film_id"])
+        return bo.release_calendar(reduced, ["film_id"], attributes=self.film_titles())
 
     def make_box_office_weekly(self):
-        return bo.build_weekly(self.box_office_daily)
+        return bo.weekly_facts(self.box_office_days)
 
     def make_box_office_total(self):
-        return bo.build_total(self.box_office_daily)
+        return bo.film_facts(self.box_office_days)
 
     def event_reports(self):
         """Events as revenue reports: user = film, event type = state."""

@@ -58,9 +58,9 @@ def _(t):
 @query("weighted_allocation", with_views(
     "SELECT t.film_id, w.state_code, round(CAST(t.total_revenue AS DOUBLE) * w.weight, 2) AS revenue FROM total t, (VALUES "
     + ", ".join(f"('{s}', {w}::DOUBLE)" for s, w in fv.STATE_WEIGHTS.items())
-    + ") AS w(state_code, weight) WHERE CAST(t.total_revenue AS DOUBLE) * w.weight >= 20000", "total"))
+    + ") AS w(state_code, weight) WHERE CAST(t.total_revenue AS DOUBLE) * w.weight >= 100", "total"))
 def _(t):
-    return bo.allocate(t.box_office_total.select("film_id", "total_revenue"), "total_revenue", 20000.0).drop("total_revenue")
+    return bo.allocate(t.box_office_total.select("film_id", "total_revenue"), "total_revenue").drop("total_revenue")
 
 
 # ---------------------------------------------------------------- revenue queries

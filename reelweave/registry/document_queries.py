@@ -42,8 +42,7 @@ def order_documents(t):
 
 
 def parsed(t):
-    """The table is one small file; a folder of documents would be read by many tasks."""
-    return doc.parse_documents(order_documents(t).repartition(t.spark.sparkContext.defaultParallelism))
+    return doc.parse_documents(order_documents(t))
 
 
 DOCS = """docs AS (SELECT o_orderkey AS k, o_custkey AS c, o_custkey % 10 AS v, o_orderstatus AS s, 'folder_' || lower(o_orderstatus) AS source_dir,
@@ -114,7 +113,7 @@ FROM titles t LEFT JOIN linked p ON p.media_title = t.title AND p.media_year = t
 def _(t):
     docs = parsed(t)
     people = doc.character_rows(docs, first_for_lists=True, franchise_year=True)
-    titles = doc.media_rows(docs, keep_raw=True).unionByName(doc.stand_in_titles(people))
+    titles = doc.media_rows(docs, keep_raw=True).unionByName(doc.stand_in_titles(people), allowMissingColumns=True)
     return b.dashboard_films(titles, b.dashboard_characters(people)).select("id", "title", "year", "character_count")
 
 
@@ -164,11 +163,11 @@ def game_documents(t):
         F.array(F.concat("p_name", F.lit(" "), "p_partkey", F.lit(" (2004)")), F.concat(F.lit("Remake "), "p_partkey", F.lit(" (2010)"))).alias("games"),
         F.create_map(
             F.lit("first"), F.struct(F.lit(2004).alias("year"), F.lit("Wii/PS2, ds").alias("platform"), F.lit("Second House").alias("developer")),
+            F.lit("another"), F.struct(F.lit(2004).alias("year"), F.lit("PC").alias("platform"), F.lit("Fourth House").alias("developer")),
             F.lit("other"), F.struct(F.lit(1999).alias("year"), F.lit("PC").alias("platform"), F.lit("Third House").alias("developer")),
         ).alias("categories"))
     path = F.concat(F.lit("/data/games/g_"), "p_partkey", F.lit(".json"))
-    files = t.raw("part").repartition(t.spark.sparkContext.defaultParallelism)
-    return files.select(F.to_json(body).alias("value"), path.alias("path"))
+    return t.raw("part").select(F.to_json(body).alias("value"), path.alias("path"))
 
 
 GAMES = """games AS (SELECT p_partkey AS k, p_name || ' ' || p_partkey AS title, 2004 AS year, p_type AS franchise, 'Second House' AS developer,
@@ -206,21 +205,21 @@ ALBUM = """[{"film": "Film ~k", "film_year": 1994, "releases": [
    "tracks": [{"title": "Song A", "composer": "Writer ~v", "performers": [{"name": " Singer ~v ", "type": "Voice"}, {"name": "Band ~v"}],
                "awards": [{"award": "Local Prize", "category": "Best Song", "year": 1995, "result": "unknown"}]},
               {"composer": "Nobody"}, {"title": "Song B", "type": "score"}]},
-  {"title": "Album ~k", "label": "Label ~v", "tracks": []}]},
+  {"title": "Album ~k", "label": "Old label", "tracks": []},
+  {"title": "Album ~k", "label": "Label ~v", "tracks": []}, {"title": "Album ~k", "label": null, "tracks": []}]},
  {"film": "No year", "releases": [{"title": "Lost"}]}]"""
 
 
 def soundtracks(t):
     """One soundtrack file per order."""
     text = F.replace(F.lit(ALBUM), F.lit("~k"), F.col("o_orderkey").cast("string"))
-    orders = t.raw("orders").repartition(t.spark.sparkContext.defaultParallelism)
-    files = orders.select(F.replace(text, F.lit("~v"), (F.col("o_custkey") % 10).cast("string")).alias("value"))
+    files = t.raw("orders").select(F.replace(text, F.lit("~v"), (F.col("o_custkey") % 10).cast("string")).alias("value"))
     return doc.soundtrack_entries(files)
 
 
 @query("flatten_releases", """
 SELECT 'Film ' || o_orderkey AS film, 'Album ' || o_orderkey AS release_title, p AS release_position,
-  CASE p WHEN 1 THEN 'Label ' || (o_custkey % 10) END AS label FROM orders, (VALUES (0), (1)) AS v(p)""")
+  CASE p WHEN 1 THEN 'Old label' WHEN 2 THEN 'Label ' || (o_custkey % 10) END AS label FROM orders, (VALUES (0), (1), (2), (3)) AS v(p)""")
 def _(t):
     return doc.release_rows(soundtracks(t)).select("film", "release_title", "release_position", "label")
 

@@ -109,13 +109,14 @@ def message_folder(t):
     spoiled = (
         F.when(bad == 0, F.substring(value, 1, 20))
         .when(bad == 1, F.regexp_replace(value, r'"report_date":"[^"]*",', ""))
+        .when((bad == 2) & (F.col("event_id") % 8 == 2), F.regexp_replace(value, r'("report_date":"[^"]*)"', '$1garbage"'))
         .when(bad == 2, F.regexp_replace(value, r'"report_date":"[^"]*"', '"report_date":"soon"'))
         .when(bad == 3, F.regexp_replace(value, r'"revenue":[^,}]*,', ""))
         .otherwise(value)
     )
     folder = fresh_folder(t.spark, "messages")
     messages = t.raw("events").select((F.col("user_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"), spoiled.alias("value"))
-    messages.repartition(4).write.json(folder)
+    messages.write.option("maxRecordsPerFile", 2500).json(folder)
     return folder
 
 
@@ -159,10 +160,9 @@ def _(t):
 
 @query("stream_daily_window", with_views(
     """SELECT report_date, state_code, CAST(sum(revenue) AS DOUBLE) AS total, count(*) AS reports FROM event_reports
-       WHERE CAST(report_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events)
        GROUP BY report_date, state_code""", "event_reports"))
 def _(t):
-    """Daily totals by state of all windows that the watermark has closed."""
+    """Daily totals by state of all windows, closed and open."""
     folder = fresh_folder(t.spark, "windows")
     t.raw("events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("state_code"),
                            F.col("value").cast(MONEY).alias("revenue")).write.parquet(f"{folder}/events")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +29,14 @@ def build_session(app_name: str = "reelweave", master: str | None = None, **extr
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a local one only on a local master without it."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; Spark's own scratch folder only where it is unset and
+    driver and executors are one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return os.path.join(tempfile.gettempdir(), "reelweave-checkpoints")
+    return os.path.join(spark.conf.get("spark.local.dir", "/tmp"), "reelweave-checkpoints")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelweave.operators.keys import first_per_key
+from reelweave.session import handoff
 from reelweave.sources.readers import read_or_empty
 
 
@@ -81,10 +82,15 @@ def upsert_table(
     replacement, so stored rows cannot get lost between the two writes.
     """
     if not is_complete(spark, staging):
-        # partition values (days) only; as literals they prune the scan of the stored table
-        touched = [row[0] for row in changes.select(partition).distinct().collect()]
-        stored = read_or_empty(spark, table, schema, enforce=True).filter(F.col(partition).isin(touched))
+        changes = handoff(changes)
+        touched = changes.select(partition).distinct()
+        stored = read_or_empty(spark, table, schema, enforce=True).join(touched, partition, "left_semi")
         merged = upsert_update(stored, changes.select(stored.columns), keys, sequence)
         write_partitions(merged, staging, partition, "static")
     staged = spark.read.schema(schema).parquet(staging)
     write_partitions(staged, table, partition, "dynamic")
+
+
+def drop_staged(spark: SparkSession, staging: str, schema: str) -> None:
+    """Empties the staged rows of a batch that is known to be in the table; the folder stays complete."""
+    spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staging)

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelweave.functions.text import key_text
-from reelweave.session import handoff
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -23,16 +22,13 @@ def write_if_any(df: DataFrame, path: str) -> bool:
     return True
 
 
-def export_mart(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """Mart for a small reader: a single file while the mart is small, else one file per ``max_rows`` rows.
+def export_mart(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Mart for a reader of its own, in as many files as Spark's tasks write, or in the given number of files.
 
-    The mart is computed once and handed off; its counted size decides how many tasks write it.
+    A single file (``files=1``) passes through one task: the caller knows that the mart is small.
     """
-    rows = handoff(df)
-    files = max(1, -(-rows.count() // max_rows))
-    (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("overwrite").option(
-        "maxRecordsPerFile", max_rows
-    ).option("compression", "snappy").parquet(path)
+    rows = df if files is None else df.repartition(files)
+    rows.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
 def to_keyed_json(df: DataFrame, *key: Column, separator: str = "_", fold: bool = True) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,11 @@ from reelweave.operators.documents import is_catalogue_file, parse_documents
 from reelweave.schemas import TABLES
 
 
+def source_path() -> Column:
+    """The path of the file a row was read from, as written on disk: the metadata has it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_ndjson(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """NDJSON below ``root/<date>/``; the plain date folder becomes ``ingest_date``."""
     rows = spark.read.schema(schema).json(f"{root.rstrip('/')}/*/*.json")
@@ -28,7 +33,7 @@ def read_documents(spark: SparkSession, root: str, skip_dirs: tuple[str, ...] =
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
         .text(root, wholetext=True)
-        .select("value", F.col("_metadata.file_path").alias("path"))
+        .select("value", source_path().alias("path"))
     )
     name = F.element_at(F.split("path", "/"), -1)
     docs = parse_documents(files.filter(is_catalogue_file(name)))
@@ -40,27 +45,6 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
-def spread_factor(rows: DataFrame, min_bytes: int = 4 << 20) -> int | None:
-    """Number of partitions to spread an input over when its files alone would not occupy all cores, else None.
-
-    A file with a single row group is read by one task, however large it is. Inputs with at least one split per core,
-    as any large one has, and inputs below ``min_bytes`` are left as they are.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    # the scan makes at least one split per 128 MB, so large inputs need no look at their files
-    if not min_bytes <= size < cores * (128 << 20) or rows.rdd.getNumPartitions() >= cores:
-        return None
-    return cores
-
-
-def read_spread(spark: SparkSession, path: str, min_bytes: int = 4 << 20) -> DataFrame:
-    """Parquet data, spread over all cores if need be, by the hash of its first column (round robin would sort)."""
-    rows = spark.read.parquet(path)
-    partitions = spread_factor(rows, min_bytes)
-    return rows if partitions is None else rows.repartition(partitions, rows.columns[0])
-
-
 def read_or_empty(spark: SparkSession, path: str, schema: str, enforce: bool = False) -> DataFrame:
     """The Parquet data at the path, or no rows of the given schema when there is none.
 
@@ -94,7 +78,7 @@ def create_external_tables(spark: SparkSession, root: str, database: str, names:
 
 def with_source(df: DataFrame) -> DataFrame:
     """File, folder and extraction time of rows read from files."""
-    path = F.col("_metadata.file_path")
+    path = source_path()
     return df.select(
         "*",
         F.element_at(F.split(path, "/"), -1).alias("source_file"),

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reelweave.functions.measures import MONEY
+from reelweave.functions.text import iso_date
 from reelweave.schemas import REVENUE_EVENT
-from reelweave.sinks.upsert import latest_per_key, upsert_table
+from reelweave.session import handoff
+from reelweave.sinks.upsert import drop_staged, latest_per_key, upsert_table
 from reelweave.sources.streams import decode
 
 DAILY_KEYS = ["film_id", "report_date", "state_code"]
@@ -29,7 +31,7 @@ def reject_reason(record: Column) -> Column:
     return (
         F.when(record.isNull() | record[CORRUPT].isNotNull(), "malformed")
         .when(no_key, "missing_key")
-        .when(F.try_to_date(F.substring(report_date, 1, 10)).isNull(), "bad_date")
+        .when(iso_date(report_date).isNull(), "bad_date")
         .when(record["revenue"].isNull(), "missing_revenue")
     )
 
@@ -44,7 +46,7 @@ def valid_rows(classified: DataFrame) -> DataFrame:
     """Daily rows of the good messages."""
     return classified.filter(F.col("reason").isNull()).select(
         F.col("record.film_id").alias("film_id"),
-        F.try_to_date(F.substring("record.report_date", 1, 10)).alias("report_date"),
+        iso_date(F.col("record.report_date")).alias("report_date"),
         F.col("record.state_code").alias("state_code"),
         F.col("record.revenue").cast(MONEY).alias("revenue"),
         F.col("record.timestamp").alias("event_time"),
@@ -81,6 +83,8 @@ def upsert_daily(
                 spark, table, f"{work}/staged/batch-{batch_id}", changes, DAILY_SCHEMA, DAILY_KEYS, SEQUENCE,
                 "report_date",
             )
+            if batch_id:  # batches follow each other, so the one before is in the table
+                drop_staged(spark, f"{work}/staged/batch-{batch_id - 1}", DAILY_SCHEMA)
         finally:
             classified.unpersist()
 
@@ -94,6 +98,6 @@ def upsert_daily(
 
 def with_week_number(daily: DataFrame, keys: list[str]) -> DataFrame:
     """Week of release, from the first report of each film."""
-    first = daily.groupBy(*keys).agg(F.min("report_date").alias("_first"))
+    first = handoff(daily.groupBy(*keys).agg(F.min("report_date").alias("_first")))
     week = F.floor(F.date_diff("report_date", "_first") / 7).cast("int") + 1
     return daily.join(first, keys).withColumn("week_number", week).drop("_first")

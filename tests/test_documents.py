@@ -142,3 +142,22 @@ def test_shorts(table, values):
 def test_appearances_drop_nulls(table, values):
     raw = table("name STRING, appearances ARRAY<STRUCT<title: STRING, year: INT>>", ("a", [("T", 1), None]), ("b", None), ("c", []))
     assert values(doc.explode_appearances(raw), "name", "media_title", "media_year") == [("a", "T", 1)]
+
+
+def test_categories_keep_the_order_of_the_document(spark, values):
+    text = (
+        '{"studio": "House", "games": ["Game (2001)"], "categories": {"zeta": {"year": 2001, "developer": "First", "characters": [{"name": "Z"}]},'
+        ' "alpha": {"year": 2001, "developer": "Second", "characters": [{"name": "A"}]}, "mid": {"year": 1, "characters": [{"name": "M"}]}},'
+        ' "film_data": {"omega": {"characters": [{"name": "O"}]}, "mid": {"year": 2, "characters": [{"name": "N"}]}, "beta": {"characters": []}}}'
+    )
+    docs = doc.parse_documents(spark.createDataFrame([(text, "/d/f.json")], "value STRING, path STRING"))
+    assert [r.category for r in doc.category_rows(docs).collect()] == ["zeta", "alpha", "mid", "omega", "beta"]
+    people = doc.character_rows(docs).orderBy("group_position", "position").collect()
+    assert [(p.category, p.name) for p in people] == [("zeta", "Z"), ("alpha", "A"), ("mid", "N"), ("omega", "O")]
+    assert doc.game_rows(docs).first().developer == "First"
+
+
+def test_lists_of_a_map_keep_their_order(spark):
+    text = '{"films": ["A (2001)"], "characters": {"z": [{"name": "1"}], "b": [{"name": "2"}], "a": [{"name": "3"}]}}'
+    docs = doc.parse_documents(spark.createDataFrame([(text, "/d/f.json")], "value STRING, path STRING"))
+    assert [r.name for r in doc.character_rows(docs).orderBy("group_position").collect()] == ["1", "2", "3"]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelweave.operators import keys
-from reelweave.plans import insights, people
+from reelweave.plans import boxoffice, insights, people
 from reelweave.plans.tables import Tables
 from reelweave.sinks import upsert
 
@@ -101,3 +101,54 @@ def test_dense_index_with_one_big_group(rows, plain):
     got = sorted((r.pos, r.character_id) for r in numbered.select("pos", "character_id").collect())
     assert [p for p, _ in got] == list(range(1, ROWS + 1))
     assert [c for _, c in got] == sorted(c for c, _, _, _ in plain)
+
+
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.shuffle.partitions": "8",
+}
+
+
+@pytest.fixture
+def split_early(spark):
+    old = {k: spark.conf.get(k, None) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def executed(df):
+    df.write.format("noop").mode("overwrite").save()
+    rows = df._jdf.queryExecution()
+    rows.executedPlan().executeCollect()
+    return rows.executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def reports(spark):
+    n = F.col("id")
+    film = F.when(n % 3 == 0, 0).otherwise(n % 97 + 1)
+    return spark.range(60_000).select(
+        film.alias("film_id"), F.concat(F.lit("Film "), film).alias("film_title"), F.lit(2000).alias("film_year"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (n % 400).cast("int")).alias("report_date"), (n % 50).cast("string").alias("state_code"),
+        (n % 1000).cast("decimal(14,2)").alias("revenue")).repartition(6).cache()
+
+
+def test_a_hot_film_is_split_in_the_daily_fact(spark, split_early, reports):
+    titles = reports.select("film_id", F.upper("film_title").alias("title")).distinct()
+    assert "skew=true" in executed(boxoffice.release_calendar(reports.drop("film_title"), ["film_id"], attributes=titles))
+
+
+def test_a_hot_film_is_summed_before_the_shuffle(spark, reports):
+    reduced = reports.groupBy("film_id", "report_date", "state_code").agg(F.sum("revenue"))
+    assert "partial_sum" in reduced._jdf.queryExecution().executedPlan().toString()
+    days = boxoffice.release_calendar(boxoffice.reduce_reports(reports, ["film_id"]), ["film_id"])
+    assert days.agg(F.sum("reports")).first()[0] == 60_000
+    plain = boxoffice.release_calendar(reports, ["film_id"])
+    weekly = boxoffice.weekly_facts(days.withColumns({"film_title": F.lit("x"), "film_year": F.lit(1)}))
+    by_hand = plain.groupBy("film_id", "week_number").agg(F.sum("revenue").alias("r"), F.count("*").alias("n"), F.countDistinct("state_code").alias("s"), F.countDistinct("report_date").alias("d"))
+    found = {(r.film_id, r.week_number): (r.total_revenue, r.days_reporting, r.states_reporting, r.distinct_days) for r in weekly.collect()}
+    assert found == {(r.film_id, r.week_number): (r.r, r.n, r.s, r.d) for r in by_hand.collect()}

@@ -54,20 +54,23 @@ def test_source_columns_and_hook(spark, tmp_path):
     assert (row.source_file, row.source_dir) == ("f.json", "d") and row.extracted_at is not None
 
 
-def test_small_files_are_spread(spark, tmp_path):
-    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
-    assert readers.read_spread(spark, str(tmp_path / "one"), min_bytes=1).rdd.getNumPartitions() == 4
-    assert readers.read_spread(spark, str(tmp_path / "one")).rdd.getNumPartitions() == 1
+def test_names_of_files_are_as_on_disk(spark, tmp_path):
+    (tmp_path / "my folder").mkdir()
+    (tmp_path / "my folder" / "lion king+50%.json").write_text('{"films": ["A (2001)"]}')
+    row = readers.read_documents(spark, str(tmp_path)).first()
+    assert (row.source_file, row.source_dir) == ("lion king+50%.json", "my folder")
+    row = readers.with_source(spark.read.schema("films ARRAY<STRING>").json(str(tmp_path / "my folder"))).first()
+    assert (row.source_file, row.source_dir) == ("lion king+50%.json", "my folder")
 
 
 def test_write_if_any_and_export(spark, tmp_path, table):
     assert not writers.write_if_any(table("a INT"), str(tmp_path / "none"))
     assert writers.write_if_any(table("a INT", (1,)), str(tmp_path / "one"))
     rows = spark.range(100).repartition(8)
-    writers.export_mart(rows, str(tmp_path / "small"))
+    writers.export_mart(rows, str(tmp_path / "small"), files=1)
     assert len(list((tmp_path / "small").glob("*.parquet"))) == 1
-    writers.export_mart(rows, str(tmp_path / "large"), max_rows=30)
-    assert len(list((tmp_path / "large").glob("*.parquet"))) >= 4
+    writers.export_mart(rows, str(tmp_path / "large"))
+    assert len(list((tmp_path / "large").glob("*.parquet"))) == 8
     assert spark.read.parquet(str(tmp_path / "large")).count() == 100
 
 
