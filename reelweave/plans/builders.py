@@ -33,7 +33,11 @@ def build_studios(raw_films: DataFrame) -> DataFrame:
 
 
 def build_franchises(raw_films: DataFrame) -> DataFrame:
-    return build_dim(raw_films.select(F.col("franchise").alias("name")), "name")
+    """Franchises with the studio that is alphabetically first among those of their films."""
+    rows = raw_films.select(F.col("franchise").alias("name"), blank_to_null(F.col("studio")).alias("studio"))
+    built = build_dim(rows, "name", ["studio"], [F.asc_nulls_last("studio")])
+    studio_id = F.when(F.col("studio").isNotNull(), surrogate_key("studio"))
+    return built.select("id", "name", studio_id.alias("studio_id"))
 
 
 def build_media(records: DataFrame, franchises: DataFrame) -> DataFrame:
@@ -83,8 +87,11 @@ def build_talent(names: DataFrame, column: str = "voice_actor", primary_only: bo
     return build_dim(names.select(name.alias("name")), "name")
 
 
-def build_characters(raw: DataFrame, roles: DataFrame, genders: DataFrame, default_role: str | None = None) -> DataFrame:
-    """Characters unique by (name, franchise); the alphabetically first attributes are kept."""
+def build_characters(
+    raw: DataFrame, roles: DataFrame, genders: DataFrame, default_role: str | None = None, franchises: DataFrame | None = None
+) -> DataFrame:
+    """Characters unique by (name, franchise); the alphabetically first attributes are kept. The studio is that of the
+    franchise, null without a table of franchises."""
     rows = raw.select(
         "name", "franchise", nz.role_alias(F.col("role")).alias("role"), nz.gender_alias(F.col("gender")).alias("gender"),
         "species", "first_appearance_year",
@@ -93,9 +100,13 @@ def build_characters(raw: DataFrame, roles: DataFrame, genders: DataFrame, defau
     first = first_per_key(rows, ["name", "franchise"], order)
     with_role = resolve_lookup(first, roles, F.col("role"), "role_id", default_role)
     with_gender = resolve_lookup(with_role, genders, F.col("gender"), "gender_id", "n/a" if default_role else None)
-    return with_gender.select(
+    if franchises is None:
+        owned = with_gender.withColumn("studio_id", F.lit(None).cast("bigint"))
+    else:
+        owned = composite_lookup(with_gender, franchises, {"franchise": "name"}, {"studio_id": "studio_id"})
+    return owned.select(
         surrogate_key("name", "franchise").alias("id"), "name", "franchise", "role_id", "gender_id", "species",
-        "first_appearance_year",
+        "first_appearance_year", "studio_id",
     )
 
 
@@ -257,10 +268,18 @@ def nomination_rows(
     sung = composite_lookup(
         typed, song_ids, {"film": "film", "film_year": "film_year", "song_title": "song_title"}, {"song_id": "song_id"}
     )
-    return sung.select(
+    rows = sung.select(
         "media_id", "award_category_id", F.col("ceremony_year").alias("year"), "outcome",
         F.lit(None).cast("bigint").alias("talent_id"), "song_id",
     )
+    return rows.select(surrogate_key(*NOMINATION_KEYS).alias("id"), "*")
+
+
+def skipped_awards(awards: DataFrame, media: DataFrame) -> DataFrame:
+    """Awards of films that the catalogue does not have, with the number of awards by film."""
+    films = media.filter(F.col("media_type") == "film").select(F.lower("title").alias("_title"), F.col("year").alias("_year"))
+    known = (F.lower("film") == F.col("_title")) & (F.col("film_year") == F.col("_year"))
+    return awards.join(films, known, "left_anti").groupBy("film", "film_year").agg(F.count("*").alias("awards"))
 
 
 NOMINATION_KEYS = ["media_id", "award_category_id", "year", "talent_id", "song_id"]

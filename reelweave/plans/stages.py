@@ -61,7 +61,7 @@ def catalogue_stages(spark: SparkSession, raw: str, root: str) -> list[Stage]:
         ("roles", lambda: readers.roles(spark)),
         ("genders", lambda: readers.genders(spark)),
         ("talent", lambda: b.build_talent(people())),
-        ("characters", lambda: b.build_characters(people(), t.roles, t.genders)),
+        ("characters", lambda: b.build_characters(people(), t.roles, t.genders, franchises=t.franchises)),
         ("character_appearances", lambda: b.build_appearances(people(), t.media, t.roles)),
         ("box_office_daily", lambda: bo.build_daily(box_office(), t.films, t.media)),
         ("box_office_weekly", lambda: bo.build_weekly(t.box_office_daily)),

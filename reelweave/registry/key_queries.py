@@ -57,9 +57,10 @@ def _(t):
     return b.build_studios(raw_films(t)).drop("id")
 
 
-@query("build_franchises", "SELECT DISTINCT p_type AS name FROM part")
+@query("build_franchises", "SELECT p_type AS name, min(p_brand) AS studio FROM part GROUP BY p_type")
 def _(t):
-    return b.build_franchises(raw_films(t)).drop("id")
+    studios = b.build_studios(raw_films(t)).select(F.col("id").alias("studio_id"), F.col("name").alias("studio"))
+    return b.build_franchises(raw_films(t)).join(studios, "studio_id", "left").select("name", "studio")
 
 
 @query("dedup_first", """

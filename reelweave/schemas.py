@@ -35,7 +35,7 @@ SHORT = (
 
 TABLES = {
     "studios": "id BIGINT, name STRING, years_active_start INT, years_active_end INT, status STRING",
-    "franchises": "id BIGINT, name STRING",
+    "franchises": "id BIGINT, name STRING, studio_id BIGINT",
     "media": "id BIGINT, title STRING, year INT, franchise_id BIGINT, media_type STRING",
     "films": "id BIGINT, media_id BIGINT, studio_id BIGINT, animation_type STRING",
     "roles": "id BIGINT, name STRING",
@@ -43,8 +43,24 @@ TABLES = {
     "talent": "id BIGINT, name STRING",
     "characters": (
         "id BIGINT, name STRING, franchise STRING, role_id BIGINT, gender_id BIGINT, species STRING, "
-        "first_appearance_year INT"
+        "first_appearance_year INT, studio_id BIGINT"
     ),
+    "games": "id BIGINT, media_id BIGINT, developer STRING, publisher STRING, platforms ARRAY<STRING>",
+    "platforms": "id BIGINT, name STRING",
+    "game_platforms": "game_id BIGINT, platform_id BIGINT",
+    "game_sales": "game_id BIGINT, units_sold BIGINT, revenue DECIMAL(14,2)",
+    "soundtracks": (
+        "id BIGINT, media_id BIGINT, source_media_id BIGINT, label STRING, release_title STRING, film_year INT"
+    ),
+    "songs": "id BIGINT, soundtrack_id BIGINT, title STRING, track_number INT",
+    "credit_types": "id BIGINT, name STRING",
+    "song_credits": "id BIGINT, song_id BIGINT, talent_id BIGINT, credit_type_id BIGINT",
+    "award_bodies": "id BIGINT, name STRING",
+    "award_categories": "id BIGINT, award_body_id BIGINT, name STRING, is_media_level BOOLEAN",
+    "nominations": (
+        "id BIGINT, media_id BIGINT, award_category_id BIGINT, year INT, outcome STRING, talent_id BIGINT, song_id BIGINT"
+    ),
+    "species": "id BIGINT, name STRING, parent_species_id BIGINT",
     "character_appearances": "id BIGINT, character_id BIGINT, media_id BIGINT, talent_id BIGINT, role_id BIGINT",
     "box_office_daily": (
         "id BIGINT, film_id BIGINT, film_title STRING, film_year INT, report_date DATE, state_code STRING, "
