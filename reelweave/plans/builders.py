@@ -123,6 +123,7 @@ def build_appearances(raw: DataFrame, media: DataFrame, roles: DataFrame) -> Dat
             "character_id"
         ),
         F.when(blank_to_null(F.col("voice_actor")).isNotNull(), surrogate_key("voice_actor")).alias("talent_id"),
+        blank_to_null(F.col("voice_actor")).alias("voice_actor"),
         nz.role_alias(F.col("role")).alias("role"),
         "media_title",
         "media_year",
@@ -132,7 +133,7 @@ def build_appearances(raw: DataFrame, media: DataFrame, roles: DataFrame) -> Dat
         rows, titles, {"media_title": "title", "media_year": "year"}, {"id": "media_id"}, "inner", ["media_title"]
     )
     with_role = resolve_lookup(placed, roles, F.col("role"), "role_id")
-    order = [F.asc_nulls_last("talent_id"), F.asc_nulls_last("role_id")]
+    order = [F.asc_nulls_last("voice_actor"), F.asc_nulls_last("role_id")]
     return build_junction(with_role, ["character_id", "media_id"], ["talent_id", "role_id"], order)
 
 

@@ -33,4 +33,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from reelweave.registry import catalogue_queries, document_queries, key_queries, sink_queries, text_queries  # noqa: F401
+    from reelweave.registry import catalogue_queries, document_queries, key_queries, sink_queries, source_queries, text_queries  # noqa: F401

@@ -175,10 +175,11 @@ def _(t):
     return named.select("name", "franchise", "role", "gender", "first_appearance_year")
 
 
-@query("build_appearances", f"""
-WITH {RAW_PEOPLE}, lists AS (SELECT name, franchise, title, year, max(voice_actor) IS NOT NULL AS voiced, count(*) AS records,
-  bool_or(role = 'protagonist') AS p, bool_or(role = 'villain') AS v FROM raw_people GROUP BY ALL)
-SELECT name, franchise, title, year, voiced FROM lists""")
+@query("build_appearances", with_views(
+    f""", {RAW_PEOPLE} SELECT p.name, p.franchise, p.title, p.year, p.voice_actor AS voice, r.name AS role
+       FROM raw_people p LEFT JOIN roles r ON r.name = p.role
+       QUALIFY row_number() OVER (PARTITION BY p.name, p.franchise, p.title, p.year ORDER BY p.voice_actor NULLS LAST, r.id NULLS LAST) = 1""",
+    "roles").replace(")\n, raw", "),\nraw"))
 def _(t):
     people, films = raw_people(t), raw_films(t)
     media = b.build_media(films.withColumn("media_type", F.lit("film")), b.build_franchises(films))
@@ -188,7 +189,8 @@ def _(t):
     named = built.join(characters.select(F.col("id").alias("character_id"), "name", "franchise"), "character_id")
     titled = named.join(media.select(F.col("id").alias("media_id"), "title", "year"), "media_id")
     voices = talent.select(F.col("id").alias("talent_id"), F.col("name").alias("voice"))
-    return titled.join(voices, "talent_id", "left").select("name", "franchise", "title", "year", F.col("voice").isNotNull().alias("voiced"))
+    roles = t.roles.select(F.col("id").alias("role_id"), F.col("name").alias("role"))
+    return titled.join(voices, "talent_id", "left").join(roles, "role_id", "left").select("name", "franchise", "title", "year", "voice", "role")
 
 
 @query("junction_build", """
