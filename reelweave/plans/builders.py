@@ -81,6 +81,16 @@ def raw_films_from_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def raw_characters_from_documents(docs: DataFrame) -> DataFrame:
+    """Character records of documents: the year of their category, and the dated films of the document as appearances."""
+    people = doc.character_rows(docs, unnamed="Unknown", titles=True)
+    return people.select(
+        "name", "franchise", nz.role_alias(F.col("role")).alias("role"), nz.gender_alias(F.col("gender")).alias("gender"),
+        F.coalesce("species", F.lit("unknown")).alias("species"), "voice_actor",
+        F.col("category_year").alias("first_appearance_year"), "appearances", "source_dir", "source_file",
+    )
+
+
 def build_talent(names: DataFrame, column: str = "voice_actor", primary_only: bool = False) -> DataFrame:
     """Voice actors; with ``primary_only`` the first name of a list, without remarks in brackets."""
     name = nz.primary_actor(F.col(column)) if primary_only else F.col(column)

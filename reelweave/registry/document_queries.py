@@ -52,13 +52,13 @@ MEDIA = """media AS (SELECT k, s, 0 AS position, CASE s WHEN 'F' THEN 'Alpha ' |
     CASE s WHEN 'F' THEN 1990 WHEN 'O' THEN 2001 ELSE 2002 END AS year, CASE s WHEN 'O' THEN 'game' ELSE 'film' END AS media_type FROM docs
   UNION ALL SELECT k, s, 1, 'Beta ' || k, 1995, 'film' FROM docs WHERE s = 'F')"""
 PEOPLE = f"""people AS (
-  SELECT k, source_file, {FRANCHISE} AS franchise, container, category, who || ' ' || k AS name, role,
+  SELECT k, s, c, gp, pos, source_file, {FRANCHISE} AS franchise, container, category, who || ' ' || k AS name, role,
     CASE WHEN voiced THEN 'Voice ' || v END AS voice_actor, media || ' ' || k AS media_title, media_year
   FROM docs JOIN (VALUES
-    ('F', 'categories', 'a_part', 'Hero', 'hero', true, 'Alpha', 1990), ('F', 'categories', 'a_part', 'Foe', 'villain', false, 'Alpha', 1990),
-    ('F', 'categories', 'beta', 'Pal', NULL, false, 'Beta', 1995), ('F', 'categories', 'zeta', 'Twin', NULL, false, 'Beta', 1995),
-    ('O', 'list', NULL, 'Hero', NULL, false, 'Game', 2001), ('P', 'map', 'ice_age_1', 'Hero', NULL, false, 'Delta', 2002),
-    ('P', 'map', 'misc', 'Foe', NULL, false, NULL, NULL)) AS p(status, container, category, who, role, voiced, media, media_year)
+    ('F', 'categories', 'a_part', 'Hero', 'hero', true, 'Alpha', 1990, 0, 0), ('F', 'categories', 'a_part', 'Foe', 'villain', false, 'Alpha', 1990, 0, 1),
+    ('F', 'categories', 'beta', 'Pal', NULL, false, 'Beta', 1995, 1, 0), ('F', 'categories', 'zeta', 'Twin', NULL, false, 'Beta', 1995, 2, 0),
+    ('O', 'list', NULL, 'Hero', NULL, false, 'Game', 2001, 0, 0), ('P', 'map', 'ice_age_1', 'Hero', NULL, false, 'Delta', 2002, 0, 0),
+    ('P', 'map', 'misc', 'Foe', NULL, false, NULL, NULL, 1, 0)) AS p(status, container, category, who, role, voiced, media, media_year, gp, pos)
     ON p.status = docs.s)"""
 
 
@@ -100,8 +100,22 @@ def _(t):
     return b.raw_films_from_documents(parsed(t))
 
 
+@query("raw_characters_from_documents", f"""
+WITH {DOCS}, {MEDIA}, {PEOPLE}, rows AS (
+  SELECT k, name, franchise, role, voice_actor, category, source_file FROM people
+  UNION ALL SELECT k, 'Unknown', {FRANCHISE}, 'nameless', NULL, 'a_part', source_file FROM docs WHERE s = 'F')
+SELECT r.source_file, r.name, r.franchise, coalesce(r.role, 'supporting') AS role, r.voice_actor, CASE r.category WHEN 'a_part' THEN 1990 WHEN 'zeta' THEN 1995 END AS first_appearance_year,
+  coalesce(string_agg(m.title, '|' ORDER BY m.position) FILTER (WHERE m.media_type = 'film'), '') AS films
+FROM rows r LEFT JOIN media m ON m.k = r.k GROUP BY r.k, r.source_file, r.name, r.franchise, r.role, r.voice_actor, r.category""")
+def _(t):
+    rows = b.raw_characters_from_documents(parsed(t))
+    return rows.select("source_file", "name", "franchise", "role", "voice_actor", "first_appearance_year",
+                       F.array_join(F.transform("appearances", lambda a: a["title"]), "|").alias("films"))
+
+
 LINKED = f"""linked AS (SELECT k, CASE WHEN container = 'map' THEN 'Delta ' || k ELSE media_title END AS media_title,
-    CASE WHEN container = 'map' THEN 2002 ELSE media_year END AS media_year, name, role, voice_actor, franchise FROM people),
+    CASE WHEN container = 'map' THEN 2002 ELSE media_year END AS media_year, name, role, voice_actor, franchise, source_file, s, gp, pos FROM people
+    UNION ALL SELECT k, 'Alpha ' || k, 1990, 'Unknown', 'nameless', NULL, {FRANCHISE}, source_file, s, 0, 3 FROM docs WHERE s = 'F'),
   titles AS (SELECT title, year FROM media UNION SELECT 'No year', 0 FROM docs WHERE s = 'P' UNION SELECT 'Gamma', 0 FROM docs WHERE s = 'F')"""
 SLUG = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9\\s-]', '', 'g'), '\\s+', '-', 'g'), '-')"
 
@@ -112,18 +126,19 @@ WITH {DOCS}, {MEDIA}, {PEOPLE}, {LINKED} SELECT {SLUG.format("t.title")} || CASE
 FROM titles t LEFT JOIN linked p ON p.media_title = t.title AND p.media_year = t.year GROUP BY ALL""")
 def _(t):
     docs = parsed(t)
-    people = doc.character_rows(docs, first_for_lists=True, franchise_year=True)
+    people = doc.character_rows(docs, first_for_lists=True, franchise_year=True, unnamed="Unknown")
     titles = doc.media_rows(docs, keep_raw=True).unionByName(doc.stand_in_titles(people), allowMissingColumns=True)
     return b.dashboard_films(titles, b.dashboard_characters(people)).select("id", "title", "year", "character_count")
 
 
 @query("dashboard_characters_from_documents", f"""
-WITH {DOCS}, {MEDIA}, {PEOPLE}, {LINKED} SELECT name, coalesce(role, 'unknown') AS role, voice_actor,
+WITH {DOCS}, {MEDIA}, {PEOPLE}, {LINKED} SELECT {SLUG.format("name")} || '-' || (row_number() OVER (ORDER BY s, source_file, gp, pos) - 1) AS id,
+  name, coalesce(role, 'unknown') AS role, voice_actor,
   '["' || lower(replace(media_title, ' ', '-')) || '-' || media_year || '"]' AS film_ids, {SLUG.format("franchise")} AS franchise_id
 FROM linked""")
 def _(t):
-    people = doc.character_rows(parsed(t), first_for_lists=True, franchise_year=True)
-    return b.dashboard_characters(people).select("name", "role", "voice_actor", "film_ids", "franchise_id")
+    people = doc.character_rows(parsed(t), first_for_lists=True, franchise_year=True, unnamed="Unknown")
+    return b.dashboard_characters(people).select("id", "name", "role", "voice_actor", "film_ids", "franchise_id")
 
 
 @query("dashboard_franchises", with_views(

@@ -28,8 +28,17 @@ def insert_absent(target: DataFrame, incoming: DataFrame, keys: list[str], order
     return target.unionByName(first.join(known, condition, "left_anti"))
 
 
-def upsert_coalesce(target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Incoming values win where they are not null; the others keep the stored value. Changes are unique by key."""
+def upsert_coalesce(
+    target: DataFrame, changes: DataFrame, keys: list[str], columns: list[str], sequence: list[str] | None = None
+) -> DataFrame:
+    """Incoming values win where they are not null; the others keep the stored value.
+
+    Of changes that repeat a key, each column takes its last value that is not null, in the order of the sequence
+    columns; without them in the order of all columns.
+    """
+    order = F.struct(*(sequence or columns))
+    latest = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns]
+    changes = changes.groupBy(*keys).agg(*latest)
     old, new = target.alias("old"), changes.alias("new")
     condition = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys]
     merged = [F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}")).alias(c) for c in [*keys, *columns]]
