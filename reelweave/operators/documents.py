@@ -201,16 +201,16 @@ def category_media(category: Column, year: Column, media: Column, by_slug: bool
 
 
 def character_rows(
-    docs: DataFrame, all_media: bool = False, first_for_lists: bool = False, franchise_year: bool = False,
+    docs: DataFrame, first_for_lists: bool = False, franchise_year: bool = False,
     unnamed: str | None = None, titles: bool = False,
 ) -> DataFrame:
     """One row per character of each document, with the media the character belongs to.
 
     A character of a category belongs to the title of that category; with ``franchise_year``, a category that has a
     year but no title gets the franchise as its title. A character of a list belongs to the only title of the
-    document; with ``first_for_lists``, characters of a list or of a map of lists belong to its first title. With
-    ``all_media`` each character gets one row per title of the document. Characters without a name drop out, unless
-    ``unnamed`` names them; ``titles`` adds ``appearances``, the dated films of the document.
+    document; with ``first_for_lists``, characters of a list or of a map of lists belong to its first title. Characters
+    without a name drop out, unless ``unnamed`` names them; ``titles`` adds ``appearances``, the dated films of the
+    document, and ``titles``, all its media, as arrays: characters are never multiplied by titles.
     """
     grouped = (
         with_media(docs)
@@ -233,8 +233,6 @@ def character_rows(
         )
         own = F.coalesce(own, F.when(F.col("category_year").isNotNull(), stand_in))
     grouped = grouped.withColumn("own_media", own)
-    if all_media:
-        grouped = grouped.withColumn("own_media", F.explode_outer("media"))
     records = F.transform("characters", lambda c: _get(c, "$", CHARACTER))
     people = grouped.select("*", F.posexplode(records).alias("position", "_person")).filter(F.col("_person").isNotNull())
     if unnamed is not None:
@@ -245,7 +243,7 @@ def character_rows(
         "source_dir", "source_file", "franchise", "container", "category", "category_year", "group_position",
         "position", "_person.*", F.col("own_media.title").alias("media_title"),
         F.col("own_media.year").alias("media_year"), F.col("own_media.media_type").alias("media_type"),
-        *(appearances if titles else []),
+        *([*appearances, F.col("media").alias("titles")] if titles else []),
     )
 
 

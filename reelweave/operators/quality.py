@@ -18,6 +18,13 @@ def duplicate_keys(df: DataFrame, rule: str, keys: list[str]) -> DataFrame:
     return counted.select(F.lit(rule).alias("rule"), _key(keys).alias("key"), "rows")
 
 
+def colliding_ids(df: DataFrame, rule: str, column: str, natural_key: list[str]) -> DataFrame:
+    """Ids that stand for several natural keys, with their number: hashed ids must not merge two things."""
+    pairs = df.filter(F.col(column).isNotNull()).select(column, *natural_key).distinct()
+    counted = pairs.groupBy(column).agg(F.count("*").alias("rows")).filter("rows > 1")
+    return counted.select(F.lit(rule).alias("rule"), F.col(column).cast("string").alias("key"), "rows")
+
+
 def missing_values(df: DataFrame, rule: str, column: str, keys: list[str]) -> DataFrame:
     bad = df.filter(F.col(column).isNull())
     return bad.groupBy(_key(keys).alias("key")).agg(F.count("*").alias("rows")).select(F.lit(rule).alias("rule"), "key", "rows")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reelweave.functions.measures import mean
 from reelweave.operators.relational import composite_lookup, lookup_inner, lookup_left
 from reelweave.plans.tables import Tables
+from reelweave.session import handoff
 
 REVENUE_COLUMNS = {"total_revenue": "double", "opening_week_revenue": "double", "weeks_in_release": "int"}
 
@@ -27,12 +28,16 @@ def films_complete(t: Tables, with_revenue: bool = True) -> DataFrame:
     )
 
 
-def _casting(t: Tables) -> DataFrame:
-    """Appearances and the sorted list of voice actors by character, from one pass over the appearances.
+def _pairs(t: Tables) -> DataFrame:
+    """Appearances by character and actor."""
+    return t.character_appearances.groupBy(F.col("character_id").alias("id"), "talent_id").agg(F.count("*").alias("n"))
 
-    Rows are reduced to one per character and actor before the names are joined and listed.
+
+def _casting(t: Tables, pairs: DataFrame) -> DataFrame:
+    """Appearances and the sorted list of voice actors by character.
+
+    The list is the contract of the mart: one text per character with the distinct names, bounded by its actors.
     """
-    pairs = t.character_appearances.groupBy(F.col("character_id").alias("id"), "talent_id").agg(F.count("*").alias("n"))
     return lookup_left(pairs, t.talent, "talent_id", {"name": "actor"}).groupBy("id").agg(
         F.sum("n").alias("appearance_count"),
         F.array_join(F.sort_array(F.collect_set("actor")), ", ").alias("voice_actors_str"),
@@ -43,7 +48,7 @@ def characters_complete(t: Tables) -> DataFrame:
     """Characters with role, gender, number of appearances and the sorted list of their voice actors."""
     rows = lookup_left(t.characters, t.roles, "role_id", {"name": "role"})
     rows = lookup_left(rows, t.genders, "gender_id", {"name": "gender"})
-    rows = rows.join(_casting(t), "id", "left")
+    rows = rows.join(_casting(t, _pairs(t)), "id", "left")
     return rows.select(
         "id", "name", "franchise", "role", "gender", "species", "first_appearance_year",
         F.coalesce("appearance_count", F.lit(0)).alias("appearance_count"),
@@ -70,7 +75,8 @@ def studio_stats(t: Tables) -> DataFrame:
     (or franchise and voice list) before they meet the studios. ``unique_voice_actors`` counts distinct voice lists,
     ``distinct_voice_actors`` the people.
     """
-    films = films_complete(t)
+    films = handoff(films_complete(t))
+    pairs = handoff(_pairs(t))
     per_studio = films.groupBy("studio_name", "studio_status").agg(
         F.count("*").alias("film_count"),
         F.min("year").alias("first_film_year"),
@@ -79,18 +85,17 @@ def studio_stats(t: Tables) -> DataFrame:
         mean("total_revenue").alias("avg_box_office"),
         F.countDistinct("franchise_name").alias("franchise_count"),
     )
-    owners = films_complete(t, with_revenue=False).select(F.col("franchise_name").alias("franchise"), "studio_name").distinct()
+    owners = films.select(F.col("franchise_name").alias("franchise"), "studio_name").distinct()
     people = t.characters.select("id", "franchise").filter(F.col("franchise").isNotNull())
 
     def per_owner(rows: DataFrame) -> DataFrame:
         return rows.join(owners, "franchise").groupBy("studio_name")
 
     # a character without a voice has the empty list, a value of its own
-    lists = people.join(_casting(t), "id", "left").withColumn("voices", F.coalesce("voice_actors_str", F.lit("")))
+    lists = people.join(_casting(t, pairs), "id", "left").withColumn("voices", F.coalesce("voice_actors_str", F.lit("")))
     characters = per_owner(lists.groupBy("franchise", "voices").agg(F.count("*").alias("n"))).agg(
         F.sum("n").alias("character_count"), F.countDistinct("voices").alias("unique_voice_actors")
     )
-    pairs = t.character_appearances.groupBy(F.col("character_id").alias("id"), "talent_id").agg(F.count("*").alias("n"))
     actors = per_owner(pairs.join(people, "id").select("franchise", "talent_id").distinct()).agg(
         F.countDistinct("talent_id").alias("distinct_voice_actors")
     )

@@ -86,10 +86,13 @@ def _(t):
 
 
 @query("flatten_characters_all_media", f"""
-WITH {DOCS}, {MEDIA}, {PEOPLE} SELECT p.source_file, p.name, m.title AS media_title, m.year AS media_year, m.media_type
-FROM people p JOIN media m ON m.k = p.k""")
+WITH {DOCS}, {MEDIA}, {PEOPLE} SELECT p.source_file, p.name, p.category,
+  string_agg(m.title || ' ' || m.year || ' ' || m.media_type, '|' ORDER BY m.position) AS titles
+FROM people p JOIN media m ON m.k = p.k GROUP BY ALL""")
 def _(t):
-    return doc.character_rows(parsed(t), all_media=True).select("source_file", "name", "media_title", "media_year", "media_type")
+    rows = doc.character_rows(parsed(t), titles=True).withColumn("category", F.regexp_replace("category", r"^beta-\d+$", "beta"))
+    titles = F.transform("titles", lambda m: F.concat_ws(" ", m["title"], m["year"], m["media_type"]))
+    return rows.select("source_file", "name", "category", F.array_join(titles, "|").alias("titles"))
 
 
 @query("raw_films_from_documents", f"""

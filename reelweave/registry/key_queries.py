@@ -120,7 +120,8 @@ def _(t):
        UNION ALL SELECT 'has_film', CAST(l_partkey AS VARCHAR), count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT id FROM films)
          GROUP BY l_partkey
        UNION ALL SELECT 'flag', l_returnflag, count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N') GROUP BY l_returnflag
-       UNION ALL SELECT 'has_role', CAST(id AS VARCHAR), count(*) FROM characters WHERE role_id IS NULL GROUP BY id""",
+       UNION ALL SELECT 'has_role', CAST(id AS VARCHAR), count(*) FROM characters WHERE role_id IS NULL GROUP BY id
+       UNION ALL SELECT 'one_title', CAST(p_size AS VARCHAR), count(DISTINCT p_name) FROM part GROUP BY p_size HAVING count(DISTINCT p_name) > 1""",
     "films", "characters"))
 def _(t):
     lines = t.raw("lineitem")
@@ -129,6 +130,9 @@ def _(t):
         quality.orphans(lines, "has_film", "l_partkey", t.films, "id"),
         quality.not_allowed(lines, "flag", "l_returnflag", ["A", "N"]),
         quality.missing_values(t.characters, "has_role", "role_id", ["id"]),
+        quality.colliding_ids(t.raw("part"), "one_title", "p_size", ["p_name"]),
+        # the library's own ids: no rows unless two natural keys share a hash
+        quality.colliding_ids(raw_people(t).select(keys.surrogate_key("name", "franchise").alias("id"), "name", "franchise"), "character_id", "id", ["name", "franchise"]),
     )
 
 

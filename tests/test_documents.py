@@ -80,9 +80,9 @@ def test_category_with_a_year_but_no_title(table, values):
     assert values(doc.stand_in_titles(rows), "title", "year") == [("Sky", 2009)]
 
 
-def test_all_media_gives_one_row_per_title(docs, values):
-    rows = doc.character_rows(docs, all_media=True).filter("name = 'Ava' AND category = 'sky_one'")
-    assert values(rows, "media_title") == [("Sky",), ("Sky 2",)]
+def test_titles_of_the_document_come_as_one_array(docs):
+    rows = doc.character_rows(docs, titles=True).filter("name = 'Ava' AND category = 'sky_one'").collect()
+    assert [[m.title for m in r.titles] for r in rows] == [["Sky", "Sky 2"]]
 
 
 def test_categories_skip_texts(docs, values):
