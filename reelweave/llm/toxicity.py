@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import pickle
 import string
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ UNITS, INPUTS, ATTENTION, BUCKETS = 8, 12, 8, 4096
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1200, 2400, 60_000
 MAX_VOCABULARY, MIN_DOCUMENTS = 4000, 3
 ROUNDS, EPOCHS, BATCH, RATE, DECAY = 4, 6, 64, 0.01, 1e-4
-CACHE_WORDS = 200_000
+CACHE_WORDS, BLOCK_WORDS = 200_000, 8192
 EDGES = string.punctuation + "«»“”„‘’…–—¡¿"
 PAD, BLANK = 0, 1  # rows of the input table: behind the end of a short text, and words without letters
 
@@ -73,7 +72,10 @@ class Network:
     def word_inputs(self, words: list[str]) -> np.ndarray:
         """Input vectors of normalised words that are not empty."""
         rows = np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words))
-        return self.p["word"][rows] + trigram_means(words, self.p["char"])[0]
+        out = self.p["word"][rows]
+        for k in range(0, len(words), BLOCK_WORDS):  # every trigram of a block is looked up at once
+            out[k : k + BLOCK_WORDS] += trigram_means(words[k : k + BLOCK_WORDS], self.p["char"])[0]
+        return out
 
     def projected(self, inputs: np.ndarray, way: str) -> np.ndarray:
         return (inputs @ self.p[f"in_{way}"] + self.p[f"bias_{way}"]).astype(np.float32)
@@ -213,19 +215,10 @@ class Scorer:
         self._learn({c for words in cut for c in words})
         row = self.rows.__getitem__
         out, owner = [], []
-        steps = np.arange(WINDOW)
         for k, words in enumerate(cut):
-            if not words:
-                continue
-            ids = np.fromiter(map(row, words), np.int32, len(words))
-            if len(ids) <= WINDOW:
-                part = np.full((1, WINDOW), PAD, np.int32)
-                part[0, : len(ids)] = ids
-            else:
-                starts = np.arange(0, len(ids) - WINDOW, STRIDE)
-                part = ids[np.append(starts, len(ids) - WINDOW)[:, None] + steps]
-            out.append(part)
-            owner.append(np.full(len(part), k))
+            if words:
+                out.append(window_rows(np.fromiter(map(row, words), np.int32, len(words)), PAD))
+                owner.append(np.full(len(out[-1]), k))
         if not out:
             return np.zeros((0, WINDOW), np.int32), np.zeros(0, np.int64)
         return np.concatenate(out), np.concatenate(owner)
@@ -246,46 +239,59 @@ class Scorer:
             return (1 / (1 + np.exp(-best))).tolist()
 
 
-def choose_vocabulary(texts: list[list[str]], labels: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
+def window_rows(ids: np.ndarray, pad: int) -> np.ndarray:
+    """All overlapping windows of a text's word rows; the last one ends with the text, a short text is padded."""
+    if len(ids) <= WINDOW:
+        out = np.full((1, WINDOW), pad, np.int32)
+        out[0, : len(ids)] = ids
+        return out
+    starts = np.append(np.arange(0, len(ids) - WINDOW, STRIDE), len(ids) - WINDOW)
+    return ids[starts[:, None] + np.arange(WINDOW)]
+
+
+def choose_vocabulary(table: list[str], texts: list[np.ndarray], labels: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
     """Words that enough training texts have, by how much the label depends on them, and their starting weights: smoothed
-    log odds of the label, shrunk for words that few texts have."""
-    toxic, clean = Counter(), Counter()
-    for words, label in zip(texts, labels, strict=True):
-        (toxic if label else clean).update(set(words))
-    n_toxic, n_clean = int(labels.sum()), len(labels) - int(labels.sum())
-    weight = {}
-    for word in toxic.keys() | clean.keys():
-        a, b = toxic[word], clean[word]
-        if word and a + b >= MIN_DOCUMENTS:
-            odds = np.log((a + 0.5) / (n_toxic + 1)) - np.log((b + 0.5) / (n_clean + 1))
-            weight[word] = odds * (a + b) / (a + b + 5)
-    chosen = sorted(weight, key=lambda w: (-abs(weight[w]), w))[:MAX_VOCABULARY]
-    return {w: k for k, w in enumerate(chosen, 1)}, np.array([weight[w] for w in chosen])
+    log odds of the label, shrunk for words that few texts have. Texts are rows of the table of words."""
+    counts = np.zeros((2, len(table)))
+    for ids, label in zip(texts, labels, strict=True):
+        counts[int(label), np.unique(ids)] += 1
+    clean, toxic = counts
+    n_toxic, n_clean = labels.sum(), len(labels) - labels.sum()
+    odds = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
+    weight = odds * (toxic + clean) / (toxic + clean + 5)
+    known = [k for k in np.nonzero(toxic + clean >= MIN_DOCUMENTS)[0].tolist() if table[k]]
+    chosen = sorted(known, key=lambda k: (-abs(weight[k]), table[k]))[:MAX_VOCABULARY]
+    return {table[k]: n for n, k in enumerate(chosen, 1)}, weight[chosen]
+
+
+def word_rows(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
+    """The distinct normalised words of all texts, the empty one first, and each text as rows of that table."""
+    place, seen, out = {"": 0}, {}, []
+    for text in texts:
+        chunks = text.split()
+        for chunk in chunks:
+            if chunk not in seen:
+                seen[chunk] = place.setdefault(normal_word(chunk), len(place))
+        out.append(np.fromiter(map(seen.__getitem__, chunks), np.int32, len(chunks)))
+    return list(place), out
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
     """Fits a network to labelled texts. The same texts in the same order give the same network."""
     target = np.array(labels, dtype=np.float64)
-    words = [[normal_word(c) for c in t.split()] for t in texts]
-    vocabulary, weights = choose_vocabulary(words, target)
+    table, rows = word_rows(texts)
+    vocabulary, weights = choose_vocabulary(table, rows, target)
     network = Network(vocabulary, weights, seed)
     if not len(target) or target.min() == target.max():
         network.p["out"][:] = 0
         network.p["base"][:] = np.log((target.sum() + 0.5) / (len(target) - target.sum() + 0.5))
         return network
     rng = np.random.default_rng(seed)
-    table = ["", *sorted({w for ws in words for w in ws} - {""})]
-    place = {w: k for k, w in enumerate(table)}
     value = np.array([weights[vocabulary[w] - 1] if w in vocabulary else 0.0 for w in table])
-    windows, owner = [], []
-    for k, ws in enumerate(words):
-        ids = [place[w] for w in ws]
-        for at in range(0, max(1, len(ids) - WINDOW + STRIDE), STRIDE):
-            part = ids[max(0, min(at, len(ids) - WINDOW)) :][:WINDOW]
-            if part:
-                windows.append(part + [-1] * (WINDOW - len(part)))
-                owner.append(k)
-    index, owner = np.array(windows), np.array(owner)
+    filled = [k for k, ids in enumerate(rows) if len(ids)]
+    windows = [window_rows(rows[k], -1) for k in filled]
+    index, owner = np.concatenate(windows), np.repeat(filled, [len(w) for w in windows])
+    del windows, rows
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
     best, turn = np.where(index >= 0, value[index], -9.0).max(axis=1), 0
     for round_ in range(ROUNDS):
@@ -314,8 +320,12 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Network:
                     v += 0.01 * (g * g - v)
                     network.p[k] -= RATE * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-6)
                 network.p["word"][0] = 0
-        inputs = np.concatenate([network.p["blank"], network.word_inputs(table[1:])]) if len(table) > 1 else network.p["blank"]
-        both = {w: np.concatenate([network.projected(inputs, w), np.zeros((1, 3 * UNITS), np.float32)]) for w in "fb"}
+        both = {w: np.zeros((len(table) + 1, 3 * UNITS), np.float32) for w in "fb"}  # the last row is for padded steps
+        for at in range(0, len(table), BLOCK_WORDS):
+            words = table[max(at, 1) : at + BLOCK_WORDS]
+            inputs = [network.p["blank"]] * (at == 0) + [network.word_inputs(words)] * bool(words)
+            for w in "fb":
+                both[w][at : at + BLOCK_WORDS][: len(table) - at] = network.projected(np.concatenate(inputs), w)
         for w in "fb":
             both[w][-1, :UNITS] = 30.0
         best = np.concatenate(
