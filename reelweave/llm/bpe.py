@@ -14,9 +14,11 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -280,16 +282,16 @@ def encoder(path: str) -> TrieBpe:
     return _LOADED[path]
 
 
-def slices(texts: list[str], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts with at most about ``most`` characters, so that a batch of long texts stays small."""
-    begin, size = 0, 0
-    for k, text in enumerate(texts):
-        if size and size + len(text) > most:
-            yield begin, k
-            begin, size = k, 0
-        size += len(text)
-    if begin < len(texts):
-        yield begin, len(texts)
+def text_slices(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Consecutive rows of a batch with about ``most`` bytes of text at a time, and their texts, null ones empty: Python
+    objects are made for one slice only, so that a worker's memory does not follow the size of a batch."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes) // most
+    cuts = [0, *(np.nonzero(np.diff(group))[0] + 1).tolist(), batch.num_rows]
+    for begin, end in pairwise(cuts):
+        if begin < end:
+            part = batch.slice(begin, end - begin)
+            yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
 def map_texts(df: DataFrame, keys: list[str], text: str, fields: list[pa.Field], schema: str, make: Callable) -> DataFrame:
@@ -300,10 +302,8 @@ def map_texts(df: DataFrame, keys: list[str], text: str, fields: list[pa.Field],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(keys)).to_pylist()]
-            for begin, end in slices(texts):
-                part = batch.slice(begin, end - begin)
-                columns = make(texts[begin:end])
+            for part, texts in text_slices(batch, len(keys)):
+                columns = make(texts)
                 arrays = [part.column(k) for k in range(len(keys))]
                 arrays += [pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*keys, *[f.name for f in fields]])

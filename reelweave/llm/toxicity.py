@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reelweave.llm.bpe import map_texts
+from reelweave.llm.bpe import map_texts, text_slices
 
 WINDOW, STRIDE = 32, 16  # words
 UNITS, INPUTS, ATTENTION, BUCKETS = 8, 12, 8, 4096
@@ -29,7 +29,7 @@ UNITS, INPUTS, ATTENTION, BUCKETS = 8, 12, 8, 4096
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1200, 2400, 60_000
 MAX_VOCABULARY, MIN_DOCUMENTS = 4000, 3
 ROUNDS, EPOCHS, BATCH, RATE, DECAY = 4, 6, 64, 0.01, 1e-4
-CACHE_WORDS, BLOCK_WORDS = 200_000, 8192
+CACHE_WORDS, BLOCK_WORDS = 100_000, 8192
 EDGES = string.punctuation + "«»“”„‘’…–—¡¿"
 PAD, BLANK = 0, 1  # rows of the input table: behind the end of a short text, and words without letters
 
@@ -394,7 +394,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = _scorer(token, dumped).scores([t or "" for t in batch.column(place).to_pylist()])
-            yield batch.filter(pa.array([s < 0.5 for s in scores], pa.bool_()))
+            for part, texts in text_slices(batch, place):
+                scores = _scorer(token, dumped).scores(texts)
+                yield part.filter(pa.array([s < 0.5 for s in scores], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

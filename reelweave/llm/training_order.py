@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from reelweave.session import handoff
 
-from reelweave.llm.bpe import slices
+from reelweave.llm.bpe import text_slices
 
 SEQUENCE_TOKENS = 256
 SHARD_ROWS = 32_768
@@ -122,11 +122,10 @@ def write_shards(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = rank_encoder(vocabulary)
         for batch in batches:
-            names = [NO_ID if i is None else i for i in batch.column(0).to_pylist()]
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for begin, end in slices(texts):
+            for rows_, texts in text_slices(batch, 1):
                 parts = []
-                for name, whole in zip(names[begin:end], texts[begin:end], strict=True):
+                names = [NO_ID if i is None else i for i in rows_.column(0).to_pylist()]
+                for name, whole in zip(names, texts, strict=True):
                     tokens = [coder.encode_to_numpy(p, disallowed_special=()) for p in _pieces(whole) if p]
                     tokens = np.concatenate([*tokens, [end_id]]).astype("<u2")
                     count = -(-len(tokens) // sequence_tokens)

@@ -5,7 +5,6 @@ import re
 
 import numpy as np
 import xxhash
-from pyspark.sql import functions as F
 from reelweave.llm import simhash
 from reelweave.llm.common import connected_components
 from reelweave.llm.queries import QUERIES
