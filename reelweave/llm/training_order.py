@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reelweave.session import handoff
+from reelweave.llm.common import stored
 
 from reelweave.llm.bpe import text_slices
 
@@ -172,7 +172,7 @@ def read_slots(
     Only shards that hold such slots are read. A shard is one file, written by the task that held the shard.
     """
     layout = record_type(sequence_tokens)
-    shards = handoff(manifest(spark, path, sequence_tokens))
+    shards = stored(manifest(spark, path, sequence_tokens), "manifest")
     wanted = shards.where(F.col("first_slot") + F.col("rows") > start)
     if stop is not None:
         wanted = wanted.where(F.col("first_slot") < stop)
