@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reelweave.llm.common import ship_package
+from reelweave.llm.url_filter import prefix_rule
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +184,35 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelweave.llm import toxicity
 
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+#: Host and path of the rules of the query, as its contract has them.
+URL_RULES = [
+    prefix_rule("allow", "org"), prefix_rule("block", "example.org", "/es/"), prefix_rule("block", "example.org", "/en/1"),
+    prefix_rule("allow", "com", "/fr/"), prefix_rule("block", "com", "/de/"),
+]
+URL_SQL = r"""
+WITH cut AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)\A.*?://([^/?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)\A.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                 WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+                 WHEN ends_with('.' || host, '.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+                 WHEN ends_with('.' || host, '.com') AND starts_with(path, '/de/') THEN 'com/de/'
+                 WHEN ends_with('.' || host, '.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM cut)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+
+@register("op11_url_filter", URL_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import url_filter
+
+    return url_filter.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)

@@ -37,8 +37,9 @@ def test_frames(spark, table, values, monkeypatch):
     assert values(counted) == [(1, 2), (1, 2), (2, 0), (None, 0)]
     assert tc.count_tokens(rows.limit(0), PATH).count() == 0
     monkeypatch.setattr(tc, "CACHE_WORDS", 2)
-    small = tc.UnigramCounter(tc.unigram_vocabulary(PATH))
-    assert [small.count_batch(["some words are here", "some more words"]) for _ in range(3)] == [[4, 3]] * 3
+    pieces, texts = tc.unigram_vocabulary(PATH), ["some words are here", "some more words"]
+    small = tc.UnigramCounter(pieces)
+    assert [small.count_batch(texts) for _ in range(3)] == [library(pieces)(texts)] * 3
 
 
 def test_query_on_whole_table(spark):
