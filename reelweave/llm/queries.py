@@ -216,3 +216,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelweave.llm import url_filter
 
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+@register("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import spelling
+
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
