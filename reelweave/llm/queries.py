@@ -223,3 +223,39 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelweave.llm import spelling
 
     return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+SEARCH_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+items AS (
+  SELECT DISTINCT i, item_id, term FROM (
+    SELECT row_number() OVER () AS i, item_id,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark)),
+counts AS (SELECT r, any_value(doc_id) AS doc_id, term, count(*)::BIGINT AS tf FROM docs GROUP BY r, term),
+sizes AS (SELECT r, sum(tf)::BIGINT AS n FROM counts GROUP BY r),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, corpus WHERE term IN (SELECT term FROM items) GROUP BY term),
+scores AS (
+  SELECT i.i, i.item_id, c.r, c.doc_id,
+         sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (10 + (90 * s.n * corpus.docs) // corpus.terms))))::BIGINT AS score
+  FROM items i JOIN counts c USING (term) JOIN weights w USING (term) JOIN sizes s USING (r), corpus
+  GROUP BY i.i, i.item_id, c.r, c.doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@register("op13_ranked_search", SEARCH_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reelweave.llm import fp_search
+
+    return fp_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
