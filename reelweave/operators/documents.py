@@ -1,7 +1,9 @@
 """Flattening of nested catalogue documents.
 
-A document is one JSON object whose containers differ from file to file, so it is parsed once into a VARIANT and
-read by path. Every step is a row-local expression or an explode; no step needs a shuffle.
+A document is one JSON object whose containers differ from file to file. It is parsed once into a VARIANT, with the containers
+beside it as maps in the order of the text, and stored as a table (``store_documents``): the VARIANT is shredded on write, and
+every flattening reads only the paths and containers it needs. Every step is a row-local expression or an explode, linear in
+the document (merging the alternate container sorts its keys); no step needs a shuffle.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ CHARACTER = (
     "origin: string, origin_franchise: string, singing_voice: string>"
 )
 
-CONTAINERS = ["categories", "film_data", "characters"]
+MAPS = ["categories", "film_data", "characters"]
+ENTRY = "array<struct<key: string, value: variant>>"
 
 
 def _get(source: str | Column, path: str, kind: str) -> Column:
@@ -31,18 +34,26 @@ def parse_documents(files: DataFrame) -> DataFrame:
     """(value, path) rows -> one row per JSON object. Unparsable files and top-level arrays drop out."""
     # the parse sits inside the explode, so that dropping unparsable texts does not parse every text twice
     parsed = F.filter(F.array(F.try_parse_json("value")), lambda d: d.isNotNull())
-    # objects inside a VARIANT come back with sorted keys; the order of the containers' keys is read from the text
-    keys = F.from_json("value", ", ".join(f"{c} map<string, string>" for c in CONTAINERS))
-    in_order = F.struct(*[F.map_keys(keys[c]).alias(c) for c in CONTAINERS])
-    objects = files.filter(F.col("value").rlike(r"^\s*\{")).select("path", in_order.alias("keys"), F.explode(parsed).alias("doc"))
+    # objects inside a VARIANT come back with sorted keys, and each value taken out of one carries all of its names: the
+    # containers are read from the text, in its order, each value as a VARIANT of its own
+    entries = F.from_json("value", ", ".join(f"{c} map<string, variant>" for c in MAPS))
+    people = F.from_json("value", "characters array<variant>")["characters"]
+    objects = files.filter(F.col("value").rlike(r"^\s*\{")).select("path", "value", F.explode(parsed).alias("doc"))
     return objects.select(
         "doc",
-        "keys",
+        entries.alias("entries"),
+        F.when(_get("doc", "$.characters", "variant").isNotNull(), people).alias("people"),
         F.element_at(F.split("path", "/"), -1).alias("source_file"),
         F.coalesce(F.get(F.split("path", "/"), F.size(F.split("path", "/")) - 2), F.lit("")).alias("source_dir"),
     )
 
 
+def store_documents(docs: DataFrame, path: str) -> DataFrame:
+    """Writes parsed documents as a table, replacing an older one, and reads it back."""
+    docs.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return docs.sparkSession.read.schema(docs.schema).parquet(path)
+
+
 def is_catalogue_file(file_name: Column) -> Column:
     """Summary files and soundtrack files are not part of the catalogue."""
     name = F.lower(file_name)
@@ -90,22 +101,16 @@ def _single(path: str, media_type: str) -> Column:
     return F.filter(F.array(F.when(title.isNotNull(), entry)), lambda t: t.isNotNull())
 
 
-def with_media(docs: DataFrame, keep_raw: bool = False) -> DataFrame:
-    """Adds ``media``: every title of the document, whichever of the four forms it uses, in document order."""
+def with_media(docs: DataFrame, keep_raw: bool = False, slugs: bool = False) -> DataFrame:
+    """Adds ``media``: every title of the document, whichever of the four forms it uses, in document order; on demand
+    with its slug."""
     media = F.concat(
         _titles("$.films", "film", keep_raw),
         _single("$.film", "film"),
         _titles("$.games", "game", keep_raw),
         _single("$.game", "game"),
     )
-    with_slug = F.transform(
-        media,
-        lambda m: F.struct(
-            m.title.alias("title"), m.year.alias("year"), m.media_type.alias("media_type"),
-            slugify(m.title).alias("slug"),
-        ),
-    )
-    return docs.withColumn("media", with_slug)
+    return docs.withColumn("media", F.transform(media, lambda m: m.withField("slug", slugify(m.title))) if slugs else media)
 
 
 def media_rows(docs: DataFrame, keep_raw: bool = False) -> DataFrame:
@@ -127,10 +132,48 @@ def media_rows(docs: DataFrame, keep_raw: bool = False) -> DataFrame:
 
 def _entries(container: str) -> Column:
     """(key, value) of a container that is an object, in the order of the document."""
-    values = _get("doc", f"$.{container}", "map<string, variant>")
-    keys = F.coalesce(F.col(f"keys.{container}"), F.array().cast("array<string>"))
-    found = F.transform(keys, lambda k: F.struct(k.alias("key"), F.try_element_at(values, k).alias("value")))
-    return F.filter(found, lambda e: e.value.isNotNull())
+    return F.coalesce(F.map_entries(f"entries.{container}"), F.array().cast(ENTRY))
+
+
+def _merged(base: Column, alternate: Column) -> Column:
+    """The entries of both; of equal keys the alternate's value stands in the base's place, its other keys come behind.
+
+    Sorting brings equal keys together, so that no key is looked up in the other container.
+    """
+
+    def placed(entries: Column, side: int) -> Column:
+        return F.transform(
+            entries,
+            lambda e, i: F.struct(e.key.alias("key"), F.lit(side).alias("side"), i.alias("at"), e.value.alias("value")),
+        )
+
+    def order(*names: str):
+        def compare(x: Column, y: Column) -> Column:
+            steps = [F.when(x[n] < y[n], -1).when(x[n] > y[n], 1) for n in names]
+            return F.coalesce(*steps, F.lit(0))
+
+        return compare
+
+    # of equal keys the alternate (side 0) comes first
+    both = F.array_sort(F.concat(placed(alternate, 0), placed(base, 1)), order("key", "side"))
+    # each entry with the one before and the one behind it: the sorted array beside itself, moved by one
+    unnamed = F.transform(F.slice(both, 1, 1), lambda e: e.withField("key", F.lit(None).cast("string")))
+    rows = F.arrays_zip(
+        both.alias("e"), F.concat(unnamed, F.slice(both, 1, F.size(both) - 1)).alias("before"),
+        F.slice(both, 2, F.size(both)).alias("behind"),
+    )
+    kept = F.filter(rows, lambda r: ~((r.e.side == 1) & F.coalesce(r.before.key == r.e.key, F.lit(False))))
+    merged = F.transform(
+        kept,
+        lambda r: F.when(
+            (r.e.side == 0) & F.coalesce(r.behind.key == r.e.key, F.lit(False)),
+            F.struct(F.lit(0).alias("late"), r.behind["at"].alias("at"), r.e.key.alias("key"), r.e.value.alias("value")),
+        ).otherwise(
+            F.struct((1 - r.e.side).alias("late"), r.e["at"].alias("at"), r.e.key.alias("key"), r.e.value.alias("value"))
+        ),
+    )
+    in_order = F.array_sort(merged, order("late", "at"))
+    return F.transform(in_order, lambda e: F.struct(e.key.alias("key"), e.value.alias("value")))
 
 
 def _category_entries() -> Column:
@@ -138,17 +181,12 @@ def _category_entries() -> Column:
 
     Entries of the alternate container win over equal keys, in the place of the first ones; its other keys come behind.
     """
-    alternate = F.map_from_entries(_entries("film_data"))
-    base = F.transform(
-        _entries("categories"),
-        lambda e: F.struct(e.key.alias("key"), F.coalesce(F.try_element_at(alternate, e.key), e.value).alias("value")),
+    base, alternate = _entries("categories"), _entries("film_data")
+    entries = F.when(F.size(alternate) == 0, base).otherwise(_merged(base, alternate))
+    bodies = F.transform(
+        entries, lambda e: F.struct(e.key.alias("category"), _get(e.value, "$", CATEGORY).alias("body"))
     )
-    known = F.transform(base, lambda e: e.key)
-    behind = F.filter(_entries("film_data"), lambda e: ~F.array_contains(known, e.key))
-    entries = F.transform(
-        F.concat(base, behind), lambda e: F.struct(e.key.alias("category"), _get(e.value, "$", CATEGORY).alias("body"))
-    )
-    return F.filter(entries, lambda e: e.body.isNotNull())
+    return F.filter(bodies, lambda e: e.body.isNotNull())
 
 
 def category_rows(docs: DataFrame) -> DataFrame:
@@ -181,7 +219,7 @@ def _groups() -> Column:
             _category_entries(),
             lambda e: group("categories", e.category, _get(e.body.year, "$", "int"), people(e.body.characters)),
         ),
-        F.array(group("list", F.lit(None).cast("string"), no_year, _get("doc", "$.characters", "array<variant>"))),
+        F.array(group("list", F.lit(None).cast("string"), no_year, F.col("people"))),
         F.transform(_entries("characters"), lambda e: group("map", e.key, no_year, people(e.value))),
     )
     return F.filter(everything, lambda g: g.characters.isNotNull())
@@ -213,7 +251,7 @@ def character_rows(
     document, and ``titles``, all its media, as arrays: characters are never multiplied by titles.
     """
     grouped = (
-        with_media(docs)
+        with_media(docs, slugs=True)
         .withColumn("franchise", franchise_of())
         .withColumn("total_media", F.size("media"))
         .select("*", F.posexplode(_groups()).alias("group_position", "g"))

@@ -1,4 +1,6 @@
 import json
+import random
+import time
 
 import pytest
 
@@ -161,3 +163,54 @@ def test_lists_of_a_map_keep_their_order(spark):
     text = '{"films": ["A (2001)"], "characters": {"z": [{"name": "1"}], "b": [{"name": "2"}], "a": [{"name": "3"}]}}'
     docs = doc.parse_documents(spark.createDataFrame([(text, "/d/f.json")], "value STRING, path STRING"))
     assert [r.name for r in doc.character_rows(docs).orderBy("group_position").collect()] == ["1", "2", "3"]
+
+
+def test_merged_containers_against_plain_python(spark):
+    rng = random.Random(8)
+    texts, want = [], []
+    for n in range(60):
+        names = [f"k{k}" for k in range(rng.randint(0, 9))]
+        base, alternate = (
+            {k: {"year": rng.randint(1, 99), "characters": []} if rng.random() < 0.8 else rng.choice(["text", None, 3, [1]])
+             for k in rng.sample(names, rng.randint(0, len(names)))} for _ in range(2))
+        texts.append((json.dumps({"categories": base, "film_data": alternate}), f"/d/{n}.json"))
+        merged = {k: alternate.get(k, v) for k, v in base.items()} | {k: v for k, v in alternate.items() if k not in base}
+        want.append([(k, v["year"]) for k, v in merged.items() if isinstance(v, dict)])
+    docs = doc.parse_documents(spark.createDataFrame(texts, "value STRING, path STRING"))
+    found = {f"{n}.json": [] for n in range(60)}
+    for r in doc.category_rows(docs).collect():
+        found[r.source_file].append((r.category, r.category_year))
+    assert [found[f"{n}.json"] for n in range(60)] == want
+
+
+def test_a_large_document_takes_linear_time(spark, tmp_path):
+    """Ten times the keys in both containers may not take much more than ten times as long (with the square: a hundred)."""
+
+    def seconds(n):
+        body = {"films": ["A (2001)"], "categories": {f"c{k * 7919 % n}": {"year": 1, "characters": [{"name": f"n{k}"}]} for k in range(n)},
+                "film_data": {f"c{k + n // 2}": {"year": 2, "characters": [{"name": f"m{k}"}, {"name": "x"}]} for k in range(n)},
+                "characters": [{"name": f"l{k}"} for k in range(n)]}
+        docs = doc.parse_documents(spark.createDataFrame([(json.dumps(body), "/d/f.json")], "value STRING, path STRING"))
+        stored = doc.store_documents(docs, f"{tmp_path}/{n}")
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            counts = {r.container: r["count"] for r in doc.character_rows(stored).groupBy("container").count().collect()}
+            best.append(time.perf_counter() - start)
+        assert counts == {"categories": n // 2 + 2 * n, "list": n}
+        return min(best)
+
+    seconds(500)
+    small, large = seconds(1000), seconds(10_000)
+    assert large < 30 * small
+
+
+def test_stored_documents_are_read_by_column(spark, docs, values, tmp_path):
+    stored = doc.store_documents(docs, str(tmp_path / "documents"))
+    assert values(doc.character_rows(stored)) == values(doc.character_rows(docs))
+    assert values(doc.media_rows(stored, keep_raw=True)) == values(doc.media_rows(docs, keep_raw=True))
+    plan = doc.media_rows(stored)._jdf.queryExecution().executedPlan().toString()
+    read = plan[plan.index("ReadSchema"):]
+    assert "entries" not in read and "people" not in read and "Exchange" not in plan
+    plan = doc.category_rows(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "parse_json" not in plan and "from_json" not in plan
