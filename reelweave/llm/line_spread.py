@@ -88,3 +88,10 @@ def remove_spread_lines(
         F.coalesce(F.when(whole.isNotNull(), F.size(lines)), F.lit(0)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("_removed"), F.lit(0)).cast("bigint").alias("n_removed"),
     ).withColumn("n_removed", F.greatest("n_removed", F.lit(0).cast("bigint")))
+
+
+def counted_rows(removed: DataFrame) -> DataFrame:
+    """The columns of the documents with ``n_lines`` and ``n_removed`` behind them; document columns of these names give way."""
+    made = ("n_lines", "n_removed")
+    kept = [F.col(f"row.`{c}`") for c in removed.schema["row"].dataType.names if c.lower() not in made]
+    return removed.select(*kept, *made)

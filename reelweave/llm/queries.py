@@ -101,8 +101,9 @@ kept AS (
   SELECT m.doc_id, string_agg(m.line, chr(10) ORDER BY m.line_no) FILTER (s.mark IS NULL OR s.first = (m.doc_id, m.line_no)) AS text,
          count(*) AS n_lines, count(*) FILTER (s.mark IS NOT NULL AND s.first <> (m.doc_id, m.line_no)) AS n_removed
   FROM marked m LEFT JOIN spread s ON m.mark = s.mark GROUP BY m.doc_id)
-SELECT d.doc_id, coalesce(k.text, '') AS text, d.lang, d.source, d.n_chars, k.n_lines, k.n_removed
-FROM documents d JOIN kept k ON d.doc_id = k.doc_id
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text, d.lang, d.source, d.n_chars,
+       coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN kept k ON d.doc_id IS NOT DISTINCT FROM k.doc_id
 """
 
 
@@ -110,7 +111,7 @@ FROM documents d JOIN kept k ON d.doc_id = k.doc_id
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reelweave.llm import line_spread
 
-    return line_spread.remove_spread_lines(read(spark, sf_dir, "documents")).select("row.*", "n_lines", "n_removed")
+    return line_spread.counted_rows(line_spread.remove_spread_lines(read(spark, sf_dir, "documents")))
 
 
 @register("op7_simhash")

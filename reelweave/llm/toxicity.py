@@ -14,6 +14,7 @@ import hashlib
 import pickle
 import string
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,22 @@ from reelweave.llm.bpe import map_texts, text_slices
 
 WINDOW, STRIDE = 32, 16  # words
 UNITS, INPUTS, ATTENTION, BUCKETS = 8, 12, 8, 4096
-#: Bounds of the training sample: texts with and without the label, in the order of a hash of their id, and bytes of a text.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 1200, 2400, 60_000
 MAX_VOCABULARY, MIN_DOCUMENTS = 4000, 3
 ROUNDS, EPOCHS, BATCH, RATE, DECAY = 4, 6, 64, 0.01, 1e-4
 CACHE_WORDS, BLOCK_WORDS = 100_000, 8192
+
+
+class Sample(NamedTuple):
+    """Bounds of the training sample: texts with and without the label, in the order of a hash of their id, bytes of one
+    text (longer ones do not train, as their label may rest on a single window), and bytes of all texts."""
+
+    toxic: int = 1200
+    clean: int = 2400
+    text_bytes: int = 60_000
+    bytes: int = 1 << 26
+
+
+SAMPLE = Sample()
 EDGES = string.punctuation + "«»“”„‘’…–—¡¿"
 PAD, BLANK = 0, 1  # rows of the input table: behind the end of a short text, and words without letters
 
@@ -339,22 +351,34 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[list[str], list[int]]:
+def training_rows(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: Sample = SAMPLE
+) -> tuple[list[str], list[int]]:
     """The bounded sample of labelled texts that are not held out, in the order of a hash of their id.
 
-    Of repeated labels the largest counts; null labels and ids, null texts and texts beyond the sample's bytes are left out.
+    Of repeated labels the largest counts, of repeated documents the smallest text; null labels and ids, null texts and texts
+    beyond the sample's bytes are left out. A label's ids are cut to a range of the hash that holds about twice the wanted
+    number before they are ranked, so that the rank never sees all ids of a label.
     """
     marks = labels.select(F.col(key).alias("k"), F.col("toxic").cast("int").alias("toxic"))
     marks = marks.where(F.col("k").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("k")))
-    marks = marks.groupBy("k").agg(F.max("toxic").alias("toxic"))
-    rank = F.row_number().over(W.partitionBy("toxic").orderBy(F.xxhash64("k"), "k"))
-    most = F.when(F.col("toxic") == 1, SAMPLE_TOXIC).otherwise(SAMPLE_CLEAN)
-    marks = marks.withColumn("rank", rank).where(F.col("rank") <= max(SAMPLE_TOXIC, SAMPLE_CLEAN)).where(F.col("rank") <= most)
-    # at most SAMPLE_TOXIC + SAMPLE_CLEAN ids
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES)
-    found = rows.join(F.broadcast(marks), "k").select("toxic", "text", F.xxhash64("k").alias("at"), "k").collect()
-    found = sorted({(r["at"], r["k"], r["text"], r["toxic"]) for r in found})
-    return [r[2] for r in found], [r[3] for r in found]
+    marks = marks.groupBy("k").agg(F.max("toxic").alias("toxic")).withColumn("at", F.xxhash64("k"))
+    kinds = {True: sample.toxic, False: sample.clean}
+    counts = marks.groupBy((F.col("toxic") == 1).alias("kind")).agg(F.count("*").alias("n")).collect()  # two rows
+    chosen = F.lit(False)
+    for row in counts:
+        share = min(1.0, (2 * kinds[row["kind"]] + 1000) / row["n"])
+        last = min((1 << 63) - 1, -(1 << 63) + round(share * (1 << 64)))
+        chosen = chosen | (((F.col("toxic") == 1) == F.lit(row["kind"])) & (F.col("at") <= F.lit(last)))
+    rank = F.row_number().over(W.partitionBy("toxic").orderBy("at", "k"))
+    most = F.when(F.col("toxic") == 1, sample.toxic).otherwise(sample.clean)
+    marks = marks.where(chosen).withColumn("rank", rank).where(F.col("rank") <= most)
+    # at most as many ids as the sample has
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).where(F.octet_length("text") <= sample.text_bytes)
+    found = rows.join(F.broadcast(marks), "k").groupBy("k").agg(*[F.min(c).alias(c) for c in ("at", "toxic", "text")])
+    before = F.sum(F.octet_length("text")).over(W.orderBy("at", "k").rowsBetween(W.unboundedPreceding, 0))
+    found = found.withColumn("bytes", before).where(F.col("bytes") <= sample.bytes).orderBy("at", "k").collect()
+    return [r["text"] for r in found], [r["toxic"] for r in found]
 
 
 _LOADED: dict[str, Scorer] = {}
@@ -374,20 +398,28 @@ def score_texts(docs: DataFrame, network: Network, key: str = "doc_id", text: st
     return map_texts(docs, [key], text, [pa.field("score", pa.float64())], "score double", lambda t: [_scorer(token, dumped).scores(t)])
 
 
-def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def classify(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: Sample = SAMPLE
+) -> DataFrame:
     """``key, held_out, score, predicted`` of every row. Trains on the labelled rows, then scores all whole texts.
 
-    Without labels of both kinds the score is the share of the label. Null keys are not held out. Repeated rows score alike.
-    Labels, and all columns but the text, are no inputs of a score.
+    Without labels of both kinds the score is the share of the label; texts that are null or without words score 0 even then.
+    Null keys are not held out. Repeated rows score alike; an empty table gives an empty one. Labels, and all columns but the
+    text, are no inputs of a score.
     """
-    network = train(*training_rows(docs, labels, key, text))
+    network = train(*training_rows(docs, labels, key, text, sample))
     scored = score_texts(docs, network, key, text)
     return scored.select(key, held_out(F.col(key)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose text scores below 0.5."""
-    network = train(*training_rows(docs, labels, key, text))
+def keep_clean(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: Sample = SAMPLE
+) -> DataFrame:
+    """The rows, with all their columns, whose text scores below 0.5.
+
+    Null and empty texts score 0 and stay, repeated rows stay or go together, an empty table gives an empty one.
+    """
+    network = train(*training_rows(docs, labels, key, text, sample))
     dumped = pickle.dumps(network)
     token = hashlib.sha1(dumped).hexdigest()
     place = docs.columns.index(text)

@@ -1,7 +1,7 @@
 """Token ids in training order, as fixed-stride binary shards.
 
-Method: a document's tokens and an end mark are cut into sequences. Every sequence has a number, its document's id and its
-place in it, and a keyed Feistel network with cycle-walking permutes the domain of these numbers, so that order needs no
+Method: a document's tokens and an end mark are cut into sequences. Every sequence has a number, a hash of its document's id
+and text and its place in it, and a keyed Feistel network with cycle-walking permutes the domain of these numbers, so that order needs no
 count of sequences and no numbering pass. Equal ranges of the permuted domain are the shards; a sequence's global slot is the
 number of sequences permuted before it: the rows of the shards before its own, and its place in its shard. A record has a
 fixed size, so a slot is found by multiplication, and a reader resumes at any slot with the shards from there on.
@@ -21,9 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from reelweave.llm.common import stored
-
 from reelweave.llm.bpe import text_slices
+from reelweave.llm.common import stored
 
 SEQUENCE_TOKENS = 256
 SHARD_ROWS = 32_768
@@ -92,11 +91,11 @@ def _pieces(text: str, most: int = 200_000) -> Iterator[str]:
     yield text
 
 
-def numbers_of(doc_ids: np.ndarray, places: np.ndarray, ids: int) -> np.ndarray:
-    """The number of a sequence: its document's id, then its place. Ids that are negative or beyond the domain, and places
-    beyond their bits, are folded into it; sequences that then share a number are ordered by their records."""
-    folded = np.where((doc_ids >= 0) & (doc_ids < ids), doc_ids, _mixed(doc_ids.view(np.uint64), 1).view(np.int64) % ids)
-    return (np.abs(folded).astype(np.uint64) << np.uint64(PLACE_BITS)) | (places.astype(np.uint64) & np.uint64((1 << PLACE_BITS) - 1))
+def numbers_of(documents: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The number of a sequence: bits of its document's hash, then its place; places beyond their bits are folded into them.
+    Sequences that share a number are ordered by their records."""
+    folded = documents.view(np.uint64) >> np.uint64(64 - ID_BITS)
+    return (folded << np.uint64(PLACE_BITS)) | (places.astype(np.uint64) & np.uint64((1 << PLACE_BITS) - 1))
 
 
 def write_shards(
@@ -106,15 +105,17 @@ def write_shards(
     """Writes the tokens of all whole texts as shards below a new folder; other columns are ignored.
 
     Texts are encoded by a file of byte-pair ranks; every document ends with ``end_id``, which also pads its last sequence.
-    A null or empty text is a sequence of the end mark alone. A null id is stored as the smallest integer. Rows that repeat
-    an id share sequence numbers; they are ordered by their records. The number of shards follows from the bytes of all
-    texts (about 0.42 tokens a byte), shards have about ``shard_rows`` records. The order depends on ids and key alone.
+    A null or empty text is a sequence of the end mark alone. A null id is stored as the smallest integer. Rows that share an
+    id, null ones too, have numbers of their own unless their texts are equal as well; such copies are equal records, which lie
+    side by side in one shard. The number of shards follows from the bytes of all texts (about 0.42 tokens a byte), shards have
+    about ``shard_rows`` records. The order depends on ids, texts and key alone. Ids of the vocabulary must fit into 16 bits.
+    A table without rows gives a folder without shards.
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    size = rows.agg(F.max("doc_id"), F.sum(F.octet_length("text")), F.count("*")).first()
-    ids = min(max(1, (size[0] or 0) + 1), 1 << ID_BITS)
-    domain = ids << PLACE_BITS
-    sequences = size[2] / 2 + (size[1] or 0) * 0.42 / sequence_tokens
+    rows = rows.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("hash"))
+    size = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    domain = 1 << (ID_BITS + PLACE_BITS)
+    sequences = size[1] / 2 + (size[0] or 0) * 0.42 / sequence_tokens
     shards = max(1, round(sequences / shard_rows))
     width = -(-domain // shards)
     layout = record_type(sequence_tokens)
@@ -125,9 +126,13 @@ def write_shards(
             for rows_, texts in text_slices(batch, 1):
                 parts = []
                 names = [NO_ID if i is None else i for i in rows_.column(0).to_pylist()]
+                counts = []
                 for name, whole in zip(names, texts, strict=True):
                     tokens = [coder.encode_to_numpy(p, disallowed_special=()) for p in _pieces(whole) if p]
-                    tokens = np.concatenate([*tokens, [end_id]]).astype("<u2")
+                    tokens = np.concatenate([*tokens, [end_id]])
+                    if tokens.max() >> 16:
+                        raise ValueError("an id of the vocabulary does not fit into 16 bits")
+                    tokens = tokens.astype("<u2")
                     count = -(-len(tokens) // sequence_tokens)
                     made = np.zeros(count, layout)
                     padded = np.full(count * sequence_tokens, end_id, "<u2")
@@ -137,8 +142,10 @@ def write_shards(
                     made["n_tokens"][-1] = len(tokens) - (count - 1) * sequence_tokens
                     made["mark"] = END_MARK.encode()
                     parts.append(made)
+                    counts.append(count)
                 made = np.concatenate(parts)
-                at = permute(numbers_of(made["doc_id"].astype(np.int64), made["place"], ids), domain, key)
+                hashed = np.repeat(rows_.column(2).to_numpy(zero_copy_only=False), counts)
+                at = permute(numbers_of(hashed, made["place"]), domain, key)
                 stride, kept = layout.itemsize, layout.itemsize - len(END_MARK)
                 raw = made.tobytes()
                 yield pa.RecordBatch.from_arrays(
@@ -155,11 +162,18 @@ def write_shards(
     lines.write.partitionBy("shard").option("lineSep", END_MARK).text(path)
 
 
+def _shard_files(spark: SparkSession, path: str) -> DataFrame:
+    """``shard, length, content`` of the files of a folder; the folder of an empty table has no shards."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    if "shard" not in files.columns:
+        files = files.limit(0).withColumn("shard", F.lit(None))
+    return files.select(F.col("shard").cast("bigint").alias("shard"), "length", "content")
+
+
 def manifest(spark: SparkSession, path: str, sequence_tokens: int = SEQUENCE_TOKENS) -> DataFrame:
-    """``shard, rows, first_slot`` of every shard, from the lengths of the files alone."""
+    """``shard, rows, first_slot`` of every shard, from the lengths of the files alone; no rows without shards."""
     stride = record_type(sequence_tokens).itemsize
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    sizes = files.groupBy(F.col("shard").cast("bigint").alias("shard")).agg((F.sum("length") / stride).cast("bigint").alias("rows"))
+    sizes = _shard_files(spark, path).groupBy("shard").agg((F.sum("length") / stride).cast("bigint").alias("rows"))
     before = F.sum("rows").over(W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
     return sizes.withColumn("first_slot", F.coalesce(before, F.lit(0)))
 
@@ -169,7 +183,8 @@ def read_slots(
 ) -> DataFrame:
     """``slot, doc_id, place, n_tokens, ids`` of the sequences at slots start to stop (without stop).
 
-    Only shards that hold such slots are read. A shard is one file, written by the task that held the shard.
+    Only shards that hold such slots are read. A shard is one file, written by the task that held the shard. Slots beyond the
+    last one, and a folder without shards, give no rows; an id that was null is null again.
     """
     layout = record_type(sequence_tokens)
     shards = stored(manifest(spark, path, sequence_tokens), "manifest")
@@ -177,9 +192,8 @@ def read_slots(
     if stop is not None:
         wanted = wanted.where(F.col("first_slot") < stop)
     first, last = wanted.agg(F.min("shard"), F.max("shard")).first()
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    files = files.withColumn("shard", F.col("shard").cast("bigint"))
-    files = files.where(F.col("shard").between(first, last) if first is not None else F.lit(False)).select("shard", "content")
+    files = _shard_files(spark, path).select("shard", "content")
+    files = files.where(F.col("shard").between(first, last) if first is not None else F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -27,13 +27,15 @@ BLOCK_QUERIES = 4096
 LEAF_ROWS = 128
 FACTOR = 4.0
 SAME = 1e-9  # cosines this near to the k-th best are all scored again, so that ties are settled by id
+SLACK = 1e-6  # a chord near 0 is the root of a cosine's rounding: no side is left out for less
 
 
 class VantageTree:
     """A tree over distinct vectors; every vector lists the ids that have it, smallest first."""
 
-    def __init__(self, vectors: np.ndarray, ids: list[np.ndarray], leaf_rows: int = LEAF_ROWS):
-        self.vectors, self.ids, self.leaf_rows = vectors, ids, leaf_rows
+    def __init__(self, vectors: np.ndarray, ids: list[np.ndarray], leaf_rows: int = LEAF_ROWS, most: int = 6):
+        self.vectors, self.leaf_rows, self.most = vectors, leaf_rows, most
+        self.ids = [x[:most] for x in ids]
         self.units = units(vectors)
         self.root = self._grow(np.arange(len(vectors)))
 
@@ -54,6 +56,8 @@ class VantageTree:
 
     def search(self, queries: np.ndarray, query_ids: np.ndarray, k: int, factor: float) -> pd.DataFrame:
         """The k nearest ids of every query that the walk finds, without the query itself."""
+        if k >= self.most:
+            raise ValueError(f"the index was built for up to {self.most - 1} neighbours")
         self.queries, self.k, self.factor = units(queries), k + 1, factor  # one more, as the query may be among them
         self.best = np.full((len(queries), self.k), np.inf)
         self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -90,7 +94,7 @@ class VantageTree:
     def _enter(self, side: tuple, active: np.ndarray, far: np.ndarray) -> None:
         low, high, node = side
         bound = np.maximum(0.0, np.maximum(low - far, far - high))
-        self._visit(node, active[bound * self.factor <= self.best[active, -1] + SAME])
+        self._visit(node, active[(bound - SLACK) * self.factor <= self.best[active, -1] + SLACK])
 
     def _look(self, rows: np.ndarray, active: np.ndarray) -> None:
         for at in range(0, len(active), 1024):
@@ -115,7 +119,7 @@ def _build(leaf_rows: int, most: int):
         where = where.reshape(-1)
         order = np.argsort(where, kind="stable")
         ids = np.split(rows["id"].to_numpy(np.int64)[order], np.cumsum(np.bincount(where))[:-1])
-        tree = VantageTree(distinct, [np.unique(x)[:most] for x in ids], leaf_rows)
+        tree = VantageTree(distinct, [np.unique(x) for x in ids], leaf_rows, most)
         return pd.DataFrame({"dims": rows["dims"].iat[0], "shard": rows["shard"].iat[0], "tree": [pickle.dumps(tree)]})
 
     return run
@@ -139,7 +143,9 @@ def build_index(
     rows = _rows(vectors, key, vector)
     sizes = rows.groupBy("dims").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
     rows = rows.join(handoff(sizes), "dims").withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
-    trees = rows.select("dims", "shard", "id", "vector").groupBy("dims", "shard")
+    # as many partitions as a shuffle has: merged to a few by their small size, the trees would be built by a few tasks
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    trees = rows.select("dims", "shard", "id", "vector").repartition(tasks, "dims", "shard").groupBy("dims", "shard")
     return stored(trees.applyInPandas(_build(leaf_rows, most), "dims int, shard int, tree binary"), "trees")
 
 
@@ -158,7 +164,8 @@ def nearest(
     Each tree meets each block of queries once, in a task of its own. Vectors that are null, empty, zero or hold null or
     non-finite components, and rows with a null key, take no part, neither as queries nor as candidates; vectors of
     different lengths are not compared. A query does not find its own id. Rows that repeat an id count once, with the
-    largest of their cosines. Fewer than k candidates are all returned; an empty table gives no rows.
+    largest of their cosines. Fewer than k candidates are all returned; an empty table gives no rows. An index that was
+    built for fewer than k neighbours raises an error.
     """
     wanted = _rows(queries, key, vector)
     sizes = wanted.groupBy("dims").agg(F.ceil(F.count("*") / block_queries).cast("int").alias("blocks"))

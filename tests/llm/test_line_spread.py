@@ -53,6 +53,9 @@ def test_odd_rows(table, values):
         (1, "y", 2, 1), (2, "", 2, 1), (3, None, 0, 0), (4, "", 1, 0), (5, "", 2, 2), (5, "", 2, 2), (None, "x", 1, 0),
     ]
     assert found.select("row.*").columns == rows.columns
+    counted = line_spread.counted_rows(line_spread.remove_spread_lines(rows.withColumn("N_Removed", F.lit("x")), 3))
+    assert counted.columns == ["doc_id", "text", "source", "line", "n_lines", "n_removed"]
+    assert values(counted, "n_lines", "n_removed") == sorted(values(found, "n_lines", "n_removed"))
     assert line_spread.remove_spread_lines(rows.limit(0)).count() == 0
 
 

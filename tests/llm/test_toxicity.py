@@ -95,3 +95,20 @@ def test_odd_rows(spark, table, values):
     assert values(found.where("doc_id = 2"), "score", "predicted") == [(0.0, 0), (0.0, 0)]
     assert tx.classify(docs.limit(0), labels).count() == 0 and tx.classify(docs, labels.limit(0)).count() == 5
     assert tx.keep_clean(docs, labels.limit(0)).columns == docs.columns
+
+
+def test_the_sample_is_bounded_and_in_hash_order(spark):
+    ids = spark.range(4000).withColumnRenamed("id", "doc_id")
+    labels = ids.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    docs = ids.select("doc_id", F.concat(F.lit("text "), "doc_id").alias("text"))
+    sample = tx.Sample(20, 30, 100, 10_000)
+    texts, marks = tx.training_rows(docs, labels, sample=sample)
+    rows = ids.where(~tx.held_out(F.col("doc_id"))).select("doc_id", F.xxhash64("doc_id").alias("at")).orderBy("at", "doc_id").collect()
+    toxic = [r.doc_id for r in rows if r.doc_id % 3 == 0][:20]
+    clean = [r.doc_id for r in rows if r.doc_id % 3][:30]
+    want = [r.doc_id for r in rows if r.doc_id in {*toxic, *clean}]
+    assert texts == [f"text {k}" for k in want] and marks == [int(k % 3 == 0) for k in want]
+    # one id many times is one text, and the bytes of all texts are bounded
+    many = spark.range(2000).select(F.lit(toxic[0]).alias("doc_id"), F.concat(F.lit("copy "), "id").alias("text"))
+    assert tx.training_rows(many, labels, sample=sample) == (["copy 0"], [1])
+    assert len(tx.training_rows(docs, labels, sample=tx.Sample(20, 30, 100, 90))[0]) < 12

@@ -1,6 +1,9 @@
 """Training-order shards: permutation, round trip, resuming."""
 
+import zlib
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from reelweave.llm import training_order as to
 from reelweave.llm.queries import QUERIES, vocabulary
@@ -74,6 +77,39 @@ def test_odd_rows(spark, table):
     assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()}
     empty = fresh_folder(spark, "shards")
     to.write_shards(rows.limit(0), empty, PATH)
+    assert to.manifest(spark, empty).count() == 0 and to.checked(to.read_slots(spark, empty)).count() == 0
+    assert to.read_slots(spark, empty).columns == ["slot", "doc_id", "place", "n_tokens", "ids"]
+
+
+def test_null_and_repeated_ids_are_spread_over_the_shards(spark):
+    for doc_id in (None, 7):
+        rows = spark.range(3000).select(F.lit(doc_id).cast("bigint").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+        path = fresh_folder(spark, "shards")
+        to.write_shards(rows, path, PATH, shard_rows=200)
+        sizes = [r.rows for r in to.manifest(spark, path).collect()]
+        assert sum(sizes) == 3000 and len(sizes) > 5 and max(sizes) < 600
+
+
+def test_slots_are_the_ranks_of_the_permuted_numbers(spark):
+    texts = [(k, f"some text {k} " * (k % 40)) for k in range(80)]
+    rows = spark.createDataFrame(texts, "doc_id BIGINT, text STRING")
+    path = fresh_folder(spark, "shards")
+    to.write_shards(rows, path, PATH, sequence_tokens=16, shard_rows=50)
+    hashes = {r.doc_id: r.h for r in rows.select("doc_id", F.xxhash64("doc_id", "text").alias("h")).collect()}
+    made = sequences(texts, 16)
+    numbers = {(d, p): ((hashes[d] % (1 << 64)) >> (64 - to.ID_BITS)) << to.PLACE_BITS | p for d, p in made}
+    permuted = to.permute(np.array(list(numbers.values()), dtype=np.uint64), 1 << (to.ID_BITS + to.PLACE_BITS), 42)
+    order = [k for _, k in sorted(zip(permuted.tolist(), numbers, strict=True))]
+    found = to.read_slots(spark, path, sequence_tokens=16)
+    assert [r[1:3] for r in rows_of(found)] == order
+    crc = {(r.doc_id, r.place): r.ids_crc32 for r in to.checked(found).collect()}
+    padded = {k: np.array([*v[0], *[END] * (16 - len(v[0]))], "<u2").tobytes() for k, v in made.items()}
+    assert crc == {k: zlib.crc32(v) for k, v in padded.items()}
+
+
+def test_wide_vocabularies_are_refused(spark, table):
+    with pytest.raises(Exception, match="16 bits"):
+        to.write_shards(table("doc_id BIGINT, text STRING", (1, "a")), fresh_folder(spark, "shards"), PATH, end_id=70_000)
 
 
 def test_query_on_whole_table(spark):

@@ -158,3 +158,18 @@ def test_query_on_whole_table(spark):
     want = plain_groups([r.vec_id for r in rows], np.array([r.embedding for r in rows], dtype=np.float64), [r.label for r in rows])
     found = QUERIES["op4_embedding_groups"](spark, folder).collect()
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found} == want
+
+
+def test_parallel_vectors_are_found_like_any_other(spark):
+    rng = np.random.default_rng(9)
+    rows = np.repeat(rng.normal(size=(40, 16)), 30, axis=0) * rng.uniform(0.1, 9, size=(1200, 1))
+    ids = rng.permutation(4000)[:1200].tolist()
+    vectors = frame(spark, ids, rows)
+    queries = [i for i in ids if i % 11 == 0]
+    index = vptree.build_index(vectors, shard_rows=400, leaf_rows=16)
+    want = plain_nearest(ids, rows, queries)
+    for factor in (1.0, 4.0):
+        found = found_by_query(vptree.nearest(index, vectors.where("vec_id % 11 = 0"), factor=factor))
+        assert {q: [r[1:] for r in found[q]] for q in queries} == {q: [r[1:] for r in want[q]] for q in queries}
+    with pytest.raises(Exception, match="up to 5 neighbours"):
+        vptree.nearest(index, vectors, k=6).collect()
