@@ -109,10 +109,9 @@ def _contained_species(text: Column, whole_words: bool) -> Column:
     return F.get(F.filter(names, lambda n: F.contains(text, n)), F.lit(0))
 
 
-def _exact_species(text: Column) -> Column:
-    names = {raw: name for raw, (name, _) in fv.SPECIES_EXACT.items()}
-    names |= {f"anthropomorphic {animal}": animal for animal in fv.ANTHROPOMORPHIC_ANIMALS}
-    return lookup(names, text)
+def _exact_species(text: Column, part: int) -> Column:
+    """Species (0), subtype (1) or flag (2) of a raw text that has a row of its own."""
+    return lookup({raw: row[part] for raw, row in fv.SPECIES_EXACT.items() if row[part] is not None}, text)
 
 
 def species_name(raw: Column, whole_words: bool = False) -> Column:
@@ -124,7 +123,7 @@ def species_name(raw: Column, whole_words: bool = False) -> Column:
     return F.when(
         blank_to_null(raw).isNotNull(),
         F.coalesce(
-            _exact_species(text),
+            _exact_species(text, 0),
             F.when(text.isin(fv.SPECIES), text),
             F.when(text.startswith("toy"), "toy"),
             contained,
@@ -137,12 +136,11 @@ def species_name(raw: Column, whole_words: bool = False) -> Column:
 def species_parts(raw: Column, whole_words: bool = False) -> Column:
     """``struct(species, subtype, is_anthropomorphic)``; the subtype is the text in the first brackets."""
     text = folded(raw)
-    exact_subtype = lookup({k: v for k, (_, v) in fv.SPECIES_EXACT.items() if v}, text)
     bracketed = F.when(text.rlike(r"\([^)]*\)"), strip(F.regexp_extract(text, r"\(([^)]*)\)", 1)))
     return F.struct(
         species_name(raw, whole_words).alias("species"),
-        F.coalesce(exact_subtype, bracketed).alias("subtype"),
-        F.coalesce(text.contains("anthropomorphic"), F.lit(False)).alias("is_anthropomorphic"),
+        F.coalesce(_exact_species(text, 1), bracketed).alias("subtype"),
+        F.coalesce(_exact_species(text, 2), text.contains("anthropomorphic"), F.lit(False)).alias("is_anthropomorphic"),
     )
 
 

@@ -10,7 +10,7 @@ from reelweave.functions import normalize as nz
 from reelweave.functions.text import blank_to_null, slugify
 from reelweave.operators import documents as doc
 from reelweave.operators.keys import (
-    build_dim, build_junction, dense_index, first_per_key, get_or_create_ids, resolve_lookup, slug_ids, surrogate_key,
+    build_dim, dense_index, first_per_key, get_or_create_ids, resolve_lookup, slug_ids, surrogate_key,
 )
 from reelweave.operators.relational import composite_lookup, with_branch_counts, with_child_count
 from reelweave.sinks.upsert import upsert_columns
@@ -87,7 +87,7 @@ def raw_characters_from_documents(docs: DataFrame) -> DataFrame:
     return people.select(
         "name", "franchise", nz.role_alias(F.col("role")).alias("role"), nz.gender_alias(F.col("gender")).alias("gender"),
         F.coalesce("species", F.lit("unknown")).alias("species"), "voice_actor",
-        F.col("category_year").alias("first_appearance_year"), "appearances", "source_dir", "source_file",
+        F.col("category_year").alias("first_appearance_year"), "appearances", "notes", "source_dir", "source_file",
     )
 
 
@@ -98,10 +98,12 @@ def build_talent(names: DataFrame, column: str = "voice_actor", primary_only: bo
 
 
 def build_characters(
-    raw: DataFrame, roles: DataFrame, genders: DataFrame, default_role: str | None = None, franchises: DataFrame | None = None
+    raw: DataFrame, roles: DataFrame, genders: DataFrame, default_role: str | None = None, franchises: DataFrame | None = None,
+    species: DataFrame | None = None,
 ) -> DataFrame:
     """Characters unique by (name, franchise); the alphabetically first attributes are kept. The studio is that of the
-    franchise, null without a table of franchises."""
+    franchise, null without a table of franchises. ``species`` stays as given; its canonical name is looked up in the table
+    of species (null without one), subtype and flag are read from the text."""
     rows = raw.select(
         "name", "franchise", nz.role_alias(F.col("role")).alias("role"), nz.gender_alias(F.col("gender")).alias("gender"),
         "species", "first_appearance_year",
@@ -114,20 +116,29 @@ def build_characters(
         owned = with_gender.withColumn("studio_id", F.lit(None).cast("bigint"))
     else:
         owned = composite_lookup(with_gender, franchises, {"franchise": "name"}, {"studio_id": "studio_id"})
-    return owned.select(
+    parted = owned.withColumn("_species", nz.species_parts(F.col("species")))
+    if species is None:
+        parted = parted.withColumn("species_id", F.lit(None).cast("bigint"))
+    else:
+        named = parted.withColumn("_name", F.col("_species.species"))
+        parted = composite_lookup(named, species, {"_name": "name"}, {"id": "species_id"})
+    return parted.select(
         surrogate_key("name", "franchise").alias("id"), "name", "franchise", "role_id", "gender_id", "species",
-        "first_appearance_year", "studio_id",
+        "first_appearance_year", "studio_id", "species_id", F.col("_species.subtype").alias("species_subtype"),
+        "_species.is_anthropomorphic",
     )
 
 
 def build_appearances(raw: DataFrame, media: DataFrame, roles: DataFrame) -> DataFrame:
-    """Character-media junction of raw records, one row per pair.
+    """Character-media junction of raw records, one row per pair and variant; records without these columns have no
+    variant and no notes.
 
     The ids of ``build_characters`` and ``build_talent`` are hashes of natural keys that every record carries, so they
     are computed in place; only media, which not every record matches, and the roles need a join. Soundtracks that
     share title and year with their film have no cast.
     """
-    records = doc.explode_appearances(raw.select("name", "franchise", "voice_actor", "role", "appearances"))
+    given = [F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in ("variant", "notes")]
+    records = doc.explode_appearances(raw.select("name", "franchise", "voice_actor", "role", "appearances", *given))
     rows = records.select(
         F.when(F.col("name").isNotNull() & F.col("franchise").isNotNull(), surrogate_key("name", "franchise")).alias(
             "character_id"
@@ -137,14 +148,21 @@ def build_appearances(raw: DataFrame, media: DataFrame, roles: DataFrame) -> Dat
         nz.role_alias(F.col("role")).alias("role"),
         "media_title",
         "media_year",
+        "variant",
+        "notes",
     )
     titles = media.filter(F.col("media_type") != "soundtrack")
     placed = composite_lookup(
         rows, titles, {"media_title": "title", "media_year": "year"}, {"id": "media_id"}, "inner", ["media_title"]
     )
     with_role = resolve_lookup(placed, roles, F.col("role"), "role_id")
-    order = [F.asc_nulls_last("voice_actor"), F.asc_nulls_last("role_id")]
-    return build_junction(with_role, ["character_id", "media_id"], ["talent_id", "role_id"], order)
+    order = [F.asc_nulls_last("voice_actor"), F.asc_nulls_last("role_id"), F.asc_nulls_last("notes")]
+    present = with_role.filter(F.col("character_id").isNotNull())
+    pair = ["character_id", "media_id"]
+    plain = F.when(F.col("variant").isNull(), surrogate_key(*pair)).otherwise(surrogate_key(*pair, "variant"))
+    return first_per_key(present, [*pair, "variant"], order).select(
+        plain.alias("id"), *pair, "talent_id", "role_id", "variant", "notes"
+    )
 
 
 # ---- games

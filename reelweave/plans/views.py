@@ -61,9 +61,11 @@ def v_songs(t: Tables) -> DataFrame:
 
 
 def v_character_appearances(t: Tables) -> DataFrame:
+    """Appearances with names; the species is the canonical one, or the text of the character where it has none."""
     rows = lookup_inner(
         t.character_appearances, t.characters.drop("role_id"), "character_id",
-        {"name": "character_name", "franchise": "origin_franchise", "species": "species", "gender_id": "gender_id"},
+        {"name": "character_name", "franchise": "origin_franchise", "species": "raw_species", "species_id": "species_id",
+         "species_subtype": "species_subtype", "is_anthropomorphic": "is_anthropomorphic", "gender_id": "gender_id"},
     )
     rows = lookup_inner(
         rows, t.media, "media_id", {"title": "media_title", "year": "media_year", "media_type": "media_type"}
@@ -71,9 +73,11 @@ def v_character_appearances(t: Tables) -> DataFrame:
     rows = lookup_inner(rows, t.roles, "role_id", {"name": "role"})
     rows = lookup_left(rows, t.genders, "gender_id", {"name": "gender"})
     rows = lookup_left(rows, t.talent, "talent_id", {"name": "voice_actor"})
+    rows = lookup_left(rows, t.species, "species_id", {"name": "species_name"})
     return rows.select(
-        "character_id", "media_id", "character_name", "origin_franchise", "species", "gender", "media_title",
-        "media_year", "media_type", "voice_actor", "role",
+        "id", "character_id", "media_id", "character_name", "origin_franchise",
+        F.coalesce("species_name", "raw_species").alias("species"), "species_subtype", "is_anthropomorphic", "gender",
+        "media_title", "media_year", "media_type", "voice_actor", "role", "variant", "notes",
     )
 
 

@@ -133,22 +133,29 @@ class Catalogue(Tables):
             F.when(F.col("c_nationkey") != 24, F.col("n_name")).alias("species"),
             (F.col("p_size") + 1970).cast("int").alias("first_appearance_year"),
             brand_number("p_brand").alias("studio_id"),
+            F.when(F.col("c_nationkey") % 6 == 1, F.col("c_nationkey") % 5 + 1).cast("bigint").alias("species_id"),
+            F.when(key % 7 == 0, F.concat(F.lit("form "), key % 3)).alias("species_subtype"),
+            (key % 4 == 0).alias("is_anthropomorphic"),
         )
 
+    def make_species(self):
+        return readers.species(self._spark)
+
     def appearance_rows(self):
         """All line items as appearances, several per (character, title)."""
         orders = self.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("character_id"))
         role = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 5).otherwise(4)
         return self.raw("lineitem").join(orders, "l_orderkey").select(
             "character_id", F.col("l_partkey").alias("media_id"), F.col("l_suppkey").alias("talent_id"),
-            role.cast("bigint").alias("role_id"),
+            role.cast("bigint").alias("role_id"), F.col("l_linestatus").alias("notes"),
         )
 
     def make_character_appearances(self):
         """One row per character and title, in the order the junction builder uses."""
-        kept = first_per_key(self.appearance_rows(), ["character_id", "media_id"], ["talent_id", "role_id"])
+        kept = first_per_key(self.appearance_rows(), ["character_id", "media_id"], ["talent_id", "role_id", "notes"])
         return kept.select(
-            surrogate_key("character_id", "media_id").alias("id"), "character_id", "media_id", "talent_id", "role_id"
+            surrogate_key("character_id", "media_id").alias("id"), "character_id", "media_id", "talent_id", "role_id",
+            F.lit(None).cast("string").alias("variant"), "notes",
         )
 
     def make_dashboard_films(self):
@@ -316,19 +323,21 @@ VIEWS: dict[str, tuple[list[str], str]] = {
              CASE WHEN c_custkey % 17 <> 0 THEN c_custkey % 14 + 1 END AS role_id,
              CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey % 3 + 1 AS BIGINT) END AS gender_id,
              CASE WHEN c_nationkey <> 24 THEN n_name END AS species,
-             CAST(1970 + p_size AS INTEGER) AS first_appearance_year, CAST(substr(p_brand, 7) AS BIGINT) AS studio_id
+             CAST(1970 + p_size AS INTEGER) AS first_appearance_year, CAST(substr(p_brand, 7) AS BIGINT) AS studio_id,
+             CASE WHEN c_nationkey % 6 = 1 THEN c_nationkey % 5 + 1 END AS species_id,
+             CASE WHEN c_custkey % 7 = 0 THEN 'form ' || (c_custkey % 3) END AS species_subtype, c_custkey % 4 = 0 AS is_anthropomorphic
            FROM customer LEFT JOIN part ON p_partkey = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey""",
     ),
     "appearance_rows": (
         [],
         """SELECT o_custkey AS character_id, l_partkey AS media_id, l_suppkey AS talent_id,
-             CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 5 ELSE 4 END AS BIGINT) AS role_id
+             CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 5 ELSE 4 END AS BIGINT) AS role_id, l_linestatus AS notes
            FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
     ),
     "appearances": (
         ["appearance_rows"],
-        """SELECT character_id, media_id, talent_id, role_id FROM (
-             SELECT *, row_number() OVER (PARTITION BY character_id, media_id ORDER BY talent_id, role_id) AS rn
+        """SELECT character_id, media_id, talent_id, role_id, notes FROM (
+             SELECT *, row_number() OVER (PARTITION BY character_id, media_id ORDER BY talent_id, role_id, notes) AS rn
              FROM appearance_rows) WHERE rn = 1""",
     ),
     "dashboard_films": (

@@ -486,13 +486,15 @@ def _(t):
 
 
 @query("v_character_appearances", with_views(
-    """SELECT a.character_id, a.media_id, c.name AS character_name, c.franchise AS origin_franchise, c.species,
-         g.name AS gender, m.title AS media_title, m.year AS media_year, m.media_type, t.name AS voice_actor, r.name AS role
+    """SELECT a.character_id, a.media_id, c.name AS character_name, c.franchise AS origin_franchise,
+         coalesce(['human', 'toy', 'monster', 'robot', 'emotion'][c.species_id], c.species) AS species, c.species_subtype, c.is_anthropomorphic,
+         g.name AS gender, m.title AS media_title, m.year AS media_year, m.media_type, t.name AS voice_actor, r.name AS role,
+         CAST(NULL AS VARCHAR) AS variant, a.notes
        FROM appearances a JOIN characters c ON c.id = a.character_id JOIN media m ON m.id = a.media_id
        JOIN roles r ON r.id = a.role_id LEFT JOIN genders g ON g.id = c.gender_id LEFT JOIN talent t ON t.id = a.talent_id""",
     "appearances", "characters", "media", "roles", "genders", "talent"))
 def _(t):
-    return views.v_character_appearances(t)
+    return views.v_character_appearances(t).drop("id")
 
 
 @query("v_box_office_by_film", with_views(

@@ -43,7 +43,7 @@ TABLES = {
     "talent": "id BIGINT, name STRING",
     "characters": (
         "id BIGINT, name STRING, franchise STRING, role_id BIGINT, gender_id BIGINT, species STRING, "
-        "first_appearance_year INT, studio_id BIGINT"
+        "first_appearance_year INT, studio_id BIGINT, species_id BIGINT, species_subtype STRING, is_anthropomorphic BOOLEAN"
     ),
     "games": "id BIGINT, media_id BIGINT, developer STRING, publisher STRING, platforms ARRAY<STRING>",
     "platforms": "id BIGINT, name STRING",
@@ -61,7 +61,9 @@ TABLES = {
         "id BIGINT, media_id BIGINT, award_category_id BIGINT, year INT, outcome STRING, talent_id BIGINT, song_id BIGINT"
     ),
     "species": "id BIGINT, name STRING, parent_species_id BIGINT",
-    "character_appearances": "id BIGINT, character_id BIGINT, media_id BIGINT, talent_id BIGINT, role_id BIGINT",
+    "character_appearances": (
+        "id BIGINT, character_id BIGINT, media_id BIGINT, talent_id BIGINT, role_id BIGINT, variant STRING, notes STRING"
+    ),
     "box_office_daily": (
         "id BIGINT, film_id BIGINT, film_title STRING, film_year INT, report_date DATE, state_code STRING, "
         "revenue DECIMAL(14,2), week_number INT, is_weekend BOOLEAN"

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from reelweave import fixed_values as fv
 from reelweave.functions import normalize as nz
 
 
@@ -31,6 +32,8 @@ def test_species_parts(apply):
     assert apply(nz.species_parts, raw) == [
         ("toy", "rag doll", False), ("squirrel", "saber-toothed", False), ("duck", None, True), (None, None, False),
         ("human", "a", False), ("fish", "", False)]
+    exact = sorted(fv.SPECIES_EXACT)
+    assert apply(nz.species_parts, exact) == [fv.SPECIES_EXACT[raw] for raw in exact]
 
 
 def test_species_buckets(apply):
