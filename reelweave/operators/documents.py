@@ -405,7 +405,7 @@ def game_rows(docs: DataFrame) -> DataFrame:
         .select("*", F.posexplode(F.filter("media", lambda m: m.media_type == "game")).alias("position", "m"))
         .withColumn("_category", first_of_year)
         .select(
-            "source_file", "position", "franchise", "m.title", "m.year",
+            "source_dir", "source_file", "position", "franchise", "m.title", "m.year",
             F.coalesce(_get("_category.body.developer", "$", "string"), nz.developer(F.col("studio"))).alias("developer"),
             nz.publisher(F.col("studio")).alias("publisher"),
             nz.platforms(_get("_category.body.platform", "$", "string")).alias("platforms"),

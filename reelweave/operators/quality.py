@@ -52,3 +52,19 @@ def contract_violations(df: DataFrame, contract: dict, keys: list[str]) -> DataF
     checks = [missing_values(df, f"required:{c}", c, keys) for c in contract["required"]]
     checks += [not_allowed(df, f"allowed:{c}", c, values) for c, values in contract["allowed"].items()]
     return violations(*checks)
+
+
+def broken_rules(contract: dict) -> Column:
+    """The rules of a record contract that a row breaks, in the contract's order."""
+    rules = [F.when(F.col(c).isNull(), F.lit(f"required:{c}")) for c in contract["required"]]
+    rules += [
+        F.when(F.col(c).isNotNull() & ~F.col(c).isin(values), F.lit(f"allowed:{c}"))
+        for c, values in contract["allowed"].items()
+    ]
+    return F.filter(F.array(*rules), lambda r: r.isNotNull())
+
+
+def split_by_contract(df: DataFrame, contract: dict) -> tuple[DataFrame, DataFrame]:
+    """Rows that keep a record contract, and the others with the rules they break (``broken_rules``)."""
+    judged = df.withColumn("broken_rules", broken_rules(contract))
+    return judged.filter(F.size("broken_rules") == 0).drop("broken_rules"), judged.filter(F.size("broken_rules") > 0)

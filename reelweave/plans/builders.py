@@ -15,7 +15,7 @@ from reelweave.operators.keys import (
 from reelweave.operators.relational import composite_lookup, with_branch_counts, with_child_count
 from reelweave.sinks.upsert import upsert_columns
 
-ORDER_OF_FILES = ["source_file", "position"]
+ORDER_OF_FILES = ["source_dir", "source_file", "position"]
 
 
 # ---- catalogue tables from raw film and character records

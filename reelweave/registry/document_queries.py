@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from reelweave import fixed_values as fv
 from reelweave.operators import documents as doc
 from reelweave.plans import builders as b
+from reelweave.plans import views
+from reelweave.plans.catalogue_graph import catalogue_graph
+from reelweave.plans.graph import run_graph
+from reelweave.plans.tables import Tables
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
 from reelweave.registry.text_queries import _quoted
-from reelweave.session import handoff
+from reelweave.session import fresh_folder, handoff
 
 SHAPES = {
     "F": """{"franchise": "Saga ~c", "studio": "Blue Sky Co", "films": ["Alpha ~k (1990)", "Beta ~k (1995)", "Gamma"],
@@ -228,11 +232,14 @@ ALBUM = """[{"film": "Film ~k", "film_year": 1994, "releases": [
  {"film": "No year", "releases": [{"title": "Lost"}]}]"""
 
 
-def soundtracks(t):
+def soundtrack_files(t, album=ALBUM):
     """One soundtrack file per order."""
-    text = F.replace(F.lit(ALBUM), F.lit("~k"), F.col("o_orderkey").cast("string"))
-    files = t.raw("orders").select(F.replace(text, F.lit("~v"), (F.col("o_custkey") % 10).cast("string")).alias("value"))
-    return doc.soundtrack_entries(files)
+    text = F.replace(F.lit(album), F.lit("~k"), F.col("o_orderkey").cast("string"))
+    return t.raw("orders").select(F.replace(text, F.lit("~v"), (F.col("o_custkey") % 10).cast("string")).alias("value"))
+
+
+def soundtracks(t):
+    return doc.soundtrack_entries(soundtrack_files(t))
 
 
 @query("flatten_releases", """
@@ -340,3 +347,63 @@ def _(t):
     size = F.col("p_size") % 4
     name = F.concat(F.when(size == 0, "00_").when(size == 1, "A_Summary").when(size == 2, "x_soundtracks").otherwise(""), "p_name")
     return t.raw("part").filter(doc.is_catalogue_file(name)).select("p_partkey")
+
+
+# ---------------------------------------------------------------- the whole catalogue in one run
+
+
+def event_reports(t):
+    """Events as box-office reports of the first film of a document; some lack a state, which their contract forbids."""
+    day = F.to_date("ts")
+    week = (F.floor(F.date_diff(day, F.lit("2024-01-01").cast("date")) / 7) + 1).cast("int")
+    return t.raw("events").select(
+        F.concat(F.lit("ALPHA "), "user_id").alias("film_title"), F.lit(1990).alias("film_year"), F.lit("x").alias("franchise"),
+        F.date_format("ts", "yyyy-MM-dd").alias("report_date"), F.when(F.col("event_id") % 50 != 0, F.col("event_type")).alias("state_code"),
+        F.col("value").alias("revenue"), week.alias("week_number"), (F.weekday(day) >= 4).alias("is_weekend"))
+
+
+RUN_COUNTS = f"""
+WITH {DOCS}, n AS (SELECT count(*) FILTER (s = 'F') AS f, count(*) FILTER (s = 'O') AS o, count(*) FILTER (s = 'P') AS p, count(*) AS d,
+    count(DISTINCT c) FILTER (s = 'F') AS sagas, count(DISTINCT v) FILTER (s = 'F') AS voices FROM docs),
+  a AS (SELECT count(*) AS albums, count(DISTINCT o_custkey % 10) AS names FROM orders),
+  e AS (SELECT count(*) FILTER (event_id % 50 <> 0) AS good, count(*) FILTER (event_id % 50 = 0) AS bad,
+    count(DISTINCT user_id) FILTER (event_id % 50 <> 0) AS shown,
+    count(DISTINCT (user_id, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 7)) FILTER (event_id % 50 <> 0) AS weeks FROM events)
+SELECT stage, "table", CAST(rows AS BIGINT) AS rows, CAST(0 AS BIGINT) AS violations, 'written' AS state FROM n, a, e, (
+  LATERAL (VALUES ('documents', 'documents', d), ('film_records', 'raw_films', 2 * f), ('film_records', 'rejected_films', 0),
+    ('character_records', 'raw_characters', 5 * f + o + 2 * p), ('character_records', 'rejected_characters', 0), ('raw_games', 'raw_games', o),
+    ('music_records', 'raw_releases', 4 * albums), ('music_records', 'raw_tracks', 2 * albums), ('music_records', 'raw_awards', 2 * albums),
+    ('report_records', 'raw_reports', good), ('report_records', 'rejected_reports', bad),
+    ('lookups', 'roles', {len(fv.ROLES)}), ('lookups', 'genders', {len(fv.GENDERS)}), ('lookups', 'credit_types', {len(fv.CREDIT_TYPES)}),
+    ('studios', 'studios', least(f, 1)), ('franchises', 'franchises', sagas + o + albums), ('media', 'media', 2 * f + o + albums), ('films', 'films', 2 * f),
+    ('talent', 'talent', voices + 4 * names), ('species', 'species', {len(fv.SPECIES)} + least(d, 1)), ('characters', 'characters', 4 * f + sagas + o + 2 * p),
+    ('character_appearances', 'character_appearances', 10 * f), ('games', 'games', o), ('platforms', 'platforms', {len(fv.PLATFORMS)}),
+    ('game_platforms', 'game_platforms', 0), ('game_sales', 'game_sales', 0), ('soundtracks', 'soundtracks', albums), ('songs', 'songs', 2 * albums),
+    ('song_credits', 'song_credits', 3 * albums), ('award_bodies', 'award_bodies', {len(fv.AWARD_BODIES)} + least(albums, 1)),
+    ('award_categories', 'award_categories', {len(fv.AWARD_CATEGORIES)} + least(albums, 1)), ('nominations', 'nominations', 2 * f),
+    ('box_office_daily', 'box_office_daily', good), ('box_office_weekly', 'box_office_weekly', weeks), ('box_office_total', 'box_office_total', shown)
+  ) AS t(stage, "table", rows))"""
+
+
+def run_catalogue(t, root, **options):
+    album = ALBUM.replace("Film ~k", "Alpha ~k").replace("1994", "1990")
+    stages = catalogue_graph(order_documents(t), soundtrack_files(t, album), event_reports(t))
+    return run_graph(t.spark, stages, root, **options)
+
+
+@query("catalogue_run", RUN_COUNTS)
+def _(t):
+    """All tables from documents, soundtracks and reports: rows and violations of each, as the run reports them."""
+    return run_catalogue(t, fresh_folder(t.spark, "catalogue")).drop("position")
+
+
+@query("catalogue_run_nominations", f"""
+WITH {DOCS} SELECT 'Alpha ' || k AS media_title, CAST(1990 AS INTEGER) AS media_year, body AS award_body, category, CAST(1995 AS INTEGER) AS ceremony_year, result AS outcome
+FROM docs, (VALUES ('Academy Awards', 'Best Original Score', 'won'), ('Local Prize', 'Best Song', 'nominated')) AS a(body, category, result) WHERE s = 'F'""")
+def _(t):
+    """The nominations view on the tables that a run has written; a second attempt of the run finds all stages finished."""
+    root = fresh_folder(t.spark, "catalogue")
+    run_catalogue(t, root)
+    run_catalogue(t, root)
+    named = views.v_nominations(Tables.from_parquet(t.spark, root))
+    return named.select("media_title", "media_year", "award_body", "category", "ceremony_year", "outcome")

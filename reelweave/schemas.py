@@ -92,3 +92,34 @@ RECORD_CONTRACTS = {
         "allowed": {},
     },
 }
+
+# Constraints of conformed tables: columns that may not be null, closed value sets, and ids that are hashes of a unique key.
+TABLE_CONTRACTS = {
+    "studios": {"required": ["id", "name"], "allowed": {"status": ["active", "closed"]}, "unique_id": True},
+    "franchises": {"required": ["id", "name"], "unique_id": True},
+    "media": {
+        "required": ["id", "title", "year", "media_type"], "allowed": {"media_type": ["film", "game", "soundtrack"]},
+        "unique_id": True,
+    },
+    "films": {
+        "required": ["id", "media_id"], "allowed": {"animation_type": ["fully_animated", "hybrid"]}, "unique_id": True,
+    },
+    "games": {"required": ["id", "media_id"], "unique_id": True},
+    "platforms": {"required": ["id", "name"], "unique_id": True},
+    "game_platforms": {"required": ["game_id", "platform_id"]},
+    "talent": {"required": ["id", "name"], "unique_id": True},
+    "species": {"required": ["id", "name"], "unique_id": True},
+    "characters": {"required": ["id", "name", "franchise", "is_anthropomorphic"], "unique_id": True},
+    "character_appearances": {"required": ["id", "character_id", "media_id"]},
+    "soundtracks": {"required": ["id", "media_id"], "unique_id": True},
+    "songs": {"required": ["id", "soundtrack_id", "title"], "unique_id": True},
+    "song_credits": {"required": ["id", "song_id", "talent_id", "credit_type_id"]},
+    "award_bodies": {"required": ["id", "name"], "unique_id": True},
+    "award_categories": {"required": ["id", "award_body_id", "name", "is_media_level"], "unique_id": True},
+    "nominations": {
+        "required": ["id", "media_id", "award_category_id", "outcome"], "allowed": {"outcome": ["nominated", "won"]},
+    },
+    "box_office_daily": {"required": ["id", "report_date", "state_code", "revenue"]},
+    "box_office_weekly": {"required": ["id", "week_number", "total_revenue"]},
+    "box_office_total": {"required": ["id", "total_revenue"]},
+}

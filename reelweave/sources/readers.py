@@ -27,16 +27,30 @@ def read_ndjson(spark: SparkSession, root: str, schema: str) -> DataFrame:
     return rows.withColumn("ingest_date", F.try_to_date(F.nullif(date, F.lit(""))))
 
 
+def json_files(spark: SparkSession, root: str) -> DataFrame:
+    """(value, path) of all JSON files below ``root``, each whole."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root, wholetext=True)
+    return files.select("value", source_path().alias("path"))
+
+
+def file_name() -> Column:
+    return F.element_at(F.split("path", "/"), -1)
+
+
+def document_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files that hold one catalogue document each: without summary and soundtrack files."""
+    return json_files(spark, root).filter(is_catalogue_file(file_name()))
+
+
+def soundtrack_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files that hold the soundtracks of a studio, a JSON array of films each."""
+    name = F.lower(file_name())
+    return json_files(spark, root).filter(name.contains("soundtracks") & ~name.contains("summary"))
+
+
 def read_documents(spark: SparkSession, root: str, skip_dirs: tuple[str, ...] = ()) -> DataFrame:
     """All JSON objects below ``root``, one per file, without summary files and the skipped folders."""
-    files = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
-        .text(root, wholetext=True)
-        .select("value", source_path().alias("path"))
-    )
-    name = F.element_at(F.split("path", "/"), -1)
-    docs = parse_documents(files.filter(is_catalogue_file(name)))
+    docs = parse_documents(document_files(spark, root))
     return docs.filter(~F.col("source_dir").isin(*skip_dirs)) if skip_dirs else docs
 
 
