@@ -12,7 +12,7 @@ from reelweave.registry.catalogue import with_views
 from reelweave.session import fresh_folder
 from reelweave.sinks import upsert, writers
 from reelweave.sources import streams
-from reelweave.streaming import landing, revenue, windows
+from reelweave.streaming import facts, landing, revenue, windows
 
 DAILY = ["film_id", "report_date", "state_code"]
 LATEST = """SELECT film_id, report_date, state_code, CAST(revenue AS DOUBLE) AS revenue FROM event_reports
@@ -158,6 +158,49 @@ def _(t):
         F.count("*").alias("messages"), F.min("_kafka_offset").alias("first_offset"), F.max("_kafka_offset").alias("last_offset"))
 
 
+STREAM_FACTS = f""", latest AS (
+    SELECT film_id, report_date, state_code, revenue FROM (SELECT * FROM event_reports WHERE {BAD.replace('event_type', 'state_code')} = 9)
+    QUALIFY row_number() OVER (PARTITION BY film_id, report_date, state_code ORDER BY ts DESC, event_id DESC) = 1),
+  first AS (SELECT film_id, min(report_date) AS release FROM latest GROUP BY film_id),
+  dated AS (SELECT l.*, m.title AS film_title, m.year AS film_year, isodow(report_date) >= 5 AS is_weekend,
+      CAST(date_diff('day', release, report_date) // 7 + 1 AS INTEGER) AS week_number
+    FROM latest l JOIN first USING (film_id) LEFT JOIN media m ON m.id = film_id)"""
+
+
+def kept_facts(t, table):
+    """A table of the facts after batches of two files each; titles come from the catalogue."""
+    folder = fresh_folder(t.spark, "facts")
+    titles = t.media.select(F.col("id").alias("film_id"), F.col("title").alias("film_title"), F.col("year").alias("film_year"))
+    messages = streams.read_folder(t.spark, message_folder(t), "revenue-events", max_files=2)
+    facts.keep_facts(messages, f"{folder}/tables", f"{folder}/quarantine", f"{folder}/work", titles, buckets=16).awaitTermination()
+    return t.spark.read.schema(facts.SCHEMAS[table]).parquet(f"{folder}/tables/{table}").drop("id", facts.BUCKET)
+
+
+@query("stream_weekly_facts", with_views(
+    STREAM_FACTS + """, weeks AS (
+      SELECT film_id, film_title, film_year, week_number, sum(revenue) AS total_revenue, CAST(sum(revenue) AS DOUBLE) / count(*) AS avg_daily_revenue,
+        count(*) AS days_reporting, count(DISTINCT report_date) AS distinct_days, coalesce(sum(revenue) FILTER (is_weekend), 0) AS weekend_revenue,
+        coalesce(sum(revenue) FILTER (NOT is_weekend), 0) AS weekday_revenue, count(DISTINCT state_code) AS states_reporting FROM dated GROUP BY ALL),
+      chained AS (SELECT *, lag(total_revenue) OVER (PARTITION BY film_id ORDER BY week_number) AS previous FROM weeks)
+    SELECT film_id, film_title, film_year, week_number, CAST(total_revenue AS DOUBLE) AS total_revenue, avg_daily_revenue, days_reporting, distinct_days,
+      CAST(weekend_revenue AS DOUBLE) AS weekend_revenue, CAST(weekday_revenue AS DOUBLE) AS weekday_revenue, states_reporting,
+      CAST(previous AS DOUBLE) AS prev_week_revenue,
+      CASE WHEN previous > 0 THEN CAST(total_revenue - previous AS DOUBLE) / CAST(previous AS DOUBLE) END AS wow_change FROM chained""",
+    "event_reports", "media").replace(")\n, latest", "),\nlatest"))
+def _(t):
+    return kept_facts(t, "weekly")
+
+
+@query("stream_total_facts", with_views(
+    STREAM_FACTS + """ SELECT film_id, film_title, film_year, CAST(sum(revenue) AS DOUBLE) AS total_revenue, min(report_date) AS first_report_date,
+      max(report_date) AS last_report_date, max(week_number) AS weeks_in_release, count(DISTINCT report_date) AS days_in_release,
+      count(DISTINCT state_code) AS states_reached, CAST(sum(revenue) FILTER (week_number = 1) AS DOUBLE) AS opening_week_revenue,
+      CAST(sum(revenue) AS DOUBLE) / count(DISTINCT report_date) AS avg_daily_revenue FROM dated GROUP BY ALL""",
+    "event_reports", "media").replace(")\n, latest", "),\nlatest"))
+def _(t):
+    return kept_facts(t, "total")
+
+
 @query("stream_daily_window", with_views(
     """SELECT report_date, state_code, CAST(sum(revenue) AS DOUBLE) AS total, count(*) AS reports FROM event_reports
        GROUP BY report_date, state_code""", "event_reports"))
