@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelweave.operators import documents as doc
+from reelweave.operators import gram_index
 from reelweave.plans import boxoffice as bo
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
@@ -90,3 +93,16 @@ def _(t):
         (F.floor(F.date_diff("report_date", F.lit("2024-01-01").cast("date")) / 7) + 1).cast("int").alias("week_number"),
         (F.weekday("report_date") >= 4).alias("is_weekend"))
     return bo.build_weekly(daily).select("film_id", "film_title", "week_number", "total_revenue", "prev_week_revenue")
+
+
+INDEXED = ["th", "the", "Thless", "tionsh", "ción", "absent words", "e. In", "https://", "x"]
+
+
+@query("search_indexed", "SELECT wanted, doc_id, source FROM documents, (VALUES " + ", ".join(f"('{w}')" for w in INDEXED) + """) AS v(wanted)
+WHERE contains(lower(text), lower(wanted)) OR contains(lower(source), lower(wanted))""")
+def _(t):
+    """Documents whose text or source contains a text, by the gram index of both columns."""
+    path = fresh_folder(t.spark, "grams")
+    gram_index.build_index(t.raw("documents"), "doc_id", ["text", "source"], path)
+    found = [gram_index.search(t.spark, path, ["text", "source"], w).select(F.lit(w).alias("wanted"), F.col("key").alias("doc_id"), "source") for w in INDEXED]
+    return reduce(DataFrame.unionByName, found)
