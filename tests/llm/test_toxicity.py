@@ -112,3 +112,45 @@ def test_the_sample_is_bounded_and_in_hash_order(spark):
     many = spark.range(2000).select(F.lit(toxic[0]).alias("doc_id"), F.concat(F.lit("copy "), "id").alias("text"))
     assert tx.training_rows(many, labels, sample=sample) == (["copy 0"], [1])
     assert len(tx.training_rows(docs, labels, sample=tx.Sample(20, 30, 100, 90))[0]) < 12
+
+
+def plain_score(net, text):
+    """The score of a text, one window, word and step at a time."""
+    words = [w.lower().strip(tx.EDGES) for w in text.split()]
+    if not words:
+        return 0.0
+
+    def vector(word):
+        if not word:
+            return net.p["blank"][0]
+        letters, rows = f"<{word}>".encode(), []
+        for a, b, c in zip(letters, letters[1:], letters[2:]):  # noqa: B905
+            h = (a * 0x9E3779B1 & 0xFFFFFFFF) ^ (b * 0x85EBCA6B & 0xFFFFFFFF) ^ (c * 0xC2B2AE35 & 0xFFFFFFFF)
+            rows.append(net.p["char"][((h ^ h >> 15) * 0x2C1B3C6D & 0xFFFFFFFF) >> 20])
+        return net.p["word"][net.vocabulary.get(word, 0)] + sum(rows) / len(rows)
+
+    def states(window, way):
+        h, out = np.zeros(tx.UNITS), []
+        for word in window:
+            x, g = vector(word) @ net.p[f"in_{way}"] + net.p[f"bias_{way}"], h @ net.p[f"re_{way}"]
+            keep, reset = (1 / (1 + np.exp(-(x[k : k + tx.UNITS] + g[k : k + tx.UNITS]))) for k in (0, tx.UNITS))
+            h = keep * h + (1 - keep) * np.tanh(x[2 * tx.UNITS :] + reset * g[2 * tx.UNITS :])
+            out.append(h)
+        return out
+
+    starts = [0] if len(words) <= 32 else sorted({*range(0, len(words) - 32, 16), len(words) - 32})
+    best = 0.0
+    for start in starts:
+        window = words[start : start + 32]
+        both = [np.concatenate(s) for s in zip(states(window, "f"), states(window[::-1], "b")[::-1], strict=True)]
+        attention = np.exp([np.tanh(s @ net.p["att"]) @ net.p["pick"] for s in both])
+        pooled = sum(a * s for a, s in zip(attention / attention.sum(), both, strict=True))
+        best = max(best, float(1 / (1 + np.exp(-(pooled @ net.p["out"] + net.p["base"][0])))))
+    return best
+
+
+def test_scores_against_a_plain_loop(small):
+    rng = np.random.default_rng(4)
+    words = ["the", "of", "nitwit", "Blockhead!", "...", "être", "x", "in", "«to»", "unseen-word"]
+    texts = ["", "nitwit", "..."] + [" ".join(rng.choice(words, n)) for n in (2, 31, 32, 33, 40, 48, 64, 65, 100)]
+    assert np.allclose(tx.Scorer(small).scores(texts), [plain_score(small, t) for t in texts], atol=1e-4)
