@@ -324,7 +324,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
              CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey % 3 + 1 AS BIGINT) END AS gender_id,
              CASE WHEN c_nationkey <> 24 THEN n_name END AS species,
              CAST(1970 + p_size AS INTEGER) AS first_appearance_year, CAST(substr(p_brand, 7) AS BIGINT) AS studio_id,
-             CASE WHEN c_nationkey % 6 = 1 THEN c_nationkey % 5 + 1 END AS species_id,
+             CASE WHEN c_nationkey % 6 = 1 THEN CAST(c_nationkey % 5 + 1 AS BIGINT) END AS species_id,
              CASE WHEN c_custkey % 7 = 0 THEN 'form ' || (c_custkey % 3) END AS species_subtype, c_custkey % 4 = 0 AS is_anthropomorphic
            FROM customer LEFT JOIN part ON p_partkey = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey""",
     ),
