@@ -1,6 +1,6 @@
 """Near-duplicate embeddings of one label: cells by spherical k-means, blocked cosine products inside them.
 
-Method: for every label with more rows than a cell should hold, spherical k-means is fitted on a bounded sample. Each vector
+Method: for every label of two or more vectors, spherical k-means is fitted on a bounded sample. Each vector
 is at home in the cell of its nearest centre. Vectors that could be linked across a border also visit the other cell: a
 vector at an angle of at most t from x can lie nearer to centre b than to x's own centre a only if x.(a - b) is at most
 sin(t) |a - b|, so no link is lost. In a cell, homes are compared with homes and visitors in blocks; links are counted for the
@@ -24,6 +24,7 @@ from reelweave.session import handoff
 
 MIN_COSINE = 0.93
 CELL_ROWS = 1024  # a label gets a cell per so many rows
+MIN_CELLS = 2  # and at least so many, if it has as many vectors
 MAX_CELLS = 1024
 SAMPLE = 20_000  # rows of a label that its centres are fitted on, in the order of a hash
 BLOCK = 2048  # rows of a cell that one task compares with as many others
@@ -130,7 +131,8 @@ def near_duplicate_vectors(
     distinct = stored(distinct.withColumn("dims", F.size("vector")), "distinct")
 
     labels = distinct.groupBy("label", "dims").agg(F.count("*").alias("rows"))
-    cells = F.least(F.ceil(F.col("rows") / cell_rows), F.lit(MAX_CELLS)).cast("int")
+    wanted = F.least(F.greatest(F.ceil(F.col("rows") / cell_rows), F.lit(MIN_CELLS)), F.lit(MAX_CELLS))
+    cells = F.least(wanted, "rows").cast("int")
     labels = handoff(labels.withColumn("cells", cells).withColumn("shares", F.ceil(F.col("rows") / 16384).cast("int")))
     spread = distinct.join(labels, ["label", "dims"])
     first = F.row_number().over(W.partitionBy("label", "dims").orderBy(F.xxhash64("node"), "node"))

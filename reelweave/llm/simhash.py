@@ -1,18 +1,20 @@
 """SimHash near-duplicates: fingerprints of word shingles, linked by an inverted index of positional bytes.
 
 Method: a fingerprint is eight bytes, and two fingerprints that differ in at most four bits agree in at least four of these
-positions: that is the guaranteed minimum of the count filter. The index lists fingerprints by what they have at certain
+positions: that is the guaranteed minimum of the count filter. The index lists fingerprints by the bytes they have at certain
 positions. A list for a single positional byte would hold a 256th of everything, so that pairs drawn from it would grow with
-the square of the corpus; the lists here are for the minimum itself, all choices of four positions with their four bytes.
-Every pair that reaches the minimum meets in a list, others almost never. In a list, the shared positional bytes of pairs are
-tallied, pairs below the minimum are dropped, and the others are verified by their differing bits.
+the square of the corpus; the lists here are for choices of three positions (an argument), one fewer than the minimum. Every
+pair that reaches the minimum meets in a list, in fact in several. In a list, the positional bytes that each pair shares are
+tallied over all eight positions; pairs below the minimum are dropped, and the others are verified by their differing bits.
 
-Lists never emit pairs: a list gives the edges of a spanning forest of its links, which keep its members connected. Members of
-long lists are dealt into blocks, and each two blocks are compared in a task of their own. Equal fingerprints are one node.
+Lists never emit pairs. A task walks its lists in sorted order, many of them in one step: it gives the edges of a spanning
+forest of their links, which keep the members connected. Members of long lists are dealt into blocks, and each two blocks are
+compared as a list of their own. Equal fingerprints are one node.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -31,8 +33,9 @@ SHINGLE_WORDS = 4
 SEED = 42
 MAX_BITS = 4
 POSITIONS = 8
-BLOCK = 4096  # fingerprints of a list that one task compares with as many others
+BLOCK = 4096  # fingerprints of a list that are compared with as many others
 ROWS = 256  # of them at a time
+SHORT = 64  # lists of up to so many rows are compared together with other such lists
 
 
 def fingerprint(text: str, words: int = SHINGLE_WORDS) -> int:
@@ -76,53 +79,93 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
     return map_texts(docs, [key], text, [field], "fp bigint", make)
 
 
-def index_keys(fp: str, minimum: int) -> Column:
-    """The lists that a fingerprint belongs to: each choice of ``minimum`` positions, with the bytes it has there."""
+def index_keys(fp: str, listed: int) -> Column:
+    """The lists that a fingerprint belongs to: each choice of ``listed`` positions, with the bytes it has there."""
     lists = []
-    for choice, positions in enumerate(combinations(range(POSITIONS), minimum)):
+    for choice, positions in enumerate(combinations(range(POSITIONS), listed)):
         mask = sum(0xFF << (8 * p) for p in positions)
         mask = mask - (1 << 64) if mask >> 63 else mask
         lists.append(F.struct(F.lit(choice).cast("short").alias("choice"), F.col(fp).bitwiseAND(F.lit(mask)).alias("bytes")))
     return F.explode(F.array(*lists))
 
 
-def _links(first: np.ndarray, second: np.ndarray, minimum: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest between two blocks (the same block twice, or two different ones)."""
-    nodes = first if first is second else np.concatenate([first, second])
+def near_pairs(first: np.ndarray, second: np.ndarray, minimum: int, max_bits: int) -> np.ndarray:
+    """Which pairs of fingerprints (arrays of one shape after broadcasting) link: the tally of shared positional bytes
+    rejects those below the minimum, the differing bits decide the others."""
+    differ = np.bitwise_xor(first, second)
+    shared = np.zeros(differ.shape, np.uint8)
+    for p in range(POSITIONS):
+        shared += (differ >> np.uint64(8 * p)) & np.uint64(0xFF) == 0
+    near = shared >= minimum
+    near[near] = np.bitwise_count(differ[near]) <= max_bits
+    return near
+
+
+def _list_links(rows: pd.DataFrame, begins: np.ndarray, minimum: int, max_bits: int) -> pd.DataFrame:
+    """Links of a spanning forest of whole lists, which begin at the given rows."""
+    prints, side = rows["fp"].to_numpy(np.int64).view(np.uint64), rows["side"].to_numpy()
+    within = (rows["low"] == rows["high"]).to_numpy()
+    nodes, node = np.unique(prints, return_inverse=True)
     forest = Forest(len(nodes))
-    offset = 0 if first is second else len(first)
-    positional = second.view(np.uint8).reshape(-1, POSITIONS)
-    for at in range(0, len(first), ROWS):
-        block = first[at : at + ROWS]
-        shared = np.zeros((len(block), len(second)), np.uint8)
-        mine = block.view(np.uint8).reshape(-1, POSITIONS)
-        for p in range(POSITIONS):  # the tally of shared positional bytes
-            shared += mine[:, p, None] == positional[None, :, p]
-        i, j = np.nonzero(shared >= minimum)
-        near = np.bitwise_count(block[i] ^ second[j]) <= max_bits  # the proof
-        forest.add(i[near] + at, j[near] + offset)
+    lengths = np.diff(np.append(begins, len(prints)))
+    short = np.nonzero(np.repeat(lengths <= SHORT, lengths))[0]
+    number = np.repeat(np.arange(len(lengths)), lengths)[short]
+    for apart in range(1, min(SHORT, len(short))):
+        i = np.nonzero(number[:-apart] == number[apart:])[0]
+        if not len(i):
+            break
+        i, j = short[i], short[i + apart]
+        meet = within[i] | (side[i] != side[j])
+        i, j = i[meet], j[meet]
+        near = near_pairs(prints[i], prints[j], minimum, max_bits)
+        forest.add(node[i[near]], node[j[near]])
+    for begin, length in zip(begins[lengths > SHORT], lengths[lengths > SHORT], strict=True):
+        at = np.arange(begin, begin + length)
+        left = at[side[at] == 0]
+        right = left if within[begin] else at[side[at] == 1]
+        for k in range(0, len(left), ROWS):
+            part = left[k : k + ROWS]
+            i, j = np.nonzero(near_pairs(prints[part][:, None], prints[right][None, :], minimum, max_bits))
+            forest.add(node[part[i]], node[right[j]])
     i, j = forest.edges()
-    return nodes[i], nodes[j]
+    return pd.DataFrame({"a": nodes[i].view(np.int64), "b": nodes[j].view(np.int64)})
 
 
 def _compare(minimum: int, max_bits: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        prints, side = rows["fp"].to_numpy(np.int64).view(np.uint64), rows["side"].to_numpy()
-        left = prints[side == 0]
-        right = left if rows["low"].iat[0] == rows["high"].iat[0] else prints[side == 1]
-        a, b = _links(left, right, minimum, max_bits)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+    keys = ["choice", "bytes", "low", "high"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None  # the list that the batch before ended in
+        for rows in batches:
+            if rest is not None:
+                rows = pd.concat([rest, rows], ignore_index=True)
+            if not len(rows):
+                continue
+            values = rows[keys].to_numpy(np.int64)
+            begins = np.append(0, np.nonzero((values[1:] != values[:-1]).any(axis=1))[0] + 1)
+            rest = rows.iloc[begins[-1] :]
+            if len(begins) > 1:
+                yield _list_links(rows.iloc[: begins[-1]], begins[:-1], minimum, max_bits)
+        if rest is not None:
+            yield _list_links(rest, np.zeros(1, int), minimum, max_bits)
 
     return run
 
 
-def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, listed: int | None = None) -> DataFrame:
     """``a, b``: links between different fingerprints (column ``fp``, distinct) that connect all that differ in at most
-    ``max_bits`` bits, directly or in steps. Lists with one member are dropped before anything is compared."""
+    ``max_bits`` bits, directly or in steps. Lists with one member are dropped before anything is compared.
+
+    ``listed`` positions make a list, by default one fewer than the minimum that near fingerprints share (and at least one). With
+    as many as the minimum itself lists are shorter, but more, which pays beyond some hundred million fingerprints.
+    """
     minimum = POSITIONS - max_bits
     if minimum < 1:
         raise ValueError("fingerprints must share a positional byte, so that at most 7 bits may differ")
-    lists = prints.select("fp", index_keys("fp", minimum).alias("list")).select("fp", "list.choice", "list.bytes")
+    listed = max(1, minimum - 1) if listed is None else listed
+    if not 1 <= listed <= minimum:
+        raise ValueError("lists of more positions than the minimum would lose links")
+    lists = prints.select("fp", index_keys("fp", listed).alias("list")).select("fp", "list.choice", "list.bytes")
     sizes = handoff(lists.groupBy("choice", "bytes").agg(F.count("*").alias("n")).where(F.col("n") > 1))
     members = lists.join(sizes, ["choice", "bytes"])
     blocks = F.ceil(F.col("n") / block).cast("int")
@@ -133,7 +176,10 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int =
     cells = F.concat(left, F.filter(right, lambda x: x["low"] < x["high"]))
     placed = members.select("fp", "choice", "bytes", F.explode(cells).alias("at"))
     placed = placed.select("fp", "choice", "bytes", "at.*")
-    return placed.groupBy("choice", "bytes", "low", "high").applyInPandas(_compare(minimum, max_bits), "a bigint, b bigint")
+    width = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["choice", "bytes", "low", "high"]
+    placed = placed.repartition(width, *keys).sortWithinPartitions(*keys)  # a number, so that AQE does not merge small bytes of costly work
+    return placed.mapInPandas(_compare(minimum, max_bits), "a bigint, b bigint")
 
 
 def near_duplicates(

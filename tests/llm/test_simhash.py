@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from reelweave.llm import simhash
 from reelweave.llm.common import connected_components
@@ -67,8 +68,8 @@ def test_links_in_blocks_lose_nothing(spark):
     names = {}
     for k, v in signed.items():
         names.setdefault(v, k)
-    for block in (7, 4096):
-        links = simhash.fingerprint_links(frame, block=block)
+    for block, listed in ((7, None), (100, 3), (4096, None), (4096, 4), (4096, 2)):
+        links = simhash.fingerprint_links(frame, block=block, listed=listed)
         groups = {r.node: r.component for r in connected_components(links).collect()}
         found = {}
         for v in names:
@@ -81,9 +82,30 @@ def test_links_in_blocks_lose_nothing(spark):
 
 
 def test_lists_do_not_emit_pairs(spark):
-    """A group of n near copies gives at most n - 1 edges per list, and each is in 70 lists; its links are n²/2."""
+    """A group of n near copies gives at most n - 1 edges per list, and each is in 56 lists; its links are n²/2."""
     frame = spark.range(1024).withColumnRenamed("id", "fp")
-    assert simhash.fingerprint_links(frame).count() < 70 * 1024
+    assert simhash.fingerprint_links(frame).count() < 56 * 1024
+
+
+def test_the_tally_rejects_pairs_of_a_list():
+    """A pair in a list of three positions is rejected for its shared bytes alone, before any bit is counted."""
+    prints = np.array([0, 0x0101010101 << 24, 0x01010101 << 32, 0xFF01 << 48, 1 << 63], np.uint64)
+    shared = [sum((int(p) >> 8 * k) & 0xFF == 0 for k in range(8)) for p in prints]
+    for minimum in (3, 4, 5):
+        found = simhash.near_pairs(prints[:1, None], prints[None, :], minimum, 64)[0]
+        assert found.tolist() == [n >= minimum for n in shared]
+    assert shared[1] == 3 and not simhash.near_pairs(prints[0], prints[1:2], 4, 64)[0]
+    assert simhash.near_pairs(prints[0], prints, 4, 4).tolist() == [True, False, True, False, True]
+
+
+def test_links_of_other_widths(spark, table, values):
+    frame = table("fp BIGINT", (0,), (1,), (3,), (255,), (-1,))
+    assert values(connected_components(simhash.fingerprint_links(frame, max_bits=1))) == [(0, 0), (1, 0), (3, 0)]
+    assert connected_components(simhash.fingerprint_links(frame, max_bits=7)).count() == 4
+    with pytest.raises(ValueError):
+        simhash.fingerprint_links(frame, listed=5)
+    with pytest.raises(ValueError):
+        simhash.fingerprint_links(frame, max_bits=8)
 
 
 def test_frames(table, values):
