@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelweave.operators import documents as doc
-from reelweave.operators import gram_index
+from reelweave.operators import gram_index, offsets
 from reelweave.plans import boxoffice as bo
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
@@ -106,3 +106,32 @@ def _(t):
     gram_index.build_index(t.raw("documents"), "doc_id", ["text", "source"], path)
     found = [gram_index.search(t.spark, path, ["text", "source"], w).select(F.lit(w).alias("wanted"), F.col("key").alias("doc_id"), "source") for w in INDEXED]
     return reduce(DataFrame.unionByName, found)
+
+
+@query("offset_ledger", """
+WITH landed AS (SELECT 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS at FROM events WHERE event_type <> 'error'
+  UNION ALL SELECT 'events', CAST(event_id % 4 AS INTEGER), event_id // 4 FROM events WHERE event_type = 'click' AND user_id % 10 = 0),
+once AS (SELECT topic, partition, at, count(*) AS records FROM landed GROUP BY ALL),
+numbered AS (SELECT *, at - row_number() OVER (PARTITION BY topic, partition ORDER BY at) AS island FROM once),
+ranges AS (SELECT topic, partition, min(at) AS first, max(at) AS last, CAST(sum(records) AS BIGINT) AS records FROM numbered GROUP BY topic, partition, island),
+gaps AS (SELECT topic, partition, last + 1 AS first, lead(first) OVER (PARTITION BY topic, partition ORDER BY first) - 1 AS last FROM ranges)
+SELECT 'landed' AS kind, topic, partition, first, last, records, records - (last - first + 1) AS repeats FROM ranges
+UNION ALL SELECT 'missing', topic, partition, first, last, 0, 0 FROM gaps WHERE last IS NOT NULL
+UNION ALL SELECT 'commit', topic, partition, min_by(last, first) + 1, max(last), CAST(sum(records) AS BIGINT),
+  CAST(sum(records - (last - first + 1)) AS BIGINT) FROM ranges GROUP BY topic, partition""")
+def _(t):
+    """Events as records of a topic with four partitions: errors never land, some clicks land again in a second batch."""
+    path = fresh_folder(t.spark, "ledger")
+    rows = t.raw("events").select(
+        F.lit("events").alias("_kafka_topic"), (F.col("event_id") % 4).cast("int").alias("_kafka_partition"),
+        F.expr("event_id div 4").alias("_kafka_offset"), "event_type", "user_id")
+    offsets.write_batch(rows.where("event_type <> 'error'"), path, 0)
+    offsets.write_batch(rows.where("event_type = 'click' AND user_id % 10 = 0"), path, 1)
+    ledger = offsets.read_ledger(t.spark, path)
+    none = F.lit(0).cast("bigint")
+    landed = ledger.select(
+        F.lit("landed").alias("kind"), "*", (F.col("records") - (F.col("last") - F.col("first") + 1)).alias("repeats"))
+    missing = offsets.missing_ranges(ledger).select(F.lit("missing").alias("kind"), "*", none.alias("records"), none.alias("repeats"))
+    commits = offsets.commit_points(ledger).select(
+        F.lit("commit").alias("kind"), "topic", "partition", F.col("next_offset").alias("first"), F.col("highest").alias("last"), "records", "repeats")
+    return landed.unionByName(missing).unionByName(commits)
