@@ -109,11 +109,11 @@ def _(t):
 
 
 @query("offset_ledger", """
-WITH landed AS (SELECT 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS at FROM events WHERE event_type <> 'error'
+WITH landed AS (SELECT 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS place FROM events WHERE event_type <> 'error'
   UNION ALL SELECT 'events', CAST(event_id % 4 AS INTEGER), event_id // 4 FROM events WHERE event_type = 'click' AND user_id % 10 = 0),
-once AS (SELECT topic, partition, at, count(*) AS records FROM landed GROUP BY ALL),
-numbered AS (SELECT *, at - row_number() OVER (PARTITION BY topic, partition ORDER BY at) AS island FROM once),
-ranges AS (SELECT topic, partition, min(at) AS first, max(at) AS last, CAST(sum(records) AS BIGINT) AS records FROM numbered GROUP BY topic, partition, island),
+once AS (SELECT topic, partition, place, count(*) AS records FROM landed GROUP BY ALL),
+numbered AS (SELECT *, place - row_number() OVER (PARTITION BY topic, partition ORDER BY place) AS island FROM once),
+ranges AS (SELECT topic, partition, min(place) AS first, max(place) AS last, CAST(sum(records) AS BIGINT) AS records FROM numbered GROUP BY topic, partition, island),
 gaps AS (SELECT topic, partition, last + 1 AS first, lead(first) OVER (PARTITION BY topic, partition ORDER BY first) - 1 AS last FROM ranges)
 SELECT 'landed' AS kind, topic, partition, first, last, records, records - (last - first + 1) AS repeats FROM ranges
 UNION ALL SELECT 'missing', topic, partition, first, last, 0, 0 FROM gaps WHERE last IS NOT NULL
