@@ -13,7 +13,7 @@ from reelweave.operators import gram_index, offsets
 from reelweave.plans import boxoffice as bo
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
-from reelweave.session import fresh_folder
+from reelweave.session import fresh_folder, handoff
 from reelweave.sinks import writers
 from reelweave.sources import readers
 
@@ -127,7 +127,7 @@ def _(t):
         F.expr("event_id div 4").alias("_kafka_offset"), "event_type", "user_id")
     offsets.write_batch(rows.where("event_type <> 'error'"), path, 0)
     offsets.write_batch(rows.where("event_type = 'click' AND user_id % 10 = 0"), path, 1)
-    ledger = offsets.read_ledger(t.spark, path)
+    ledger = handoff(offsets.read_ledger(t.spark, path))  # read three times below
     none = F.lit(0).cast("bigint")
     landed = ledger.select(
         F.lit("landed").alias("kind"), "*", (F.col("records") - (F.col("last") - F.col("first") + 1)).alias("repeats"))
