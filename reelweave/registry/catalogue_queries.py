@@ -8,6 +8,7 @@ from reelweave import fixed_values as fv
 from reelweave.operators import relational as rel
 from reelweave.plans import boxoffice as bo
 from reelweave.plans import insights, marts, people, views
+from reelweave.plans.partners import top_partners
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
 
@@ -697,6 +698,16 @@ def _(t):
     return insights.co_appearances(t)
 
 
+@query("top_partners", with_views(
+    """SELECT character_id, CAST(rank AS INTEGER) AS rank, partner_id, shared_titles
+       FROM (SELECT a.character_id, b.character_id AS partner_id, count(*) AS shared_titles,
+               row_number() OVER (PARTITION BY a.character_id ORDER BY count(*) DESC, b.character_id) AS rank
+             FROM appearances a JOIN appearances b ON b.media_id = a.media_id AND b.character_id <> a.character_id
+             GROUP BY a.character_id, b.character_id) WHERE rank <= 5""", "appearances"))
+def _(t):
+    return top_partners(t.character_appearances, 5)
+
+
 @query("wins_by_decade", with_views(
     """SELECT CAST(year // 10 * 10 AS INTEGER) AS decade, count(*) FILTER (WHERE outcome = 'won') AS wins, count(*) AS entries
        FROM nominations GROUP BY 1""", "nominations"))
