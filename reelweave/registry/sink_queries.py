@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reelweave.functions.measures import MONEY
-from reelweave.plans import stages
+from reelweave.plans import marts, stages
 from reelweave.plans.builders import NOMINATION_KEYS, upsert_nominations
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
+from reelweave.registry.catalogue_queries import FILMS_COMPLETE
 from reelweave.session import fresh_folder
 from reelweave.sinks import upsert, writers
+from reelweave.sinks.buckets import write_bucketed
 from reelweave.sources import streams
 from reelweave.streaming import facts, landing, revenue, windows
 
@@ -220,3 +222,11 @@ def _(t):
        FROM event_reports""", "event_reports"))
 def _(t):
     return revenue.with_week_number(t.event_reports(), ["film_id"]).select("film_id", "report_date", "state_code", "week_number", "event_id")
+
+
+@query("films_complete_bucketed", with_views(FILMS_COMPLETE, "films", "media", "studios", "franchises", "total"))
+def _(t):
+    layout = {"media": "id", "films": "media_id", "box_office_total": "film_id"}
+    root = fresh_folder(t.spark, "buckets")
+    bucketed = write_bucketed(t.spark, t, root, root.rsplit("/", 1)[-1].replace("-", "_"), layout, 8)
+    return marts.films_complete(bucketed)
