@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from reelweave import fixed_values as fv
 from reelweave.functions.measures import MONEY, filtered_sum, mean, percent, ratio, sum_where, with_share
 from reelweave.functions.text import iso_date
-from reelweave.operators.keys import surrogate_key
+from reelweave.operators.keys import dense_index, surrogate_key
 from reelweave.operators.relational import composite_lookup, lookup_inner, top_k, top_per_group
+from reelweave.operators.word_sets import merged_counts, set_words
 from reelweave.plans.tables import Tables
 from reelweave.session import handoff
 
@@ -278,3 +279,23 @@ def yearly_trend(t: Tables) -> DataFrame:
         )
         .orderBy("year")
     )
+
+
+def reach_by_level(t: Tables) -> DataFrame:
+    """Distinct days and states with a report by film, by studio and overall, from one pass over the reports.
+
+    States are numbered densely. The words of the films are written once and merged into each level.
+    """
+    daily = t.box_office_daily.filter(F.col("film_id").isNotNull()).select("film_id", "report_date", "state_code")
+    states = daily.select("state_code").filter(F.col("state_code").isNotNull()).distinct()
+    numbered = daily.join(handoff(dense_index(states, ["state_code"], "state", start=0)), "state_code", "left")
+    words = handoff(set_words(numbered, ["film_id"], {"day": F.unix_date("report_date"), "state": F.col("state")}))
+    studios = t.films.select(F.col("id").alias("film_id"), "studio_id")
+    counts = {"distinct_days": "day", "states": "state"}
+    levels = {"film": (words, ["film_id"]), "studio": (words.join(studios, "film_id"), ["studio_id"]), "all": (words, [])}
+    out = None
+    for level, (rows, keys) in levels.items():
+        key = F.col(keys[0]) if keys else F.lit(None)
+        part = merged_counts(rows, keys, counts).select(F.lit(level).alias("level"), key.cast("bigint").alias("key"), *counts)
+        out = part if out is None else out.unionByName(part)
+    return out

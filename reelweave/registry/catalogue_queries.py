@@ -708,6 +708,17 @@ def _(t):
     return top_partners(t.character_appearances, 5)
 
 
+@query("reach_by_level", with_views(
+    """SELECT 'film' AS level, film_id AS key, count(DISTINCT report_date) AS distinct_days, count(DISTINCT state_code) AS states
+       FROM daily WHERE film_id IS NOT NULL GROUP BY film_id
+       UNION ALL SELECT 'studio', f.studio_id, count(DISTINCT report_date), count(DISTINCT state_code)
+       FROM daily d JOIN films f ON f.id = d.film_id GROUP BY f.studio_id
+       UNION ALL SELECT 'all', CAST(NULL AS BIGINT), count(DISTINCT report_date), count(DISTINCT state_code)
+       FROM daily WHERE film_id IS NOT NULL""", "daily", "films"))
+def _(t):
+    return bo.reach_by_level(t)
+
+
 @query("wins_by_decade", with_views(
     """SELECT CAST(year // 10 * 10 AS INTEGER) AS decade, count(*) FILTER (WHERE outcome = 'won') AS wins, count(*) AS entries
        FROM nominations GROUP BY 1""", "nominations"))
