@@ -17,7 +17,7 @@ from reelweave.plans.tables import Tables
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
 from reelweave.registry.text_queries import _quoted
-from reelweave.session import fresh_folder, handoff
+from reelweave.session import fresh_folder, written
 
 SHAPES = {
     "F": """{"franchise": "Saga ~c", "studio": "Blue Sky Co", "films": ["Alpha ~k (1990)", "Beta ~k (1995)", "Gamma"],
@@ -207,11 +207,11 @@ def _(t):
 WITH {GAMES} SELECT g.title, g.year, g.developer, g.publisher, p.name AS platform FROM games g
 LEFT JOIN (VALUES (2004, 'Nintendo DS'), (2004, 'Nintendo Wii'), (2004, 'PlayStation 2')) AS p(year, name) ON p.year = g.year""")
 def _(t):
-    rows = handoff(doc.game_rows(doc.parse_documents(game_documents(t))))
+    rows = written(doc.game_rows(doc.parse_documents(game_documents(t))))
     records = rows.select("title", "year", "franchise", F.lit("game").alias("media_type"))
     franchises = records.select(F.col("franchise").alias("name")).distinct().withColumn("id", F.xxhash64("name"))
     media = b.build_media(records, franchises)
-    games = handoff(b.build_games(rows, media))
+    games = written(b.build_games(rows, media))
     platforms = b.build_platforms(games, t.platforms.filter(F.col("name") != "Nintendo Wii"))
     links = b.build_game_platforms(games, platforms).join(platforms.withColumnRenamed("id", "platform_id"), "platform_id")
     titled = games.join(media.select(F.col("id").alias("media_id"), "title", "year"), "media_id")
@@ -275,14 +275,14 @@ def _(t):
 
 def music(t):
     """Media, soundtracks and songs built from the soundtrack files."""
-    releases = handoff(doc.release_rows(soundtracks(t)))
+    releases = written(doc.release_rows(soundtracks(t)))
     films = releases.select(F.col("film").alias("title"), F.col("film_year").alias("year"), F.col("film").alias("franchise"), F.lit("film").alias("media_type"))
     albums = b.soundtrack_media(releases)
     franchises = albums.select(F.col("franchise").alias("name")).distinct().withColumn("id", F.xxhash64("name"))
-    media = handoff(b.build_media(films.unionByName(albums), franchises))
-    tracks = doc.track_rows(releases)
-    built = handoff(b.build_soundtracks(releases, media))
-    return releases, media, tracks, built, handoff(b.build_songs(tracks, built))
+    media = written(b.build_media(films.unionByName(albums), franchises))
+    tracks = written(doc.track_rows(releases))
+    built = written(b.build_soundtracks(releases, media))
+    return releases, media, tracks, built, written(b.build_songs(tracks, built))
 
 
 @query("build_soundtracks", """
@@ -298,7 +298,7 @@ SELECT 'Album ' || o_orderkey AS release_title, 'Song A' AS song, who || ' ' ||
 FROM orders, (VALUES ('Singer', 'performer'), ('Band', 'performer'), ('Writer', 'composer')) AS v(who, kind)""")
 def _(t):
     _, _, tracks, built, songs = music(t)
-    credits = doc.song_credit_rows(tracks)
+    credits = written(doc.song_credit_rows(tracks))
     talent = b.build_talent(credits, "name")
     links = b.build_song_credits(credits, songs, built, talent, t.credit_types)
     albums = built.select(F.col("id").alias("soundtrack_id"), "release_title")
@@ -313,7 +313,7 @@ SELECT 'Film ' || o_orderkey AS film, body AS award_body, category, level AS is_
 FROM orders, (VALUES ('Academy Awards', 'Best Original Score', 'won', NULL, false), ('Local Prize', 'Best Song', 'nominated', 'Song A', false)) AS v(body, category, result, song, level)""")
 def _(t):
     _, media, _, built, songs = music(t)
-    awards = handoff(doc.award_rows(soundtracks(t)))
+    awards = written(doc.award_rows(soundtracks(t)))
     bodies = b.build_award_bodies(awards, t.award_bodies)
     categories = b.build_award_categories(awards, bodies, t.award_categories)
     rows = b.nomination_rows(awards, bodies, categories, media, b.song_lookup(songs, built, media))
