@@ -122,17 +122,29 @@ def message_folder(t):
     return folder
 
 
+DELIVERIES = 8
+
+
+def in_deliveries(t, folder, files):
+    """The messages of a folder as a stream: batches of so many files, or of an eighth of all files where that is more.
+
+    So the number of batches, each of which rewrites what it touches, does not grow with the events.
+    """
+    found = len(t.spark.read.schema("value STRING").json(folder).inputFiles())
+    return streams.read_folder(t.spark, folder, "revenue-events", max_files=max(files, -(-found // DELIVERIES)))
+
+
 GOOD = f"SELECT * FROM event_reports e JOIN events USING (event_id) WHERE {BAD.replace('event_type', 'events.event_type')} = 9"
 
 
 @query("stream_upsert_daily", with_views(
     LATEST.replace("FROM event_reports", f"FROM (SELECT * FROM event_reports WHERE {BAD.replace('event_type', 'state_code')} = 9)"), "event_reports"))
 def _(t):
-    """Batches of two files in no particular order; a second query then replays everything at once."""
+    """Batches of two or more files in no particular order; a second query then replays everything at once."""
     folder = fresh_folder(t.spark, "daily")
     source = message_folder(t)
-    for run, files in (("first", 2), ("replay", None)):
-        messages = streams.read_folder(t.spark, source, "revenue-events", max_files=files)
+    first, replay = in_deliveries(t, source, 2), streams.read_folder(t.spark, source, "revenue-events")
+    for run, messages in (("first", first), ("replay", replay)):
         revenue.upsert_daily(messages, f"{folder}/table", f"{folder}/quarantine-{run}", f"{folder}/{run}").awaitTermination()
     stored = t.spark.read.schema(revenue.DAILY_SCHEMA).parquet(f"{folder}/table")
     return stored.select(*revenue.DAILY_KEYS, "revenue")
@@ -143,7 +155,7 @@ SELECT event_id AS _kafka_offset, CASE {BAD} WHEN 0 THEN 'malformed' WHEN 1 THEN
 FROM events WHERE {BAD} < 9""")
 def _(t):
     folder = fresh_folder(t.spark, "quarantine")
-    messages = streams.read_folder(t.spark, message_folder(t), "revenue-events", max_files=2)
+    messages = in_deliveries(t, message_folder(t), 2)
     revenue.upsert_daily(messages, f"{folder}/table", f"{folder}/quarantine", f"{folder}/work").awaitTermination()
     return t.spark.read.parquet(f"{folder}/quarantine").select("_kafka_offset", "reason")
 
@@ -153,7 +165,7 @@ SELECT 'revenue-events' AS topic, CAST(user_id % 3 AS BIGINT) AS _kafka_partitio
 FROM events GROUP BY user_id % 3""")
 def _(t):
     folder = fresh_folder(t.spark, "landing")
-    messages = streams.read_folder(t.spark, message_folder(t), "revenue-events", max_files=1)
+    messages = in_deliveries(t, message_folder(t), 1)
     landing.land_topics(messages, f"{folder}/raw", f"{folder}/work").awaitTermination()
     landed = t.spark.read.schema("value STRING, _kafka_partition BIGINT, _kafka_offset BIGINT, topic STRING, ingest_date DATE").json(f"{folder}/raw")
     return landed.groupBy("topic", "_kafka_partition").agg(
@@ -170,10 +182,10 @@ STREAM_FACTS = f""", latest AS (
 
 
 def kept_facts(t, table):
-    """A table of the facts after batches of two files each; titles come from the catalogue."""
+    """A table of the facts after batches of two or more files each; titles come from the catalogue."""
     folder = fresh_folder(t.spark, "facts")
     titles = t.media.select(F.col("id").alias("film_id"), F.col("title").alias("film_title"), F.col("year").alias("film_year"))
-    messages = streams.read_folder(t.spark, message_folder(t), "revenue-events", max_files=2)
+    messages = in_deliveries(t, message_folder(t), 2)
     facts.keep_facts(messages, f"{folder}/tables", f"{folder}/quarantine", f"{folder}/work", titles, buckets=16).awaitTermination()
     return t.spark.read.schema(facts.SCHEMAS[table]).parquet(f"{folder}/tables/{table}").drop("id", facts.BUCKET)
 

@@ -1,7 +1,9 @@
 import json
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
+from reelweave.registry import sink_queries
 from reelweave.sources import streams
 from reelweave.streaming import landing, revenue, windows
 
@@ -67,3 +69,13 @@ def test_week_number(table, values):
     rows = revenue.with_week_number(daily.withColumn("report_date", F.col("report_date").cast("date")), ["film_id"])
     assert values(rows.select("film_id", F.col("report_date").cast("string"), "week_number")) == [
         (1, "2024-01-05", 1), (1, "2024-01-11", 1), (1, "2024-01-12", 2), (2, "2024-01-12", 1)]
+
+
+def test_many_files_make_no_more_batches(spark, tmp_path):
+    source = tmp_path / "in"
+    for n in range(20):
+        write(source, f"{n}.json", message(n))
+    messages = sink_queries.in_deliveries(SimpleNamespace(spark=spark), str(source), 1)
+    landing.land_topics(messages, f"{tmp_path}/raw", f"{tmp_path}/work").awaitTermination()
+    assert len(list((tmp_path / "work" / "checkpoint" / "commits").glob("[0-9]*"))) <= 8
+    assert spark.read.json(f"{tmp_path}/raw").count() == 20
