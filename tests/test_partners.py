@@ -66,6 +66,20 @@ def test_one_title_with_all_characters_makes_no_pairs(spark, monkeypatch):
         (0, 1, 1, 1), (0, 2, 2, 1), (1, 1, 0, 1), (1, 2, 2, 1), (777, 1, 0, 1), (777, 2, 1, 1)]
 
 
+def test_pairs_of_small_titles_are_not_shuffled(table):
+    """Arrays are dealt out by character, in partitions that are not merged by their bytes."""
+    rows = [(character, media) for media in range(4) for character in range(media, media + 6)]
+    plan = top_partners(table(SCHEMA, *rows), 2)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "partners" in plan
+
+
+def test_hot_characters(table, monkeypatch):
+    monkeypatch.setattr("reelweave.plans.partners.HOT", 3)
+    draw = random.Random(9)
+    rows = [(draw.randrange(50), draw.randrange(60)) for _ in range(400)] + [(0, media) for media in range(60)]
+    assert found(top_partners(table(SCHEMA, *rows), 3, 9)) == brute(rows, 3)
+
+
 def test_empty_and_clashing_columns(table):
     assert top_partners(table(SCHEMA)).count() == 0
     odd = table(SCHEMA + ", rank STRING, partner_id STRING, set_size INT, cast_size INT", (1, 1, "x", "y", 1, 1), (2, 1, None, None, 1, 1))
