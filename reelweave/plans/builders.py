@@ -13,6 +13,7 @@ from reelweave.operators.keys import (
     build_dim, dense_index, first_per_key, get_or_create_ids, resolve_lookup, slug_ids, surrogate_key,
 )
 from reelweave.operators.relational import composite_lookup, with_branch_counts, with_child_count
+from reelweave.session import handoff
 from reelweave.sinks.upsert import upsert_columns
 
 ORDER_OF_FILES = ["source_dir", "source_file", "position"]
@@ -116,7 +117,9 @@ def build_characters(
         owned = with_gender.withColumn("studio_id", F.lit(None).cast("bigint"))
     else:
         owned = composite_lookup(with_gender, franchises, {"franchise": "name"}, {"studio_id": "studio_id"})
-    parted = owned.withColumn("_species", nz.species_parts(F.col("species")))
+    # the texts are read once each, however many characters share one
+    texts = rows.select(F.col("species").alias("_text")).distinct().withColumn("_species", nz.species_parts(F.col("_text")))
+    parted = owned.join(texts, F.col("species").eqNullSafe(F.col("_text")), "left").drop("_text")
     if species is None:
         parted = parted.withColumn("species_id", F.lit(None).cast("bigint"))
     else:
@@ -381,7 +384,9 @@ def dashboard_studios(studios: DataFrame, films: DataFrame, franchises: DataFram
 
 def build_species(names: DataFrame, species: DataFrame) -> DataFrame:
     """Species table extended by canonical names that it does not have yet."""
-    return get_or_create_ids(species, names.select(nz.species_name(F.col("species")).alias("name")))
+    # each text is read once: written first, as the filter on the name would be evaluated on all rows, below the distinct
+    texts = handoff(names.select("species").distinct())
+    return get_or_create_ids(species, texts.select(nz.species_name(F.col("species")).alias("name")))
 
 
 def map_species(characters: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from reelweave.plans import builders as b
 from reelweave.plans.graph import Stage
 from reelweave.plans.tables import Tables
 from reelweave.schemas import RAW_BOX_OFFICE, RECORD_CONTRACTS, TABLES
+from reelweave.session import written
 from reelweave.sinks.upsert import latest_per_key
 from reelweave.sources import readers
 
@@ -61,11 +62,12 @@ def catalogue_graph(
     spark = files.sparkSession
 
     def checked(name: str, contract: str, rows: DataFrame) -> dict[str, DataFrame]:
-        kept, rejected = quality.split_by_contract(rows, RECORD_CONTRACTS[contract])
+        # both tables come from one flattening
+        kept, rejected = quality.split_by_contract(written(rows, packed=True), RECORD_CONTRACTS[contract])
         return {f"raw_{name}": kept, f"rejected_{name}": rejected}
 
     def music(t: Tables) -> dict[str, DataFrame]:
-        entries = doc.soundtrack_entries(soundtracks)
+        entries = written(doc.soundtrack_entries(soundtracks), packed=True)  # files are parsed once for three tables
         releases = doc.release_rows(entries)
         return {"raw_releases": releases, "raw_tracks": doc.track_rows(releases), "raw_awards": doc.award_rows(entries)}
 

@@ -4,16 +4,19 @@ A stage names the tables it reads and writes; who comes first follows from that.
 violations of its constraints are counted in the same pass (``Observation``). When all tables of a stage are whole, the stage is
 recorded below ``root/_stages``; a run that died is started again under the same name and goes on with the first stage that has no
 record of this run. A stage's record is emptied before its tables are replaced, so a record always means whole tables.
+Stages that do not wait for each other may run side by side (``at_once``): most are too short to keep a cluster busy alone.
 The driver holds names and counts only, a few for each stage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Collection
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from functools import reduce
 from graphlib import CycleError, TopologicalSorter
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,15 +125,40 @@ def finished(spark: SparkSession, root: str, stage: Stage) -> dict[str, tuple[st
     return found if set(stage.writes) <= found.keys() else {}
 
 
+def _side_by_side(spark: SparkSession, ordered: list[Stage], at_once: int, perform: Callable[[Stage], None]) -> None:
+    """Performs the stages, ``at_once`` at most at a time, each when all that write its tables are through.
+
+    After a failure no further stage is begun; those under way are waited for, and the error of the first one is raised.
+    """
+    writer = {t: s.name for s in ordered for t in s.writes}
+    waiting, running = list(ordered), {}
+    failed: dict[str, BaseException] = {}
+    with ThreadPoolExecutor(at_once) as pool:
+        while running or (waiting and not failed):
+            undone = {s.name for s in waiting} | {s.name for s in running.values()}
+            ready = [s for s in waiting if not failed and not undone & {writer[t] for t in s.reads if t in writer}]
+            for stage in ready[: at_once - len(running)]:
+                waiting.remove(stage)
+                run: Future = pool.submit(inheritable_thread_target(spark)(perform), stage)
+                running[run] = stage
+            for run in wait(running, return_when=FIRST_COMPLETED).done:
+                stage = running.pop(run)
+                if run.exception():
+                    failed[stage.name] = run.exception()
+    for stage in ordered:
+        if stage.name in failed:
+            raise failed[stage.name]
+
+
 def run_graph(
     spark: SparkSession, stages: Collection[Stage], root: str, run: str = "run", skip: Collection[str] = (),
-    dry_run: bool = False, given: Collection[str] = (),
+    dry_run: bool = False, given: Collection[str] = (), at_once: int = 1,
 ) -> DataFrame:
     """Runs the stages and returns (position, stage, table, rows, violations, state), one row per table.
 
     States: ``written``; ``finished`` for stages that a former attempt of the same run had done; ``skipped``. A stage may be
     skipped if its tables are whole from any run, or if all stages that depend on it are skipped too. A dry run computes and
-    counts every stage whose input tables exist, and writes nothing.
+    counts every stage whose input tables exist, and writes nothing. ``at_once`` stages run side by side at most.
     """
     root = root.rstrip("/")
     ordered = in_order(stages, given)
@@ -142,16 +170,18 @@ def run_graph(
         waiting = dependants(ordered, stage.name) - set(skip)
         if stage.name in skip and waiting and not records[stage.name]:
             raise ValueError(f"{stage.name} has no tables yet, which {sorted(waiting)} need")
-    report, again = [], set()
-    for position, stage in enumerate(ordered):
+    again, due, rows = set(), [], {}
+    for stage in ordered:
         record = records[stage.name]
         if stage.name in skip:
-            report += [(position, stage.name, t, None, None, "skipped") for t in stage.writes]
-            continue
-        if not dry_run and stage.name not in again and record and all(r[0] == run for r in record.values()):
-            report += [(position, stage.name, t, *record[t][1:], "finished") for t in stage.writes]
-            continue
-        again |= dependants(ordered, stage.name)
+            rows[stage.name] = [(t, None, None, "skipped") for t in stage.writes]
+        elif not dry_run and stage.name not in again and record and all(r[0] == run for r in record.values()):
+            rows[stage.name] = [(t, *record[t][1:], "finished") for t in stage.writes]
+        else:
+            again |= dependants(ordered, stage.name)
+            due.append(stage)
+
+    def perform(stage: Stage) -> None:
         if not dry_run:
             write_table(spark.createDataFrame([], RECORD), _record_path(root, stage.name))
         built = stage.build(Tables.from_parquet(spark, root))
@@ -160,5 +190,8 @@ def run_graph(
         counts = [(t, *_write(built[t], root, t, f"{stage.name}-{t}", dry_run)) for t in stage.writes]
         if not dry_run:
             write_table(spark.createDataFrame([(run, *c) for c in counts], RECORD), _record_path(root, stage.name))
-        report += [(position, stage.name, *c, "counted" if dry_run else "written") for c in counts]
+        rows[stage.name] = [(*c, "counted" if dry_run else "written") for c in counts]
+
+    _side_by_side(spark, due, at_once, perform)
+    report = [(k, s.name, *row) for k, s in enumerate(ordered) for row in rows[s.name]]
     return spark.createDataFrame(report, REPORT)

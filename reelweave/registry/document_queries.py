@@ -388,7 +388,7 @@ SELECT stage, "table", CAST(rows AS BIGINT) AS rows, CAST(0 AS BIGINT) AS violat
 def run_catalogue(t, root, **options):
     album = ALBUM.replace("Film ~k", "Alpha ~k").replace("1994", "1990")
     stages = catalogue_graph(order_documents(t), soundtrack_files(t, album), event_reports(t))
-    return run_graph(t.spark, stages, root, **options)
+    return run_graph(t.spark, stages, root, at_once=6, **options)
 
 
 @query("catalogue_run", RUN_COUNTS)

@@ -1,14 +1,16 @@
 """The stage graph: order, skips, resuming after a failure, and a whole catalogue from files."""
 
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from reelweave.plans import graph, marts, views
+from reelweave.plans import builders, graph, marts, views
 from reelweave.plans.catalogue_graph import graph_of_folder
 from reelweave.plans.graph import Stage, dependants, in_order, run_graph
 from reelweave.plans.tables import Tables
+from reelweave.sources import readers
 
 DOCUMENTS = {
     "pixar_characters/sky.json": {
@@ -88,6 +90,53 @@ def test_a_failed_run_goes_on_where_it_stopped(spark, tmp_path, values):
     assert calls == ["a", "d", "c", "b"]
 
 
+def test_stages_side_by_side(spark, tmp_path, values):
+    """Two stages that do not wait for each other are under way together; a third waits for both; a failure stops the rest."""
+    together, calls, fail = threading.Barrier(2, timeout=60), [], [False]
+
+    def build(name):
+        def run(t):
+            if name in "ab":
+                together.wait()
+            if fail[0] and name == "b":
+                raise ValueError("lost")
+            calls.append(name)
+            return {name: spark.range(3) if name in "ab" else t.a.join(t.b, "id")}
+
+        return run
+
+    stages = [stage("c", ["a", "b"], ["c"], build("c")), *[stage(n, [], [n], build(n)) for n in "ab"]]
+    report = values(run_graph(spark, stages, str(tmp_path / "x"), at_once=2), "position", "table", "rows", "state")
+    assert report == [(k, n, 3, "written") for k, n in enumerate("abc")] and sorted(calls[:2]) == ["a", "b"] and calls[2:] == ["c"]
+    fail[0] = True
+    with pytest.raises(ValueError, match="lost"):
+        run_graph(spark, stages, str(tmp_path / "y"), at_once=2)
+    fail[0], together = False, threading.Barrier(1)
+    report = values(run_graph(spark, stages, str(tmp_path / "y"), at_once=2), "table", "state")
+    assert report == [("a", "finished"), ("b", "written"), ("c", "written")]
+
+
+def test_records_are_flattened_once(spark, raw, tmp_path):
+    """Kept and rejected records read one written table, and tracks and awards one written parse of the soundtrack files."""
+    stages = {s.name: s for s in graph_of_folder(spark, raw)}
+    run_graph(spark, [stages["documents"]], str(tmp_path))
+    t = Tables.from_parquet(spark, str(tmp_path))
+    for name in ("film_records", "character_records", "music_records"):
+        for table in stages[name].build(t).values():
+            plan = table._jdf.queryExecution().executedPlan().toString()
+            assert "try_variant_get" not in plan and "from_json" not in plan and "/written-" in "".join(table.inputFiles()), name
+
+
+def test_species_texts_are_read_once_each(spark, values):
+    """Names come from written distinct texts, with no filter on them left to be evaluated on all rows."""
+    rows = spark.range(1000).selectExpr("CASE id % 3 WHEN 0 THEN 'fire machine' WHEN 1 THEN 'Cat (small)' END AS species")
+    built = builders.build_species(rows, readers.species(spark))
+    assert ("fire machine",) in values(built, "name") and "Range (" not in built._jdf.queryExecution().executedPlan().toString()
+    named = rows.selectExpr("'x' AS name", "species AS franchise", "'hero' AS role", "'male' AS gender", "species", "1 AS first_appearance_year")
+    parts = builders.build_characters(named, readers.roles(spark), readers.genders(spark))
+    assert values(parts, "species", "species_subtype") == [("Cat (small)", "small"), ("fire machine", None), (None, None)]
+
+
 def test_skips_are_checked_against_dependants(spark, tmp_path):
     stages = [stage("a", [], ["a"], lambda t: {"a": spark.range(3)}), stage("b", ["a"], ["b"], lambda t: {"b": t.a})]
     with pytest.raises(ValueError, match="a has no tables yet, which .'b'. need"):
