@@ -10,7 +10,6 @@ Only words that occur are rows, so a film's week with one report costs one row o
 from __future__ import annotations
 
 from collections.abc import Collection
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +36,13 @@ def merged_counts(words: DataFrame, keys: Collection[str], counts: dict[str, str
     """``keys`` and for each output name the size of the named set, over all words of a key. Without rows there are no keys,
     but for the one row of an empty list of ``keys``."""
 
-    def counted(output: str, name: str) -> DataFrame:
-        merged = words.groupBy(*keys, f"{name}_word").agg(F.bit_or(f"{name}_bits").alias("bits"))
-        return merged.groupBy(*keys).agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).cast("bigint").alias(output))
+    def stood(place: int, name: str) -> Column:
+        return F.struct(F.lit(place).alias("_set"), F.col(f"{name}_word").alias("word"), F.col(f"{name}_bits").alias("bits"))
 
-    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
-        other = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.lit(True))
-        return left.join(other, same).drop(*[f"_{k}" for k in keys])
-
-    return reduce(beside, [counted(output, name) for output, name in counts.items()])
+    # the sets below each other, so that all are merged in one aggregation and no results are joined
+    below = words.select(*keys, F.inline(F.array(*[stood(k, name) for k, name in enumerate(counts.values())])))
+    merged = below.groupBy(*keys, "_set", "word").agg(F.bit_or("bits").alias("bits"))
+    sizes = [F.sum(F.when(F.col("_set") == k, F.bit_count("bits"))) for k in range(len(counts))]
+    return merged.groupBy(*keys).agg(
+        *[F.coalesce(size, F.lit(0)).cast("bigint").alias(output) for size, output in zip(sizes, counts, strict=True)]
+    )

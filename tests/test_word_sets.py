@@ -48,6 +48,13 @@ def test_no_expand_and_few_words(table):
     assert words.where("film = 'hot'").count() <= 2 * (1000 // 64 + 1)  # 70 states are two words
 
 
+def test_levels_are_not_joined(table):
+    """All sets of a level are sized in one aggregation; joined without a key they met in a nested loop."""
+    words = words_of(table(SCHEMA, *rows_of_films()))
+    for keys in ([], ["film"]):
+        assert "Join" not in merged_counts(words, keys, COUNTS)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty(table):
     words = words_of(table(SCHEMA))
     assert merged_counts(words, ["film"], COUNTS).count() == 0
