@@ -46,7 +46,7 @@ def facts_of(daily: DataFrame, titles: DataFrame | None = None) -> tuple[DataFra
         named = films.select("film_id", F.lit(None).cast("string").alias("film_title"), F.lit(None).cast("int").alias("film_year"))
     else:
         named = films.join(titles.select("film_id", "film_title", "film_year"), "film_id", "left")
-    days = bo.release_calendar(bo.reduce_reports(daily, ["film_id"]), ["film_id"], attributes=named)
+    days = bo.release_calendar(bo.reduce_reports(daily, ["film_id"]), ["film_id"], attributes=named, reduced=True)
     return conform(bo.weekly_facts(days), "box_office_weekly"), conform(bo.film_facts(days), "box_office_total")
 
 

@@ -152,3 +152,20 @@ def test_a_hot_film_is_summed_before_the_shuffle(spark, reports):
     by_hand = plain.groupBy("film_id", "week_number").agg(F.sum("revenue").alias("r"), F.count("*").alias("n"), F.countDistinct("state_code").alias("s"), F.countDistinct("report_date").alias("d"))
     found = {(r.film_id, r.week_number): (r.total_revenue, r.days_reporting, r.states_reporting, r.distinct_days) for r in weekly.collect()}
     assert found == {(r.film_id, r.week_number): (r.r, r.n, r.s, r.d) for r in by_hand.collect()}
+
+
+def test_reduced_rows_are_dealt_out_by_their_number(spark, reports, monkeypatch):
+    """The facts' tasks take a fixed number of reduced rows, however many rows there are, and the rows stay the same."""
+    reduced = boxoffice.reduce_reports(reports, ["film_id"])
+    monkeypatch.setattr(boxoffice, "ROWS", reduced.count() // 40)
+    days = boxoffice.release_calendar(reduced, ["film_id"], reduced=True)
+    assert days.rdd.getNumPartitions() >= 40 and "REPARTITION_BY_NUM" in executed(days)
+    plain = boxoffice.release_calendar(reduced, ["film_id"])
+    assert days.exceptAll(plain).count() == plain.exceptAll(days).count() == 0
+
+
+def test_facts_lay_no_row_out_per_distinct_count(reports):
+    days = boxoffice.release_calendar(boxoffice.reduce_reports(reports, ["film_id"]), ["film_id"], reduced=True)
+    for facts in (boxoffice.weekly_facts, boxoffice.film_facts):
+        titled = days.withColumns({"film_title": F.lit("t"), "film_year": F.lit(1)}) if "film_title" not in days.columns else days
+        assert "Expand" not in executed(facts(titled))
