@@ -325,17 +325,20 @@ def upsert_nominations(nominations: DataFrame, incoming: DataFrame, sequence: li
 # ---- slug-keyed dashboard tables
 
 
+def with_film_ids(people: DataFrame) -> DataFrame:
+    """Adds ``film_ids``, the JSON list of the slug ids of a character's titles."""
+    film_id = slugify(F.concat_ws("-", "media_title", F.col("media_year").cast("string")))
+    ids = F.when(F.col("media_title").isNotNull(), F.array(film_id)).otherwise(F.array().cast("array<string>"))
+    return people.withColumn("film_ids", F.to_json(ids))
+
+
 def dashboard_characters(people: DataFrame) -> DataFrame:
     """Characters with slug ids: the name's slug and a running number in file order."""
-    film_id = slugify(F.concat_ws("-", "media_title", F.col("media_year").cast("string")))
-    rows = people.withColumns(
+    rows = with_film_ids(people).withColumns(
         {
             "role": F.coalesce("role", F.lit("unknown")),
             "species": F.coalesce("species", F.lit("unknown")),
             "gender": F.coalesce("gender", F.lit("unknown")),
-            "film_ids": F.to_json(
-                F.when(F.col("media_title").isNotNull(), F.array(film_id)).otherwise(F.array().cast("array<string>"))
-            ),
             "franchise_id": slugify(F.col("franchise")),
             "studio_id": nz.lookup({k: v[0] for k, v in fv.DASHBOARD_STUDIOS.items()}, F.col("source_dir")),
         }
@@ -347,7 +350,10 @@ def dashboard_characters(people: DataFrame) -> DataFrame:
 
 
 def dashboard_films(media_rows: DataFrame, characters: DataFrame) -> DataFrame:
-    """Titles with slug ids, year 0 when there is none, and the number of characters linked to them."""
+    """Titles with slug ids, year 0 when there is none, and the number of characters linked to them.
+
+    Of the characters only ``film_ids`` is read (``with_film_ids``): they need no running numbers here.
+    """
     film_id = slugify(F.concat_ws("-", "title", F.col("year").cast("string")))
     if "behind" not in media_rows.columns:
         media_rows = media_rows.withColumn("behind", F.lit(0))

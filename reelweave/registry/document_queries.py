@@ -132,10 +132,10 @@ WITH {DOCS}, {MEDIA}, {PEOPLE}, {LINKED} SELECT {SLUG.format("t.title")} || CASE
   CAST(t.year AS INTEGER) AS year, count(p.k) AS character_count
 FROM titles t LEFT JOIN linked p ON p.media_title = t.title AND p.media_year = t.year GROUP BY ALL""")
 def _(t):
-    docs = parsed(t)
-    people = doc.character_rows(docs, first_for_lists=True, franchise_year=True, unnamed="Unknown")
+    docs = doc.store_documents(parsed(t), fresh_folder(t.spark, "documents"))
+    people = written(doc.character_rows(docs, first_for_lists=True, franchise_year=True, unnamed="Unknown"), packed=True)
     titles = doc.media_rows(docs, keep_raw=True).unionByName(doc.stand_in_titles(people), allowMissingColumns=True)
-    return b.dashboard_films(titles, b.dashboard_characters(people)).select("id", "title", "year", "character_count")
+    return b.dashboard_films(titles, b.with_film_ids(people)).select("id", "title", "year", "character_count")
 
 
 @query("dashboard_characters_from_documents", f"""

@@ -214,3 +214,11 @@ def test_stored_documents_are_read_by_column(spark, docs, values, tmp_path):
     assert "entries" not in read and "people" not in read and "Exchange" not in plan
     plan = doc.category_rows(stored)._jdf.queryExecution().executedPlan().toString()
     assert "parse_json" not in plan and "from_json" not in plan
+
+
+def test_dashboard_films_parse_once(spark):
+    """Titles and characters come from stored documents, and no character is numbered for a count."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["dashboard_films_from_documents"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "parse_json" not in plan and "ExistingRDD" not in plan
