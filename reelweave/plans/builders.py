@@ -146,7 +146,6 @@ def build_appearances(raw: DataFrame, media: DataFrame, roles: DataFrame) -> Dat
         F.when(F.col("name").isNotNull() & F.col("franchise").isNotNull(), surrogate_key("name", "franchise")).alias(
             "character_id"
         ),
-        F.when(blank_to_null(F.col("voice_actor")).isNotNull(), surrogate_key("voice_actor")).alias("talent_id"),
         blank_to_null(F.col("voice_actor")).alias("voice_actor"),
         nz.role_alias(F.col("role")).alias("role"),
         "media_title",
@@ -163,8 +162,10 @@ def build_appearances(raw: DataFrame, media: DataFrame, roles: DataFrame) -> Dat
     present = with_role.filter(F.col("character_id").isNotNull())
     pair = ["character_id", "media_id"]
     plain = F.when(F.col("variant").isNull(), surrogate_key(*pair)).otherwise(surrogate_key(*pair, "variant"))
+    # the id of the voice follows from its name: taken here, it is not shuffled beside it
+    talent_id = F.when(F.col("voice_actor").isNotNull(), surrogate_key("voice_actor"))
     return first_per_key(present, [*pair, "variant"], order).select(
-        plain.alias("id"), *pair, "talent_id", "role_id", "variant", "notes"
+        plain.alias("id"), *pair, talent_id.alias("talent_id"), "role_id", "variant", "notes"
     )
 
 

@@ -12,6 +12,7 @@ from reelweave.plans import builders as b
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
 from reelweave.registry.text_queries import RAW_ACTOR, RAW_GENDER, RAW_ROLE, RAW_SPECIES, _case
+from reelweave.session import written
 from reelweave.sources import readers
 
 LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -186,9 +187,10 @@ def _(t):
     "roles").replace(")\n, raw", "),\nraw"))
 def _(t):
     people, films = raw_people(t), raw_films(t)
-    media = b.build_media(films.withColumn("media_type", F.lit("film")), b.build_franchises(films))
+    # titles and voices are written first: rows that meet tables of unknown size are shuffled before it is known
+    media = written(b.build_media(films.withColumn("media_type", F.lit("film")), b.build_franchises(films)))
     characters = b.build_characters(people, t.roles, t.genders)
-    talent = b.build_talent(people)
+    talent = written(b.build_talent(people))
     built = b.build_appearances(people, media, t.roles)
     named = built.join(characters.select(F.col("id").alias("character_id"), "name", "franchise"), "character_id")
     titled = named.join(media.select(F.col("id").alias("media_id"), "title", "year"), "media_id")

@@ -44,3 +44,10 @@ def test_rows_are_not_laid_out_for_all_actors(spark):
     text = plan(entry.queries()["actor_careers"](spark, FOLDER))
     assert "LeftSemi" in text.split("Expand", 1)[1]
     assert "REPARTITION_BY_NUM" in text
+
+
+def test_voices_and_titles_have_a_known_size(spark):
+    """Rows of ``build_appearances`` were shuffled to meet titles and voices whose size was not known."""
+    text = plan(entry.queries()["build_appearances"](spark, FOLDER))
+    assert re.search(r"BroadcastHashJoin \[talent_id", text) and re.search(r"BroadcastHashJoin \[media_id", text)
+    assert not re.search(r"hashpartitioning\(talent_id", text)
