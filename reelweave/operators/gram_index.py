@@ -24,16 +24,18 @@ RAREST = 3  # grams of a search text whose postings are read
 GRAM_BUCKET, KEY_BUCKET = "gram_bucket", "key_bucket"
 
 
-def grams_of(text: Column) -> Column:
-    """The different grams of a text in lower case; none for null and for texts of fewer letters than a gram.
+def _grams(text: Column) -> Column:
+    """The grams of a text in lower case, in the order of the text; none for null and for texts of fewer letters than a gram.
 
-    The letters are laid beside themselves, moved by one and by two, so a text is walked a few times and never once per gram.
+    One pass of a pattern that looks ahead a gram and goes on by one letter.
     """
-    letters = F.split(F.lower(text), "")
-    pieces = letters
-    for moved in range(1, SIZE):
-        pieces = F.zip_with(pieces, F.slice(letters, moved + 1, F.greatest(F.size(letters), F.lit(1))), lambda x, y: F.concat(x, y))
-    return F.coalesce(F.array_distinct(F.filter(pieces, lambda g: g.isNotNull())), F.array().cast("array<string>"))
+    pattern = F.lit(f"(?s)(?=(.{{{SIZE}}})).")
+    return F.coalesce(F.regexp_extract_all(F.lower(text), pattern, F.lit(1)), F.array().cast("array<string>"))
+
+
+def grams_of(*texts: Column) -> Column:
+    """The different grams of all given texts."""
+    return F.array_distinct(F.concat(*[_grams(text) for text in texts]))
 
 
 def _bucket(value: Column, buckets: int) -> Column:
@@ -45,8 +47,7 @@ def build_index(df: DataFrame, key: str, columns: list[str], path: str, buckets:
     rows = df.select(F.col(key).alias("key"), *columns).where(F.col("key").isNotNull())
     placed = rows.withColumn(KEY_BUCKET, _bucket(F.col("key"), buckets))
     write_partitions(placed, f"{path}/rows", KEY_BUCKET, "static")
-    all_grams = F.array_distinct(F.flatten(F.array(*[grams_of(F.col(c)) for c in columns])))
-    postings = rows.select("key", F.explode(all_grams).alias("gram")).withColumn(GRAM_BUCKET, _bucket(F.col("gram"), buckets))
+    postings = rows.select("key", F.explode(grams_of(*[F.col(c) for c in columns])).alias("gram")).withColumn(GRAM_BUCKET, _bucket(F.col("gram"), buckets))
     sorted_postings = postings.hint("rebalance", GRAM_BUCKET).sortWithinPartitions(GRAM_BUCKET, "gram", "key")
     sorted_postings.write.mode("overwrite").partitionBy(GRAM_BUCKET).parquet(f"{path}/postings")
     spark = df.sparkSession
