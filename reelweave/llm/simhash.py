@@ -25,9 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelweave.llm.bpe import map_texts
-from reelweave.llm.common import connected_components, stored
+from reelweave.llm.common import connected_components
 from reelweave.llm.vectors import Forest
-from reelweave.session import handoff
+from reelweave.session import handoff, written
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -167,7 +167,9 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS, block: int =
         raise ValueError("lists of more positions than the minimum would lose links")
     lists = prints.select("fp", index_keys("fp", listed).alias("list")).select("fp", "list.choice", "list.bytes")
     sizes = handoff(lists.groupBy("choice", "bytes").agg(F.count("*").alias("n")).where(F.col("n") > 1))
-    members = lists.join(sizes, ["choice", "bytes"])
+    # of both sides the planner knows the size of the fingerprints before they were laid out by list, many times too small: it
+    # would broadcast them through the driver, so the join is told to sort
+    members = lists.hint("merge").join(sizes, ["choice", "bytes"])
     blocks = F.ceil(F.col("n") / block).cast("int")
     members = members.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     # the left side with every block from its own on, the right side with every block before its own
@@ -191,15 +193,16 @@ def near_duplicates(
     Repeated rows come back as often as they came. A null key is never the smallest one unless a component has no other;
     then the component is null. Further columns are dropped.
     """
-    prints = stored(fingerprints(docs, key, text, words), "fingerprints")
-    smallest = stored(prints.groupBy("fp").agg(F.min(key).alias("smallest")), "distinct")
+    # written plainly: packed, the files of texts that often repeat look small enough to be broadcast
+    prints = written(fingerprints(docs, key, text, words))
+    smallest = written(prints.groupBy("fp").agg(F.min(key).alias("smallest")))
     links = fingerprint_links(smallest.select("fp"), max_bits)
     groups = connected_components(links)
     named = smallest.join(groups, F.col("fp") == F.col("node"), "left").select(
         "fp", "smallest", F.coalesce("component", "fp").alias("component")
     )
     least = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    named = stored(named.join(handoff(least), "component").select(F.col("fp").alias("_fp"), "component_id"), "components")
+    named = written(named.join(handoff(least), "component").select(F.col("fp").alias("_fp"), "component_id"))
     return prints.join(named, F.col("fp") == F.col("_fp")).select(key, "fp", "component_id")
 
 

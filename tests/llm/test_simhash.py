@@ -87,6 +87,12 @@ def test_lists_do_not_emit_pairs(spark):
     assert simhash.fingerprint_links(frame).count() < 56 * 1024
 
 
+def test_lists_are_not_broadcast(spark):
+    """A fingerprint is in 56 lists, which the planner takes for as small as the fingerprints alone."""
+    frame = spark.range(1024).withColumnRenamed("id", "fp")
+    assert "Broadcast" not in simhash.fingerprint_links(frame)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_the_tally_rejects_pairs_of_a_list():
     """A pair in a list of three positions is rejected for its shared bytes alone, before any bit is counted."""
     prints = np.array([0, 0x0101010101 << 24, 0x01010101 << 32, 0xFF01 << 48, 1 << 63], np.uint64)
