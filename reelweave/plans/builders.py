@@ -45,7 +45,8 @@ def build_media(records: DataFrame, franchises: DataFrame) -> DataFrame:
     """Titles unique by (title, year, type), letter case aside; the alphabetically first franchise is kept."""
     key = [F.lower("title"), F.col("year"), F.col("media_type")]
     order = [F.asc("title"), F.asc_nulls_last("franchise")]
-    rows = first_per_key(records.select("title", "year", "franchise", "media_type").distinct(), key, order)
+    # the order tells apart all rows that differ, so they need not be distinct
+    rows = first_per_key(records.select("title", "year", "franchise", "media_type"), key, order)
     named = composite_lookup(rows, franchises, {"franchise": "name"}, {"id": "franchise_id"})
     return named.select(
         surrogate_key(F.lower("title"), F.col("year"), F.col("media_type")).alias("id"),
@@ -197,19 +198,19 @@ def build_game_platforms(games: DataFrame, platforms: DataFrame) -> DataFrame:
 
 def build_soundtracks(releases: DataFrame, media: DataFrame) -> DataFrame:
     """Soundtracks unique by (title, year); the last label given wins."""
-    keyed = releases.withColumn("_title", F.lower("release_title"))
-    key = ["_title", "film_year"]
     place = F.struct("film", "release_position")
-    labels = keyed.groupBy(*key).agg(F.max_by("label", F.when(F.col("label").isNotNull(), place)).alias("_label"))
-    first = first_per_key(keyed, key, [F.asc("film"), F.asc("release_position")])
-    merged = first.join(labels, key).withColumn("label", F.col("_label"))
+    merged = releases.groupBy(F.lower("release_title").alias("_title"), "film_year").agg(
+        F.min(F.struct("film", "release_position", "release_title")).alias("_first"),
+        F.max_by("label", F.when(F.col("label").isNotNull(), place)).alias("label"),
+    )
+    merged = merged.select("_first.film", "film_year", "_first.release_title", "label")
     albums = media.filter(F.col("media_type") == "soundtrack")
     films = media.filter(F.col("media_type") == "film")
     placed = composite_lookup(
-        merged, albums, {"release_title": "title", "film_year": "year"}, {"id": "media_id"}, "inner", ["release_title"]
+        merged, albums, {"release_title": "title", "film_year": "year"}, {"id": "media_id"}, "inner", ["release_title"], large=True
     )
     sourced = composite_lookup(
-        placed, films, {"film": "title", "film_year": "year"}, {"id": "source_media_id"}, any_case=["film"]
+        placed, films, {"film": "title", "film_year": "year"}, {"id": "source_media_id"}, any_case=["film"], large=True
     )
     return sourced.select(
         surrogate_key("media_id").alias("id"), "media_id", "source_media_id", "label", "release_title", "film_year"
@@ -227,7 +228,7 @@ def soundtrack_media(releases: DataFrame) -> DataFrame:
 def _on_album(rows: DataFrame, soundtracks: DataFrame) -> DataFrame:
     return composite_lookup(
         rows, soundtracks, {"release_title": "release_title", "film_year": "film_year"}, {"id": "soundtrack_id"},
-        "inner", ["release_title"],
+        "inner", ["release_title"], large=True,
     )
 
 
@@ -244,7 +245,8 @@ def build_song_credits(
     credits: DataFrame, songs: DataFrame, soundtracks: DataFrame, talent: DataFrame, credit_types: DataFrame
 ) -> DataFrame:
     on_song = composite_lookup(
-        _on_album(credits, soundtracks), songs, {"soundtrack_id": "soundtrack_id", "song_title": "title"}, {"id": "song_id"}, "inner"
+        _on_album(credits, soundtracks), songs, {"soundtrack_id": "soundtrack_id", "song_title": "title"}, {"id": "song_id"}, "inner",
+        large=True,
     )
     named = composite_lookup(on_song, talent, {"name": "name"}, {"id": "talent_id"}, "inner")
     typed = composite_lookup(named, credit_types, {"credit_type": "name"}, {"id": "credit_type_id"}, "inner")

@@ -17,7 +17,7 @@ from reelweave.plans.tables import Tables
 from reelweave.registry import query
 from reelweave.registry.catalogue import with_views
 from reelweave.registry.text_queries import _quoted
-from reelweave.session import fresh_folder, written
+from reelweave.session import fresh_folder, sorting, written
 
 SHAPES = {
     "F": """{"franchise": "Saga ~c", "studio": "Blue Sky Co", "films": ["Alpha ~k (1990)", "Beta ~k (1995)", "Gamma"],
@@ -275,14 +275,14 @@ def _(t):
 
 def music(t):
     """Media, soundtracks and songs built from the soundtrack files."""
-    releases = written(doc.release_rows(soundtracks(t)))
+    releases = written(doc.release_rows(soundtracks(t)), packed=True)
     films = releases.select(F.col("film").alias("title"), F.col("film_year").alias("year"), F.col("film").alias("franchise"), F.lit("film").alias("media_type"))
     albums = b.soundtrack_media(releases)
-    franchises = albums.select(F.col("franchise").alias("name")).distinct().withColumn("id", F.xxhash64("name"))
-    media = written(b.build_media(films.unionByName(albums), franchises))
-    tracks = written(doc.track_rows(releases))
-    built = written(b.build_soundtracks(releases, media))
-    return releases, media, tracks, built, written(b.build_songs(tracks, built))
+    franchises = sorting(albums.select(F.col("franchise").alias("name")).distinct().withColumn("id", F.xxhash64("name")))
+    media = written(b.build_media(films.unionByName(albums), franchises), packed=True)
+    tracks = written(doc.track_rows(releases), packed=True)
+    built = written(b.build_soundtracks(releases, media), packed=True)
+    return releases, media, tracks, built, written(b.build_songs(tracks, built), packed=True)
 
 
 @query("build_soundtracks", """
@@ -290,7 +290,7 @@ SELECT 'Album ' || o_orderkey AS release_title, 'Film ' || o_orderkey AS source_
 def _(t):
     _, media, _, built, _ = music(t)
     source = media.select(F.col("id").alias("source_media_id"), F.col("title").alias("source_title"))
-    return built.join(source, "source_media_id").select("release_title", "source_title", "label")
+    return built.join(sorting(source), "source_media_id").select("release_title", "source_title", "label")
 
 
 @query("build_song_credits", """
@@ -298,11 +298,12 @@ SELECT 'Album ' || o_orderkey AS release_title, 'Song A' AS song, who || ' ' ||
 FROM orders, (VALUES ('Singer', 'performer'), ('Band', 'performer'), ('Writer', 'composer')) AS v(who, kind)""")
 def _(t):
     _, _, tracks, built, songs = music(t)
-    credits = written(doc.song_credit_rows(tracks))
-    talent = b.build_talent(credits, "name")
+    credits = doc.song_credit_rows(tracks)
+    talent = written(b.build_talent(credits, "name"))  # few names may have most credits: its size decides on the join
     links = b.build_song_credits(credits, songs, built, talent, t.credit_types)
-    albums = built.select(F.col("id").alias("soundtrack_id"), "release_title")
-    named = links.drop("id").join(songs.select(F.col("id").alias("song_id"), "soundtrack_id", F.col("title").alias("song")), "song_id").join(albums, "soundtrack_id")
+    albums = sorting(built.select(F.col("id").alias("soundtrack_id"), "release_title"))
+    titles = songs.select(F.col("id").alias("song_id"), "soundtrack_id", F.col("title").alias("song")).join(albums, "soundtrack_id")
+    named = links.drop("id").join(sorting(titles), "song_id")
     named = named.join(talent.select(F.col("id").alias("talent_id"), "name"), "talent_id")
     return named.join(t.credit_types.select(F.col("id").alias("credit_type_id"), F.col("name").alias("credit_type")), "credit_type_id").select(
         "release_title", "song", "name", "credit_type")
