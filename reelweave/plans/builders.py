@@ -13,7 +13,7 @@ from reelweave.operators.keys import (
     build_dim, dense_index, first_per_key, get_or_create_ids, resolve_lookup, slug_ids, surrogate_key,
 )
 from reelweave.operators.relational import composite_lookup, with_branch_counts, with_child_count
-from reelweave.session import handoff
+from reelweave.session import handoff, sorting
 from reelweave.sinks.upsert import upsert_columns
 
 ORDER_OF_FILES = ["source_dir", "source_file", "position"]
@@ -284,7 +284,7 @@ def song_lookup(songs: DataFrame, soundtracks: DataFrame, media: DataFrame) -> D
     albums = soundtracks.select(F.col("id").alias("soundtrack_id"), F.col("source_media_id").alias("media_id"))
     films = media.select(F.col("id").alias("media_id"), F.col("title").alias("film"), F.col("year").alias("film_year"))
     rows = songs.select(F.col("id").alias("song_id"), "soundtrack_id", F.col("title").alias("song_title"))
-    found = rows.join(albums, "soundtrack_id").join(films, "media_id")
+    found = rows.join(sorting(albums), "soundtrack_id").join(sorting(films), "media_id")
     return found.groupBy("film", "film_year", "song_title").agg(F.min("song_id").alias("song_id"))
 
 
@@ -294,14 +294,14 @@ def nomination_rows(
     """Awards of known films with their ids; awards of unknown films are left out."""
     films = media.filter(F.col("media_type") == "film")
     placed = composite_lookup(
-        awards, films, {"film": "title", "film_year": "year"}, {"id": "media_id"}, "inner", ["film"]
+        awards, films, {"film": "title", "film_year": "year"}, {"id": "media_id"}, "inner", ["film"], large=True
     )
     bodied = composite_lookup(placed, bodies, {"award_body": "name"}, {"id": "award_body_id"}, "inner")
     typed = composite_lookup(
         bodied, categories, {"award_body_id": "award_body_id", "category": "name"}, {"id": "award_category_id"}, "inner"
     )
     sung = composite_lookup(
-        typed, song_ids, {"film": "film", "film_year": "film_year", "song_title": "song_title"}, {"song_id": "song_id"}
+        typed, song_ids, {"film": "film", "film_year": "film_year", "song_title": "song_title"}, {"song_id": "song_id"}, large=True
     )
     rows = sung.select(
         "media_id", "award_category_id", F.col("ceremony_year").alias("year"), "outcome",

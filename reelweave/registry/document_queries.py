@@ -314,14 +314,14 @@ SELECT 'Film ' || o_orderkey AS film, body AS award_body, category, level AS is_
 FROM orders, (VALUES ('Academy Awards', 'Best Original Score', 'won', NULL, false), ('Local Prize', 'Best Song', 'nominated', 'Song A', false)) AS v(body, category, result, song, level)""")
 def _(t):
     _, media, _, built, songs = music(t)
-    awards = written(doc.award_rows(soundtracks(t)))
-    bodies = b.build_award_bodies(awards, t.award_bodies)
-    categories = b.build_award_categories(awards, bodies, t.award_categories)
+    awards = written(doc.award_rows(soundtracks(t)), packed=True)
+    bodies = written(b.build_award_bodies(awards, t.award_bodies))
+    categories = written(b.build_award_categories(awards, bodies, t.award_categories))
     rows = b.nomination_rows(awards, bodies, categories, media, b.song_lookup(songs, built, media))
-    named = rows.join(media.select(F.col("id").alias("media_id"), F.col("title").alias("film")), "media_id")
+    named = rows.join(sorting(media.select(F.col("id").alias("media_id"), F.col("title").alias("film"))), "media_id")
     kinds = categories.select(F.col("id").alias("award_category_id"), "award_body_id", F.col("name").alias("category"), "is_media_level")
     named = named.join(kinds, "award_category_id").join(bodies.select(F.col("id").alias("award_body_id"), F.col("name").alias("award_body")), "award_body_id")
-    sung = songs.select(F.col("id").alias("song_id"), F.col("title").alias("song_title"))
+    sung = sorting(songs.select(F.col("id").alias("song_id"), F.col("title").alias("song_title")))
     return named.join(sung, "song_id", "left").select("film", "award_body", "category", "is_media_level", "year", "outcome", "song_title")
 
 

@@ -11,7 +11,7 @@ from reelweave.registry import QUERIES, document_queries, load_all
 load_all()
 
 
-@pytest.mark.parametrize(("name", "most"), [("build_song_credits", 250)])
+@pytest.mark.parametrize(("name", "most"), [("build_song_credits", 250), ("build_nominations", 250)])
 def test_bytes_written_for_an_order(spark, tmp_path, monkeypatch, name, most):
     orders = 3000
     spark.range(orders).selectExpr("id AS o_orderkey", "id % 97 AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
@@ -24,7 +24,7 @@ def test_bytes_written_for_an_order(spark, tmp_path, monkeypatch, name, most):
 
     monkeypatch.setattr(document_queries, "written", written)
     rows = QUERIES[name](spark, str(tmp_path))
-    assert rows.count() == orders * {"build_song_credits": 3}[name]
+    assert rows.count() == orders * {"build_song_credits": 3, "build_nominations": 2}[name]
     assert sum(os.path.getsize(urlparse(f).path) for f in files) < most * orders
 
 
