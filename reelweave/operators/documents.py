@@ -397,8 +397,10 @@ def game_rows(docs: DataFrame) -> DataFrame:
         ),
         F.lit(0),
     )
+    # documents without a game give no rows: their categories are not read
+    named = _get("doc", "$.games", "variant").isNotNull() | _get("doc", "$.game", "variant").isNotNull()
     return (
-        with_media(docs)
+        with_media(docs.filter(named))
         .withColumn("franchise", franchise_of())
         .withColumn("studio", studio)
         .withColumn("_categories", _category_entries())

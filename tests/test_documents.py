@@ -222,3 +222,13 @@ def test_dashboard_films_parse_once(spark):
 
     plan = entry.queries()["dashboard_films_from_documents"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "parse_json" not in plan and "ExistingRDD" not in plan
+
+
+def test_documents_without_games_are_left_out_before_their_categories_are_read(spark):
+    texts = ['{"games": ["G (2004)"], "categories": {"a": {"year": 2004, "developer": "Dev"}}}', '{"games": null, "film": "F"}', '{"game": "One", "year": 2001}',
+             '{"games": "no list"}', '{"films": ["F (2004)"], "categories": {"a": {"year": 2004, "developer": "Dev"}}}', '{"game": 7}']
+    files = spark.createDataFrame([(t, f"/d/f{i}.json") for i, t in enumerate(texts)], "value STRING, path STRING")
+    rows = doc.game_rows(doc.parse_documents(files))
+    assert sorted((r.source_file, r.title, r.year) for r in rows.collect()) == [("f0.json", "G", 2004), ("f2.json", "One", 2001), ("f5.json", "7", None)]
+    filters = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+    assert any("$.games" in line and "$.game," in line for line in filters)
