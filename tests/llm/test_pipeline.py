@@ -5,7 +5,7 @@ from collections import Counter
 
 import corpus_pipeline
 import numpy as np
-from reelweave.llm import mixture, toxicity
+from reelweave.llm import mixture, simhash, toxicity
 from reelweave.llm.common import stored
 from reelweave.llm.queries import vocabulary
 from test_line_spread import plain as plain_lines
@@ -67,3 +67,19 @@ def test_run_and_odd_documents(spark, tmp_path):
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT").write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_near_duplicates_of_the_pipeline_are_not_broadcast_by_list(spark, monkeypatch):
+    """The lists of its fingerprints, 56 to each, would go through the driver while their files still look small."""
+    plans, components = [], simhash.connected_components
+
+    def look(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return components(links)
+
+    monkeypatch.setattr(simhash, "connected_components", look)
+    rows = [(k, f"word{k} a b c d{k % 3}", "en", "s", 9) for k in range(40)] * 2
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars INT")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    assert {r.doc_id for r in kept.collect()} <= set(range(40))
+    assert len(plans) == 1 and "Broadcast" not in plans[0]
