@@ -108,7 +108,8 @@ def build_characters(
     of species (null without one), subtype and flag are read from the text."""
     rows = raw.select(
         "name", "franchise", nz.role_alias(F.col("role")).alias("role"), nz.gender_alias(F.col("gender")).alias("gender"),
-        "species", "first_appearance_year",
+        # never a constant, which would leave the join of the texts below without a key
+        F.when(F.length("name") >= 0, F.col("species")).alias("species"), "first_appearance_year",
     ).filter(blank_to_null(F.col("name")).isNotNull())
     order = [F.asc_nulls_last(c) for c in ("first_appearance_year", "role", "gender", "species")]
     first = first_per_key(rows, ["name", "franchise"], order)
